@@ -1,4 +1,4 @@
-from seasonlens.queries import windows  # noqa: F401
+from seasonlens.queries import aggregates, columns, joins, windows  # noqa: F401
 from seasonlens.queries.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

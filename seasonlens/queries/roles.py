@@ -206,16 +206,25 @@ plays AS (
   FROM paired)"""
 
 
+def ship_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items summed to one game per (season, week, home, away); some games have no score yet."""
+    home = F.col("l_suppkey").cast("string")
+    return _scored(table(spark, sf_dir, "lineitem"), home, (F.col("l_partkey") % 100).cast("string"))
+
+
 def schedules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items summed to one game per (season, week, home, away); every third line number has no score."""
+    """The league's games: the same monthly pairs as in ``plays``, scored by what was shipped."""
+    rows = table(spark, sf_dir, "lineitem")
+    own = F.col("l_suppkey") % TEAMS
+    opp = F.pmod(F.month("l_shipdate") - own, F.lit(TEAMS))
+    return _scored(rows, _team(F.least(own, opp)), _team(F.greatest(own, opp)))
+
+
+def _scored(rows: DataFrame, home: Column, away: Column) -> DataFrame:
+    keys = [F.year("l_shipdate").alias("season"), F.month("l_shipdate").alias("week"),
+            home.alias("home_team"), away.alias("away_team")]
     return (
-        table(spark, sf_dir, "lineitem")
-        .groupBy(
-            F.year("l_shipdate").alias("season"),
-            F.month("l_shipdate").alias("week"),
-            F.concat(F.lit("T"), F.col("l_suppkey") % TEAMS).alias("home_team"),
-            F.concat(F.lit("T"), F.col("l_partkey") % TEAMS).alias("away_team"),
-        )
+        rows.groupBy(*keys)
         .agg(
             null_if(F.sum("l_quantity") % 6, 0.0).alias("home_score"),
             F.sum(null_if(F.col("l_linenumber"), 3)).cast("double").alias("away_score"),
@@ -224,16 +233,23 @@ def schedules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-SCHEDULES = f"""schedules AS (
+def _scored_sql(name: str, home: str, away: str) -> str:
+    return f"""{name} AS (
   SELECT *, concat_ws('_', season, week, home_team, away_team) AS game_id
   FROM (SELECT CAST(year(l_shipdate) AS INT) AS season, CAST(month(l_shipdate) AS INT) AS week,
-               'T' || CAST(l_suppkey % {TEAMS} AS VARCHAR) AS home_team,
-               'T' || CAST(l_partkey % {TEAMS} AS VARCHAR) AS away_team,
-               nullif(sum(l_quantity) % 6, 0) AS home_score,
+               {home} AS home_team, {away} AS away_team, nullif(sum(l_quantity) % 6, 0) AS home_score,
                CAST(sum(nullif(l_linenumber, 3)) AS DOUBLE) AS away_score
         FROM lineitem GROUP BY ALL))"""
 
 
+SHIP_GAMES = _scored_sql("ship_games", "CAST(l_suppkey AS VARCHAR)", "CAST(l_partkey % 100 AS VARCHAR)")
+
+_OWN = f"l_suppkey % {TEAMS}"
+_OPP = f"(CAST(month(l_shipdate) AS INT) - l_suppkey % {TEAMS} + {TEAMS}) % {TEAMS}"
+SCHEDULES = _scored_sql("schedules", f"'T' || CAST(least({_OWN}, {_OPP}) AS VARCHAR)",
+                        f"'T' || CAST(greatest({_OWN}, {_OPP}) AS VARCHAR)")
+
+
 def rosters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer and order year: many rows per player."""
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")

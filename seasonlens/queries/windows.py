@@ -8,7 +8,7 @@ from seasonlens.operators.history import player_history, side_history
 from seasonlens.operators.running import rank_min, running_total
 from seasonlens.operators.sets import home_and_away
 from seasonlens.queries.registry import query
-from seasonlens.queries.roles import GAME_ORDER, GAMES, SCHEDULES, games, history_sql, schedules, with_sql
+from seasonlens.queries.roles import GAME_ORDER, GAMES, SHIP_GAMES, games, history_sql, ship_games, with_sql
 
 FIELDS = ["pts", "alt"]
 BY_PLAYER = dict(entity="player_id", order="game_date, game_id", fields=FIELDS)
@@ -43,36 +43,38 @@ def w12_defence(spark, sf_dir):
     return side_history(games(spark, sf_dir), ["priority"], "season", GAME_ORDER, FIELDS, career=False)
 
 
-TOTALS = """totals AS (
-  SELECT *, CASE WHEN points_allowed IS NOT NULL THEN sum(points_allowed) OVER (
-      PARTITION BY season, team ORDER BY week, game_id, is_home ROWS UNBOUNDED PRECEDING) END AS total
-  FROM numbered)"""
+SIDES = """sides AS (
+  SELECT game_id, season, week, home_team AS team, away_score AS points_allowed, 0 AS is_away FROM {0}
+  UNION ALL SELECT game_id, season, week, away_team, home_score, 1 FROM {0})"""
 
-NUMBERED = """numbered AS (
-  SELECT game_id, season, week, home_team AS team, away_score AS points_allowed, 0 AS is_home FROM schedules
-  UNION ALL SELECT game_id, season, week, away_team, home_score, 1 FROM schedules)"""
 
-
-def numbered(spark, sf_dir):
-    rows = schedules(spark, sf_dir).withColumns({"first_side": F.lit(0), "second_side": F.lit(1)})
+def sides(rows):
+    """Home and away view of each game; the flag tells them apart where a team meets itself."""
+    rows = rows.withColumns({"at_home": F.lit(0), "on_the_road": F.lit(1)})
     return home_and_away(
         rows,
         ["game_id", "season", "week"],
-        home={"team": "home_team", "points_allowed": "away_score", "is_home": "first_side"},
-        away={"team": "away_team", "points_allowed": "home_score", "is_home": "second_side"},
+        home={"team": "home_team", "points_allowed": "away_score", "is_away": "at_home"},
+        away={"team": "away_team", "points_allowed": "home_score", "is_away": "on_the_road"},
     )
 
 
-@query("w_running", with_sql(SCHEDULES, NUMBERED, TOTALS, "SELECT * FROM totals"))
+TOTALS = """totals AS (
+  SELECT *, CASE WHEN points_allowed IS NOT NULL THEN sum(points_allowed) OVER (
+      PARTITION BY season, team ORDER BY week, game_id, is_away ROWS UNBOUNDED PRECEDING) END AS total
+  FROM sides)"""
+
+
+@query("w_running", with_sql(SHIP_GAMES, SIDES.format("ship_games"), TOTALS, "SELECT * FROM totals"))
 def w_running(spark, sf_dir):
-    order = ["week", "game_id", "is_home"]
-    return running_total(numbered(spark, sf_dir), ["season", "team"], order, "points_allowed", "total")
+    order = ["week", "game_id", "is_away"]
+    return running_total(sides(ship_games(spark, sf_dir)), ["season", "team"], order, "points_allowed", "total")
 
 
 @query(
     "w_rank",
     with_sql(
-        SCHEDULES, NUMBERED, TOTALS,
+        SHIP_GAMES, SIDES.format("ship_games"), TOTALS,
         """SELECT *, CASE WHEN total IS NOT NULL THEN
              rank() OVER (PARTITION BY season, week ORDER BY total ASC NULLS LAST) END AS place FROM totals""",
     ),
