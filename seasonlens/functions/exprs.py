@@ -60,8 +60,11 @@ def swap_where(df: DataFrame, condition: Column, a: str, b: str) -> DataFrame:
 
 
 def to_date_or_null(column: Column | str) -> Column:
-    """Parse an ISO date or timestamp text; anything else gives null."""
-    return F.try_to_timestamp(column).cast("date")
+    """Parse an ISO date or timestamp text; anything else gives null.
+
+    A try_cast, as parse functions raise and catch an exception per bad value.
+    """
+    return (F.col(column) if isinstance(column, str) else column).try_cast("date")
 
 
 def xp_distance(date: Column) -> Column:

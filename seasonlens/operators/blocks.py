@@ -14,6 +14,7 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
@@ -29,10 +30,7 @@ LANE = "__lane"
 
 
 def all_known(keys: list[str]) -> Column:
-    known = F.lit(True)
-    for key in keys:
-        known = known & F.col(key).isNotNull()
-    return known
+    return reduce(lambda a, b: a & b, [F.col(key).isNotNull() for key in keys])
 
 
 def lane(df: DataFrame, keys: list[str]) -> Column:

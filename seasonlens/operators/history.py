@@ -19,6 +19,7 @@ from seasonlens.operators.blocks import (
     hot_groups,
     lane,
 )
+from seasonlens.session import stage
 
 LAST_ROWS = 5
 
@@ -56,12 +57,15 @@ def history_features(
     career_counter: bool = True,
     rows_per_block: int = ROWS_PER_BLOCK,
     sizes_from: DataFrame | None = None,
+    stage_hot: bool = False,
 ) -> DataFrame:
     """Add ``n_games_career``, ``n_games_season`` and the features of ``feature_names`` to ``df``.
 
     ``(season, *order)`` must be unique within an entity and ``season`` not null. Rows without
     an entity keep null features. Entities above ``rows_per_block`` rows are computed in blocks;
-    ``sizes_from`` names a cheaper table with the entity columns to count them on.
+    ``sizes_from`` names a cheaper table with the entity columns to count them on. The blocks read
+    ``df`` several times: with ``stage_hot`` it is then written once first, which pays when ``df``
+    is itself the result of joins.
     """
     names = feature_names(fields, career, last)
     out = [F.col(name) for name in df.columns]
@@ -72,6 +76,8 @@ def history_features(
     hot = hot_groups(counted, entity, rows_per_block)
     if not hot:
         return _whole(df, entity, season, order, fields, base).select(*keep)
+    if stage_hot:
+        df = stage(df, "history")
     blocks = cut_blocks(df, entity, [season, *order], hot, rows_per_block)
     cold = _whole(blocks.cold(df), entity, season, order, fields, base).select(*keep)
     split = _blocked(blocks.hot(df), entity, season, order, fields, base).select(*keep)

@@ -17,13 +17,14 @@ from seasonlens.operators.blocks import (
 
 
 def running_total(df: DataFrame, keys: list[str], order: list[str], value: str, out: str,
-                  rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+                  rows_per_block: int = ROWS_PER_BLOCK, sizes_from: DataFrame | None = None) -> DataFrame:
     """Sum of ``value`` up to and including each row of its group; a null value stays null.
 
-    Rows that tie on ``order`` follow each other in any order, so give a total order.
+    Rows that tie on ``order`` follow each other in any order, so give a total order. Groups are
+    counted on ``sizes_from`` where that is cheaper to read than ``df``.
     """
     keep = [*df.columns, out]
-    hot = hot_groups(df, keys, rows_per_block)
+    hot = hot_groups(df if sizes_from is None else sizes_from, keys, rows_per_block)
     if not hot:
         return _total_whole(df, keys, order, value, out).select(*keep)
     blocks = cut_blocks(df, keys, order, hot, rows_per_block)
@@ -54,11 +55,10 @@ def _total_blocked(df: DataFrame, keys: list[str], order: list[str], value: str,
 
 
 def rank_min(df: DataFrame, keys: list[str], value: str, out: str,
-             rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+             rows_per_block: int = ROWS_PER_BLOCK, sizes_from: DataFrame | None = None) -> DataFrame:
     """Competition rank of ``value`` in its group, ascending; ties share the lowest, null stays null."""
     ranked = F.col(value).isNotNull()
-    hot = hot_groups(df.where(ranked), keys, rows_per_block)
-    if hot:
+    if hot_groups(df.where(ranked) if sizes_from is None else sizes_from, keys, rows_per_block):
         return _rank_counted(df, keys, value, out, rows_per_block)
     # unranked rows need no group: spread them instead of sorting them in
     unranked = F.when(all_known(keys) & ranked, F.lit(0).cast("long")).otherwise(F.xxhash64(*df.columns))

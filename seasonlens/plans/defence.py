@@ -20,9 +20,10 @@ def points_allowed(schedules: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) -
         home={"team": "home_team", "points_allowed": "away_score"},
         away={"team": "away_team", "points_allowed": "home_score"},
     ).withColumn("adj_week", F.col("week") + 1)
-    sides = running_total(sides, ["season", "team"], ["week", "game_id"], "points_allowed",
-                          "cumulative_points_allowed", rows_per_block)
-    ranked = rank_min(sides, ["season", "week"], "cumulative_points_allowed", "defensive_rank", rows_per_block)
+    totals = running_total(sides, ["season", "team"], ["week", "game_id", "points_allowed"], "points_allowed",
+                           "cumulative_points_allowed", rows_per_block)
+    ranked = rank_min(totals, ["season", "week"], "cumulative_points_allowed", "defensive_rank", rows_per_block,
+                      sizes_from=sides)
     return ranked.withColumnRenamed("team", "opponent_team")
 
 

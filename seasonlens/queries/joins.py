@@ -277,17 +277,20 @@ def u_selection(spark, sf_dir):
 
 @query(
     "u_selection_lists",
-    """SELECT c_custkey, list_sort(list_distinct([c_name, c_mktsegment, c_mktsegment, 'ALL'])) AS added,
-              list_sort(list_filter([c_name, c_mktsegment], lambda x: x <> 'BUILDING')) AS kept
+    """SELECT c_custkey,
+              array_to_string(list_sort(list_distinct([c_name, c_mktsegment, c_mktsegment, 'ALL'])), ',') AS added,
+              array_to_string(list_sort(list_filter([c_name, c_mktsegment], lambda x: x <> 'BUILDING')), ',') AS kept
        FROM customer""",
 )
 def u_selection_lists(spark, sf_dir):
     """The same on a row's own list of choices."""
     names = F.array("c_name", "c_mktsegment")
+    added = F.array_union(names, F.array(F.col("c_mktsegment"), F.lit("ALL")))
+    kept = F.array_except(names, F.array(F.lit("BUILDING")))
     return table(spark, sf_dir, "customer").select(
         "c_custkey",
-        F.sort_array(F.array_union(names, F.array(F.col("c_mktsegment"), F.lit("ALL")))).alias("added"),
-        F.sort_array(F.array_except(names, F.array(F.lit("BUILDING")))).alias("kept"),
+        F.array_join(F.sort_array(added), ",").alias("added"),
+        F.array_join(F.sort_array(kept), ",").alias("kept"),
     )
 
 

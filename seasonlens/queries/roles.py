@@ -156,7 +156,7 @@ def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
         "week",
         ((lo + hi) % 2).cast("int").alias("div_game"),
         F.when((season * 12 + week + lo) % 17 == 0, "unknown")
-        .otherwise(F.format_string("%d-%02d-%02d", season, week, lo * hi % 28 + 1))
+        .otherwise(F.make_date(season, week, (lo * hi % 28 + 1).cast("int")).cast("string"))
         .alias("game_date"),
         null_if((season + week + lo) % 7, 0).cast("double").alias("spread_line"),
         null_if(F.col("l_quantity") % 4, 0.0).alias("wind"),

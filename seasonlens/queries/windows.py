@@ -9,6 +9,7 @@ from seasonlens.operators.running import rank_min, running_total
 from seasonlens.operators.sets import home_and_away
 from seasonlens.queries.registry import query
 from seasonlens.queries.roles import GAME_ORDER, GAMES, SHIP_GAMES, games, history_sql, ship_games, with_sql
+from seasonlens.session import stage
 
 FIELDS = ["pts", "alt"]
 BY_PLAYER = dict(entity="player_id", order="game_date, game_id", fields=FIELDS)
@@ -65,10 +66,19 @@ TOTALS = """totals AS (
   FROM sides)"""
 
 
+def staged_sides(spark, sf_dir):
+    """Aggregated from line items, then read for group sizes and for the windows: computed once."""
+    return stage(sides(ship_games(spark, sf_dir)), "sides")
+
+
+def totals(rows):
+    order = ["week", "game_id", "is_away"]
+    return running_total(rows, ["season", "team"], order, "points_allowed", "total")
+
+
 @query("w_running", with_sql(SHIP_GAMES, SIDES.format("ship_games"), TOTALS, "SELECT * FROM totals"))
 def w_running(spark, sf_dir):
-    order = ["week", "game_id", "is_away"]
-    return running_total(sides(ship_games(spark, sf_dir)), ["season", "team"], order, "points_allowed", "total")
+    return totals(staged_sides(spark, sf_dir))
 
 
 @query(
@@ -80,4 +90,5 @@ def w_running(spark, sf_dir):
     ),
 )
 def w_rank(spark, sf_dir):
-    return rank_min(w_running(spark, sf_dir), ["season", "week"], "total", "place")
+    rows = staged_sides(spark, sf_dir)
+    return rank_min(totals(rows), ["season", "week"], "total", "place", sizes_from=rows)
