@@ -1,0 +1,69 @@
+"""A small generated league in the declared source schemas."""
+
+import random
+
+from seasonlens.functions.feature_lists import QUARTERBACK_STATS, RUSHER_RECEIVER_CARRIED, RUSHER_RECEIVER_STATS
+from seasonlens.schemas import PLAYS, ROSTERS, SCHEDULES, WEEKLY
+
+TEAMS = ["KC", "BUF", "DET", "SF"]
+PAIRS = [[("KC", "BUF"), ("DET", "SF")], [("KC", "DET"), ("SF", "BUF")], [("SF", "KC"), ("BUF", "DET")]]
+SQUAD = ["QB", "RB", "WR", "TE", "FB", "K"]
+
+
+def make_league(seasons=(2013, 2014, 2015), weeks=6, seed=3):
+    rnd = random.Random(seed)
+    players = {(team, pos): f"00-{i:03d}" for i, (team, pos) in enumerate((t, p) for t in TEAMS for p in SQUAD)}
+    stats = list(dict.fromkeys([*RUSHER_RECEIVER_CARRIED, *RUSHER_RECEIVER_STATS, *QUARTERBACK_STATS]))
+    rosters, schedules, weekly, plays = [], [], [], []
+    play_no = 0
+    for season in seasons:
+        rosters += [{"player_id": pid, "player_name": f"{pos} {team}", "season": season}
+                    for (team, pos), pid in players.items()]
+        for week in range(1, weeks + 1):
+            for home, away in PAIRS[week % 3]:
+                game = f"{season}_{week:02d}_{away}_{home}"
+                date = f"{season}-09-{week + 4:02d}"
+                schedules.append({"game_id": game, "season": season, "week": week, "home_team": home, "away_team": away,
+                                  "home_score": float(rnd.randrange(40)), "away_score": float(rnd.randrange(40))})
+                spread, indoors = float(rnd.randrange(-7, 8)), rnd.random() < 0.3
+                for team, other in ((home, away), (away, home)):
+                    base = {"game_id": game, "season": season, "week": week, "game_date": date, "div_game": week % 2,
+                            "spread_line": spread, "home_team": home, "away_team": away, "stadium": f"{home} field",
+                            "roof": "dome" if indoors else "outdoors"}
+                    kicker = players[team, "K"]
+                    for n in range(8):
+                        play_no += 1
+                        play = dict(base, play_no=play_no, posteam=team, defteam=other, play_type="pass",
+                                    wind=None if n == 0 or indoors else float(n), temp=None if n < 2 else 50.0 + n)
+                        if n < 4:
+                            play.update(passer_player_id=players[team, "QB"], passer_player_name=f"Q.{team}")
+                        else:
+                            kind = rnd.choice(["field_goal", "extra_point", "kickoff"])
+                            play.update(play_type=kind, kicker_player_id=kicker, kicker_player_name=f"K.{team}",
+                                        kick_distance=float(rnd.randrange(20, 60)))
+                            if kind == "kickoff":
+                                play.update(posteam=other, defteam=team)
+                            elif kind == "extra_point":
+                                play["extra_point_result"] = rnd.choice(["good", "good", "failed"])
+                            else:
+                                play["field_goal_result"] = rnd.choice(["made", "made", "missed", "blocked"])
+                        plays.append(play)
+                    for pos in SQUAD:
+                        if rnd.random() < 0.08:
+                            continue
+                        row = {name: (None if rnd.random() < 0.05 else float(rnd.randrange(30))) for name in stats}
+                        row["fantasy_points_ppr"] = float(rnd.randrange(120)) / 4
+                        weekly.append({**row, "player_id": players[team, pos], "position": pos, "recent_team": team,
+                                       "player_name": f"{pos[0]}.{team}" if pos != "WR" else f"W.{team}",
+                                       "opponent_team": other, "season_type": "REG", "season": season, "week": week})
+    return {"rosters": rosters, "schedules": schedules, "weekly": weekly, "pbp": plays}
+
+
+SCHEMAS = {"rosters": ROSTERS, "schedules": SCHEDULES, "weekly": WEEKLY, "pbp": PLAYS}
+
+
+def league_frames(spark, league):
+    return {
+        name: spark.createDataFrame([tuple(row.get(f) for f in SCHEMAS[name].names) for row in rows], SCHEMAS[name])
+        for name, rows in league.items()
+    }
