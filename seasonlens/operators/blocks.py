@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ROWS_PER_BLOCK = 1_000_000
+ROWS_PER_BLOCK = 2_000_000
 MAX_HOT_GROUPS = 20_000
 MAX_CUTS = 200_000
 SAMPLES_PER_CUT = 16

@@ -23,6 +23,14 @@ def with_defaults(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Let the optimizer split skewed join sides in a session that was made elsewhere."""
+    for key in DEFAULTS:
+        if "skew" in key.lower():
+            spark.conf.set(key, DEFAULTS[key])
+    return spark
+
+
 def staging_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -43,8 +51,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
     For tables that several jobs read: the lineage is cut, a lost executor costs nothing that
     was already written, and unlike a cached or checkpointed row set later reads prune columns.
+    Everything an application stages is in one folder named after it, to be removed when it ends.
     """
     spark = df.sparkSession
-    path = f"{staging_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = f"{staging_dir(spark).rstrip('/')}/staged-{spark.sparkContext.applicationId}"
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
