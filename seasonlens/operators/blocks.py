@@ -24,6 +24,7 @@ ROWS_PER_BLOCK = 2_000_000
 MAX_HOT_GROUPS = 20_000
 MAX_CUTS = 200_000
 SAMPLES_PER_CUT = 16
+FANOUT = 64
 
 BLOCK = "__block"
 LANE = "__lane"
@@ -56,27 +57,41 @@ def hot_groups(df: DataFrame, keys: list[str], rows_per_block: int = ROWS_PER_BL
 
 @dataclass(frozen=True)
 class Blocks:
-    """Cut points of the hot groups: at most ``MAX_CUTS`` order values, so safe to broadcast."""
+    """Cut points of the hot groups, at most ``MAX_CUTS``, so safe to broadcast.
+
+    ``levels`` is a search tree from the root down: each table has, per group and node, an array
+    of up to ``FANOUT`` cuts. A row passes one small array per level, however many cuts there are.
+    """
 
     keys: list[str]
     order: list[str]
-    table: DataFrame
+    levels: list[DataFrame]
 
     def cold(self, df: DataFrame) -> DataFrame:
         """Rows of all other groups, those without a complete key included."""
-        return df.join(F.broadcast(self.table.select(*self.keys)), self.keys, "left_anti")
+        return df.join(F.broadcast(self.levels[0].select(*self.keys)), self.keys, "left_anti")
 
     def hot(self, df: DataFrame) -> DataFrame:
-        """Rows of the hot groups with their block number in ``BLOCK``."""
+        """Rows of the hot groups with ``BLOCK``, the number of their group's cuts up to the row."""
         here = F.struct(*self.order)
-        run = F.size(F.filter("__heads", lambda cut: cut <= here))
-        within = F.size(F.filter(F.get("__runs", run - 1), lambda cut: cut <= here))
-        block = F.when(run == 0, F.lit(0)).otherwise((run - 1) * F.col("__stride") + within)
-        return (
-            df.join(F.broadcast(self.table), self.keys)
-            .withColumn(BLOCK, block)
-            .drop("__heads", "__runs", "__stride")
-        )
+        rows = df.withColumn(BLOCK, F.lit(0))
+        for level in self.levels:
+            passed = F.size(F.filter("__cuts", lambda cut: cut <= here))
+            # above the leaves an entry is the first cut of a child node
+            step = passed if level is self.levels[-1] else F.greatest(passed - 1, F.lit(0))
+            rows = rows.join(F.broadcast(level), [*self.keys, BLOCK])
+            rows = rows.withColumn(BLOCK, F.col(BLOCK) * FANOUT + step).drop("__cuts")
+        return rows
+
+
+def _tree(cuts: list, depth: int) -> list[list[list]]:
+    """``depth`` levels of nodes, root first, over sorted ``cuts``."""
+    levels, entries = [], cuts
+    for _ in range(depth):
+        nodes = [entries[at : at + FANOUT] for at in range(0, len(entries), FANOUT)] or [[]]
+        levels.append(nodes)
+        entries = [node[0] for node in nodes if node]
+    return levels[::-1]
 
 
 def cut_blocks(
@@ -107,22 +122,21 @@ def cut_blocks(
     by_group = defaultdict(list)
     for row in sorted(cuts, key=lambda row: row["__nth"]):
         by_group[tuple(row[key] for key in keys)].append(row["__cut"])
-    rows = []
+    most = max(map(len, by_group.values()), default=0)
+    depth = 1
+    while FANOUT**depth < most:
+        depth += 1
+
+    tables: list[list[tuple]] = [[] for _ in range(depth)]
     for hot_row in hot:
         key = tuple(hot_row[k] for k in keys)
-        points = by_group[key]
-        # square-root runs: a row compares against ~2 * sqrt(cuts) values, not all of them
-        stride = max(1, math.isqrt(len(points)))
-        runs = [points[at : at + stride] for at in range(0, len(points), stride)]
-        rows.append((*key, [run[0] for run in runs], runs, stride))
-
-    cut_type = T.StructType([df.schema[name] for name in order])
+        for table, nodes in zip(tables, _tree(by_group[key], depth)):
+            table += [(*key, node, entries) for node, entries in enumerate(nodes)]
     schema = T.StructType(
         [
             *key_fields,
-            T.StructField("__heads", T.ArrayType(cut_type)),
-            T.StructField("__runs", T.ArrayType(T.ArrayType(cut_type))),
-            T.StructField("__stride", T.IntegerType()),
+            T.StructField(BLOCK, T.IntegerType()),
+            T.StructField("__cuts", T.ArrayType(T.StructType([df.schema[name] for name in order]))),
         ]
     )
-    return Blocks(keys, order, spark.createDataFrame(rows, schema))
+    return Blocks(keys, order, [spark.createDataFrame(table, schema) for table in tables])

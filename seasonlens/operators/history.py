@@ -93,18 +93,19 @@ def _whole(df: DataFrame, entity: list[str], season: str, order: list[str], fiel
     recent = in_career.rowsBetween(-LAST_ROWS, -1)
     known = all_known(entity)
 
+    value = {field: F.col(field).cast("double") for field in fields}
     # hash(entity) also clusters (entity, season), and both windows share one sort
     rows = df.withColumn(LANE, lane(df, entity)).repartition(*group)
     rows = rows.select(
         "*",
         F.row_number().over(in_season).alias("__season_row"),
-        *[F.avg(field).over(to_date).alias(f"__to_date_{field}") for field in fields],
+        *[F.avg(value[field]).over(to_date).alias(f"__to_date_{field}") for field in fields],
     )
     features = [
         F.row_number().over(in_career).alias("__career_row"),
-        *[F.avg(field).over(before).alias(f"{field}_mean_career") for field in fields],
+        *[F.avg(value[field]).over(before).alias(f"{field}_mean_career") for field in fields],
         *[F.lag(f"__to_date_{field}").over(in_career).alias(f"{field}_mean_season") for field in fields],
-        *[F.avg(field).over(recent).alias(f"{field}_mean_last5") for field in fields],
+        *[F.avg(value[field]).over(recent).alias(f"{field}_mean_last5") for field in fields],
         *[F.lag(field).over(in_career).alias(f"{field}_last") for field in fields],
     ]
     rows = rows.select("*", *features)

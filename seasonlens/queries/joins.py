@@ -43,6 +43,7 @@ from seasonlens.queries.roles import (
     with_sql,
 )
 from seasonlens.queries.windows import SIDES, sides
+from seasonlens.session import stage
 
 
 @query(
@@ -214,8 +215,10 @@ def j_levels(spark, sf_dir):
     ),
 )
 def j_reattach(spark, sf_dir):
-    played = kicker_games(kicks(plays(spark, sf_dir)), weekly(spark, sf_dir))
+    """Both sides are the same reduced table, so it is written once and read twice."""
     keys = ["game_id", "player_id"]
+    played = kicker_games(kicks(plays(spark, sf_dir)), weekly(spark, sf_dir))
+    played = stage(played.select(*keys, "posteam", "fantasy_points_ppr"), "kicker-games")
     return null_safe_join(played.select(*keys, "posteam"), played.select(*keys, "fantasy_points_ppr"), keys, "left")
 
 
