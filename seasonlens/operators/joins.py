@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seasonlens.operators.blocks import ROWS_PER_BLOCK
+
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Join where a null key equals a null key; the key columns of ``left`` are kept."""
@@ -21,14 +23,39 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str =
     return left.join(renamed, match, how).drop(*[f"__right_{key}" for key in on])
 
 
-def previous_period(df: DataFrame, on: list[str], period: str, value: str, out: str) -> DataFrame:
+def has_hot_key(df: DataFrame, keys: list[str], rows: int = ROWS_PER_BLOCK) -> bool:
+    """Whether any key, nulls included, has more than ``rows`` rows."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    return not sizes.where(F.col("__rows") > rows).limit(1).isEmpty()
+
+
+def left_join(left: DataFrame, right: DataFrame, on: list[str], screen: list[str] | None = None,
+              rows: int = ROWS_PER_BLOCK) -> DataFrame:
+    """Null-safe left join where a key may repeat any number of times on the right.
+
+    Spark splits a skewed partition of a left join on its left side only. So if a key is hot on the
+    right, matches come from an inner join, which splits on both sides, and the rest of ``left``
+    from an anti join with the distinct keys. ``screen`` is a part of the keys with few values: keys
+    can only be hot if it is, and counting it needs hardly any shuffle.
+    """
+    keys = right.select(*on)
+    hot = (screen is None or has_hot_key(keys, screen, rows)) and has_hot_key(keys, on, rows)
+    if not hot:
+        return null_safe_join(left, right, on, "left")
+    matched = null_safe_join(left, right, on, "inner")
+    unmatched = null_safe_join(left, keys.distinct(), on, "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)
+
+
+def previous_period(df: DataFrame, on: list[str], period: str, value: str, out: str,
+                    rows: int = ROWS_PER_BLOCK) -> DataFrame:
     """Left lookup of ``value`` one calendar period earlier, under the same other keys.
 
-    Unlike a lag, a gap gives null. Several earlier rows under one key repeat the row.
+    Unlike a lag, a gap gives null. Several earlier rows under one key repeat the row. Group sizes
+    are screened by the first of ``on``.
     """
-    keys = [period, *on]
     earlier = df.select(*on, (F.col(period) + 1).alias(period), F.col(value).alias(out))
-    return null_safe_join(df, earlier, keys, "left")
+    return left_join(df, earlier, [period, *on], screen=on[:1], rows=rows)
 
 
 def suffix_join(left: DataFrame, right: DataFrame, on: list[str], suffixes: tuple[str, str],

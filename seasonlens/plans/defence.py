@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from seasonlens.functions.feature_lists import TARGET
 from seasonlens.operators.blocks import ROWS_PER_BLOCK
-from seasonlens.operators.joins import null_safe_join
+from seasonlens.operators.joins import left_join
 from seasonlens.operators.running import rank_min, running_total
 from seasonlens.operators.sets import home_and_away
+from seasonlens.session import stage
 
 
 def points_allowed(schedules: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
@@ -28,9 +29,13 @@ def points_allowed(schedules: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) -
 
 
 def points_given_up(allowed: DataFrame, players: DataFrame) -> DataFrame:
-    """Each defence week with every opposing player's points; weeks without one keep a null."""
-    given = players.select("week", "season", "opponent_team", "position", TARGET)
-    rows = null_safe_join(allowed, given, ["week", "season", "opponent_team"], "left")
+    """Each defence week with every opposing player's points; weeks without one keep a null.
+
+    ``players`` is the result of a join, so the five columns needed are staged before their keys
+    are counted.
+    """
+    given = stage(players.select("week", "season", "opponent_team", "position", TARGET), "given-up")
+    rows = left_join(allowed, given, ["week", "season", "opponent_team"])
     return rows.withColumnsRenamed({"week": "week_of_interest", TARGET: "prior_allowed_fp"}).withColumnRenamed(
         "adj_week", "week"
     )

@@ -2,7 +2,7 @@ from helpers import assert_rows
 from pyspark.sql import functions as F
 
 from seasonlens.operators.context import group_totals
-from seasonlens.operators.joins import null_safe_join, previous_period, replace_names, suffix_join
+from seasonlens.operators.joins import has_hot_key, left_join, null_safe_join, previous_period, replace_names, suffix_join
 from seasonlens.operators.sets import (
     add_to_selection,
     choices,
@@ -36,6 +36,27 @@ def test_null_keys_join_once(spark):
     assert_rows(null_safe_join(a, b, ["key"], "left"), [{"x": 1, "y": 10}, {"x": 2, "y": None}], ["x"])
 
 
+def test_hot_right_keys_change_nothing(spark):
+    left = spark.createDataFrame([(None, 1), ("hot", 2), ("cold", 3), ("none", 4), ("hot", 5)], "key string, x int")
+    rows = [("hot", i) for i in range(20)] + [("cold", 50), ("cold", 51), (None, 60), ("other", 70)]
+    right = spark.createDataFrame(rows, "key string, y int")
+    whole = left_join(left, right, ["key"])
+    split = left_join(left, right, ["key"], rows=5)
+    assert has_hot_key(right, ["key"], 19) and not has_hot_key(right, ["key"], 20)
+    assert whole.count() == 44
+    assert sorted(whole.collect(), key=str) == sorted(split.select(*whole.columns).collect(), key=str)
+    screened = left_join(left, right, ["key"], screen=["key"], rows=5)
+    assert screened.count() == 44
+
+
+def test_hot_lookup_changes_nothing(spark):
+    rows = [("X", 1, i) for i in range(12)] + [("X", 2, 99), ("Y", 1, 5), ("Y", 2, 6), (None, 1, 3), (None, 2, 4)]
+    df = spark.createDataFrame(rows, "name string, week int, pts int")
+    whole = previous_period(df, ["name"], "week", "pts", "last")
+    split = previous_period(df, ["name"], "week", "pts", "last", rows=3)
+    assert sorted(whole.collect(), key=str) == sorted(split.select(*whole.columns).collect(), key=str)
+
+
 def test_group_totals(spark):
     rows = [("g", "t", 0, None, 1, True), ("g", "t", 1, 7.0, None, False), ("g", "t", 2, 9.0, 4, True),
             (None, "t", 0, 1.0, 1, True), ("h", "t", 5, None, None, None)]
