@@ -58,6 +58,19 @@ def j_prev_week(spark, sf_dir):
     return previous_period(user_weeks(spark, sf_dir), ["player_id", "season"], "week", "pts", "last_pts")
 
 
+@query(
+    "j_prev_week_hot",
+    with_sql(
+        USER_WEEKS,
+        """SELECT a.*, b.pts AS last_pts FROM user_weeks a LEFT JOIN user_weeks b
+           ON a.player_id = b.player_id AND a.season = b.season AND a.week = b.week + 1""",
+    ),
+)
+def j_prev_week_hot(spark, sf_dir):
+    """The same lookup, with a key counted as hot as soon as it repeats."""
+    return previous_period(user_weeks(spark, sf_dir), ["player_id", "season"], "week", "pts", "last_pts", rows=1)
+
+
 @query(
     "j_prev_week_pos",
     with_sql(

@@ -296,6 +296,11 @@ PREDICTIONS = """predictions AS (
 # --- shared SQL ------------------------------------------------------------------------------
 
 
+def mean_sql(field: str, window: str) -> str:
+    """The sum divided once. DuckDB's avg of integers is off in the last digit for a few rows of large sums."""
+    return f'CAST(sum("{field}") OVER ({window}) AS DOUBLE) / nullif(count("{field}") OVER ({window}), 0)'
+
+
 def with_sql(*parts: str) -> str:
     """Common table expressions followed by the final SELECT."""
     return "WITH " + ",\n".join(parts[:-1]) + "\n" + parts[-1]
@@ -307,17 +312,16 @@ def history_sql(name: str, source: str, entity: str, order: str, fields: Sequenc
     by_career = f"PARTITION BY {entity} ORDER BY season, {order}"
     by_season = f"PARTITION BY {entity}, season ORDER BY {order}"
     rounded = "{}" if digits is None else f"round_even(({{}}) * 1e{digits}, 0) / 1e{digits}"
-    inner = [f'avg("{f}") OVER ({by_season} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS "__td_{f}"'
-             for f in fields]
+    to_date = f"{by_season} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    inner = [f'{mean_sql(f, to_date)} AS "__td_{f}"' for f in fields]
     outer = [f"row_number() OVER ({by_season}) + {base - 1} AS n_games_season"]
     if career_counter:
         outer.append(f"row_number() OVER ({by_career}) + {base - 1} AS n_games_career")
     for f in fields:
         kinds = {"mean_season": f'lag("__td_{f}") OVER ({by_career})',
-                 "mean_last5": f'avg("{f}") OVER ({by_career} ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)'}
+                 "mean_last5": mean_sql(f, f"{by_career} ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING")}
         if career:
-            kinds["mean_career"] = (
-                f'avg("{f}") OVER ({by_career} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)')
+            kinds["mean_career"] = mean_sql(f, f"{by_career} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING")
         outer += [f'{rounded.format(sql)} AS "{f}_{kind}"' for kind, sql in kinds.items()]
         if last:
             outer.append(f'lag("{f}") OVER ({by_career}) AS "{f}_last"')

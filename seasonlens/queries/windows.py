@@ -92,3 +92,43 @@ def w_running(spark, sf_dir):
 def w_rank(spark, sf_dir):
     rows = staged_sides(spark, sf_dir)
     return rank_min(totals(rows), ["season", "week"], "total", "place", sizes_from=rows)
+
+
+# The same operators with a low limit, so that the whole tables take the way of hot groups.
+HOT_ROWS = 1_000
+
+
+@query(
+    "w11_history_hot",
+    with_sql(GAMES, history_sql("h", "games", entity="priority", order="game_date, game_id", fields=FIELDS),
+             "SELECT * FROM h"),
+)
+def w11_history_hot(spark, sf_dir):
+    """Five entities hold all rows; each is computed in blocks."""
+    return player_history(games(spark, sf_dir), ["priority"], "season", GAME_ORDER, FIELDS, rows_per_block=HOT_ROWS)
+
+
+@query(
+    "w_running_hot",
+    with_sql(
+        SHIP_GAMES, SIDES.format("ship_games"),
+        """SELECT *, CASE WHEN points_allowed IS NOT NULL THEN sum(points_allowed) OVER (
+             PARTITION BY season ORDER BY week, game_id, is_away ROWS UNBOUNDED PRECEDING) END AS total FROM sides""",
+    ),
+)
+def w_running_hot(spark, sf_dir):
+    rows = staged_sides(spark, sf_dir)
+    return running_total(rows, ["season"], ["week", "game_id", "is_away"], "points_allowed", "total", HOT_ROWS)
+
+
+@query(
+    "w_rank_hot",
+    with_sql(
+        SHIP_GAMES, SIDES.format("ship_games"),
+        """SELECT *, CASE WHEN points_allowed IS NOT NULL THEN
+             rank() OVER (PARTITION BY season ORDER BY points_allowed ASC NULLS LAST) END AS place FROM sides""",
+    ),
+)
+def w_rank_hot(spark, sf_dir):
+    """Few values and many ties: equal values are counted before they are ranked."""
+    return rank_min(staged_sides(spark, sf_dir), ["season"], "points_allowed", "place", HOT_ROWS)
