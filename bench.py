@@ -19,7 +19,7 @@ from seasonlens.queries import QUERIES
 from seasonlens.session import with_defaults
 
 HEADLINE = [
-    "w11_history", "w12_history", "w12_defence", "w_running", "w_rank",
+    "w11_history", "w11_history_hot", "w12_history", "w12_defence", "w_running", "w_rank",
     "p_flags", "p_encode", "j_prev_week", "j_context", "j_context_name", "j_inner_multi", "j_roster",
     "a_game_totals", "a_metrics", "o_topk", "u_home_away", "m_split", "m_scale", "m_ols1",
     "f1_features", "f2_features", "f3_features", "f4_defence_rank",

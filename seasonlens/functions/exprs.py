@@ -21,10 +21,6 @@ def is_true(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-def either(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
-
-
 def half_even(column: Column | str, digits: int) -> Column:
     """Round the scaled double to even, as floating-point libraries do."""
     column = F.col(column) if isinstance(column, str) else column
