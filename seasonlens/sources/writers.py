@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from seasonlens.functions.exprs import plain_text
 
@@ -10,10 +11,10 @@ from seasonlens.functions.exprs import plain_text
 def write_seasons(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Parquet partitioned by season.
 
-    Rows keep their tasks instead of moving to one task per season, so a long season is written
-    by many tasks; compact the files per season afterwards if there are many small ones.
+    Rows of a season come together, so that not every task adds a small file to every season;
+    adaptive execution cuts a long season into files of its advisory partition size.
     """
-    df.write.mode(mode).partitionBy("season").parquet(path)
+    df.hint("rebalance", F.col("season")).write.mode(mode).partitionBy("season").parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -35,6 +35,19 @@ def test_season_range_prunes_files_and_columns(spark, folder):
     assert "ReadSchema: struct<game_id:string,wind:double>" in plan
 
 
+def test_seasons_are_few_files_and_long_ones_are_cut(spark, tmp_path):
+    df = spark.range(200_000).select((F.when(F.col("id") % 10 == 0, 2023).otherwise(2024)).alias("season"),
+                                     F.rand(1).alias("x")).repartition(12)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200000")
+    try:
+        write_seasons(df, f"{tmp_path}/rows")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {s: len(list((tmp_path / "rows" / f"season={s}").glob("*.parquet"))) for s in (2023, 2024)}
+    assert files[2023] < 12 and 1 < files[2024] < 12
+    assert spark.read.parquet(f"{tmp_path}/rows").count() == 200_000
+
+
 def test_nan_is_read_as_null(spark, tmp_path):
     df = spark.createDataFrame([("g", 2024, 1, "a", "b", float("nan"), 3.0)], SOURCES["schedules"])
     write_seasons(df, f"{tmp_path}/schedules")
