@@ -16,7 +16,7 @@ import time
 from pyspark.sql import SparkSession
 
 from seasonlens.queries import QUERIES
-from seasonlens.session import with_defaults
+from seasonlens.session import release, with_defaults
 
 HEADLINE = [
     "w11_history", "w11_history_hot", "w12_history", "w12_defence", "w_running", "w_rank",
@@ -52,6 +52,7 @@ def main() -> None:
     for name in names:
         seconds(spark, name, sf_dir)
         times[name] = round(min(seconds(spark, name, sf_dir) for _ in range(runs)), 3)
+        release(spark)
         print(f"{name} {times[name]}", file=sys.stderr, flush=True)
     spark.stop()
     scale = re.search(r"sf([\d.]+)", sf_dir)

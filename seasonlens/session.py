@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
@@ -16,6 +16,9 @@ DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+#: by application, what ``stage`` has persisted in sessions without a shared folder
+_persisted: dict[str, list[DataFrame]] = {}
+
 
 def with_defaults(builder: SparkSession.Builder) -> SparkSession.Builder:
     for key, value in DEFAULTS.items():
@@ -31,30 +34,39 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def staging_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+def staging_dir(spark: SparkSession) -> str | None:
+    """The shared folder named by ``spark.checkpoint.dir``; None if the session names none."""
+    return spark.conf.get("spark.checkpoint.dir", None)
 
-    Only a local-mode session may go without it: there one machine is the whole cluster.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared
-    if not spark.conf.get("spark.master", "local").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    own = tempfile.mkdtemp(prefix="seasonlens-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+
+def _folder(spark: SparkSession, shared: str) -> str:
+    return f"{shared.rstrip('/')}/staged-{spark.sparkContext.applicationId}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back.
+    """``df`` computed once, for tables that several jobs read.
 
-    For tables that several jobs read: the lineage is cut, a lost executor costs nothing that
-    was already written, and unlike a cached or checkpointed row set later reads prune columns.
-    Everything an application stages is in one folder named after it, to be removed when it ends.
+    With a shared folder it is written there as Parquet and read back: the lineage is cut, a lost
+    executor costs nothing that was already written, and later reads prune columns. Without one it
+    is persisted in the executors, which compute lost blocks again. ``release`` removes both.
     """
     spark = df.sparkSession
-    folder = f"{staging_dir(spark).rstrip('/')}/staged-{spark.sparkContext.applicationId}"
-    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    shared = staging_dir(spark)
+    if not shared:
+        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+        _persisted.setdefault(spark.sparkContext.applicationId, []).append(kept)
+        return kept
+    path = f"{_folder(spark, shared)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove everything this application has staged; call it when results have been used."""
+    for kept in _persisted.pop(spark.sparkContext.applicationId, []):
+        kept.unpersist()
+    shared = staging_dir(spark)
+    if shared:
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(_folder(spark, shared))
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
