@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -28,16 +29,19 @@ def with_columns(
     """
     schema = T.StructType([df.schema[name] for name in keep] + made.fields)
     width, kept = len(made), len(keep)
+    shared = text_col in keep and df.schema[text_col].dataType == T.StringType()
+    at = keep.index(text_col) if shared else kept
 
     def run(batches):
         out = to_arrow_schema(schema)
         fn = start()
         for batch in pieces(batches):
-            rows = [fn(text or "") for text in batch.column(kept).to_pylist()]
-            columns = [pa.array([row[i] for row in rows], out.field(kept + i).type) for i in range(width)]
-            yield pa.RecordBatch.from_arrays([batch.column(i).cast(out.field(i).type) for i in range(kept)] + columns, schema=out)
-
-    from pyspark.sql import functions as F
-
-    text = F.col(f"`{text_col}`").cast("string").alias("__text")
-    return df.select(*[F.col(f"`{name}`") for name in keep], text).mapInArrow(run, schema)
+            rows = [fn(text or "") for text in batch.column(at).to_pylist()]
+            columns = [batch.column(i).cast(out.field(i).type) for i in range(kept)]
+            columns += [pa.array([row[i] for row in rows], out.field(kept + i).type) for i in range(width)]
+            yield pa.RecordBatch.from_arrays(columns, schema=out)
+
+    read = [F.col(f"`{name}`") for name in keep]
+    if not shared:
+        read.append(F.col(f"`{text_col}`").cast("string").alias("__text"))
+    return df.select(*read).mapInArrow(run, schema)
