@@ -8,8 +8,6 @@ import numpy as np
 from xxhash import xxh3_64_intdigest
 
 SIZE = 5
-# odd multipliers, one for each place in a shingle, and those of the final mixing
-_PLACES = np.array([0x9E3779B97F4A7C15 * (2 * i + 1) & 0xFFFFFFFFFFFFFFFF | 1 for i in range(SIZE)], dtype=np.uint64)
 _MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
 _SHIFT = np.uint64(33)
 
@@ -20,6 +18,10 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _SHIFT)
 
 
+# odd multipliers, one for each place in a shingle; they are unrelated, so words that change places change the sum
+_PLACES = mixed(np.arange(1, SIZE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
+
 def word_hashes(text: str) -> np.ndarray:
     """Hashes of the words between ASCII white space, A-Z in lower case."""
     words = text.encode("utf-8", "surrogatepass").lower().split()
