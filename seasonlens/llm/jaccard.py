@@ -186,7 +186,6 @@ def _similar(percent: int):
 def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     one = sets.select(F.col("key").alias("a"), F.col("hashes").alias("one"))
     other = sets.select(F.col("key").alias("b"), F.col("hashes").alias("other"))
-    # the more frequent side of a pair is the hub, b: adaptive execution splits its partitions
     return pairs.join(one, "a").join(other, "b").select("a", "b", "one", "other").mapInArrow(_similar(percent), "a long, b long")
 
 
@@ -199,6 +198,13 @@ def _enough(pairs: DataFrame, percent: int) -> DataFrame:
     """
     n_a, n_b = F.expr("shiftright(size_a, 5)"), F.expr("shiftright(size_b, 5)")
     k_a, k_b = F.expr("shiftright(size_a, 1) % 16"), F.expr("shiftright(size_b, 1) % 16")
+    # a pair may come in either order, from one token this way and from another that way
+    swap = F.col("a") > F.col("b")
+    pairs = pairs.select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
+        F.when(swap, F.col("size_b")).otherwise(F.col("size_a")).alias("size_a"),
+        F.when(swap, F.col("size_a")).otherwise(F.col("size_b")).alias("size_b"),
+    )
     counted = pairs.groupBy("a", "b", "size_a", "size_b").agg(F.count(F.lit(1)).alias("matches"))
     overlap = F.ceil(percent * (n_a + n_b) / F.lit(100 + percent))
     rest = F.greatest(F.ceil(n_a * percent / F.lit(100)) - k_a, F.ceil(n_b * percent / F.lit(100)) - k_b)
