@@ -2,12 +2,13 @@
 
 Shingles are ordered from rare to frequent by counts over all documents. A set of n shingles that is similar to
 another shares at least ceil(0.75 n) with it, so the first n - ceil(0.75 n) + k of both must share k. Each document
-chooses its own k: as long as its prefix holds only rare shingles, 1; where frequent ones would make many
-candidates, the prefix is lengthened by k - 1 and k matches are asked for, as far as the estimated cost falls. A
-pair with demands k and l needs min(k, l) common prefix shingles to be compared.
+chooses the k with the least estimated cost: a longer prefix has more postings to read, but asks for more matches and
+so leaves fewer candidates. k is at least ``least_matches(n)``, which grows with n. So of the prefix shingles that turn
+out to be shared with another document at all, the most frequent ones, up to one less than the matches that any
+partner must have, need not be joined on: a similar pair still meets on its rarest common shingle.
 
 Documents with equal sets are one class, compared once. Links are used for connected components only, so pairs that
-are known to be connected need no check: first every class is compared with one hub of each shingle it shares,
+are known to be connected need no check: first every class is compared with a few hubs of each shingle it shares,
 then only candidate pairs from different components are, all of them. A group of n near copies of one text thus costs
 about n comparisons instead of n * n, and no link between components is lost.
 """
@@ -32,13 +33,13 @@ PERCENT = 75
 COUNTERS = 1 << 20
 BLOCKS = 16
 #: common prefix shingles to ask for at most; a cost choice that loses no pair
-MOST_MATCHES = 8
+MOST_MATCHES = 255
 #: cost of comparing a candidate against reading one posting
 COMPARE_COST = 4.0
-#: rows of 8 bytes up to which the keys of candidates are broadcast (32 MB); beyond it they are shuffled
-BROADCAST_ROWS = 2_000_000
-#: rounds of hub comparisons before all candidate pairs that are left are compared
-HUB_ROUNDS = 2
+#: rows of 8 bytes up to which the keys of candidates are broadcast (some 30 MB in memory); beyond it they are shuffled
+BROADCAST_ROWS = 500_000
+#: hubs of a shingle in each round, before all candidate pairs that are left are compared
+HUBS = (1, 2, 4)
 POSTINGS_AT_ONCE = 1 << 18
 
 
@@ -108,6 +109,11 @@ def frequency_estimate(counted: DataFrame) -> np.ndarray:
     return np.maximum(counts, noise) - noise
 
 
+def least_matches(n: int) -> int:
+    """The matches that every set of n shingles asks for at least: where the cost is least without frequent shingles."""
+    return max(1, math.isqrt(n))
+
+
 def matches_to_ask(frequencies: np.ndarray, n: int, percent: int = PERCENT) -> int:
     """The number of prefix matches with the least estimated cost, given frequencies from rare to frequent.
 
@@ -115,19 +121,21 @@ def matches_to_ask(frequencies: np.ndarray, n: int, percent: int = PERCENT) -> i
     matches asked for can have enough matches to be compared.
     """
     overlap = least_overlap(n, percent)
-    most = min(MOST_MATCHES, overlap)
+    least = least_matches(n)
+    most = max(least, min(MOST_MATCHES, overlap))
     start = n - overlap + 1
-    if most <= 1 or not frequencies[:start + most - 1].any():
-        return 1
-    read = np.cumsum(frequencies[:start + most - 1], dtype=np.float64)[start - 1:]
-    asked = np.arange(1, len(read) + 1)
-    return int(np.argmin(read + COMPARE_COST * read / asked)) + 1
+    prefix = frequencies[:start + most - 1]
+    if most == least or not prefix.any():
+        return least
+    read = np.cumsum(prefix + 1.0)[start + least - 2:]
+    asked = np.arange(least, least + len(read))
+    return int(np.argmin(read + COMPARE_COST * read / asked)) + least
 
 
 def _postings(frequency, percent: int):
     """Prefix shingles of each distinct set of the task: token, key and packed size.
 
-    The packed size holds n, the matches to ask for (4 bits) and whether the token is known to be frequent (1 bit).
+    The packed size holds n, the matches to ask for (8 bits) and whether the token is known to be frequent (1 bit).
     """
 
     def run(batches):
@@ -148,7 +156,7 @@ def _postings(frequency, percent: int):
                 order = order[:n - least_overlap(n, percent) + asked]
                 tokens.append(hashes[order])
                 keys.append(np.full(len(order), key, dtype=np.int64))
-                sizes.append((n * 16 + asked) * 2 + (often[order] > 0).astype(np.int64))
+                sizes.append((n * 256 + asked) * 2 + (often[order] > 0).astype(np.int64))
                 held += len(order)
                 if held >= POSTINGS_AT_ONCE:
                     yield _posting_batch(tokens, keys, sizes)
@@ -189,15 +197,28 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(other, "b").select("a", "b", "one", "other").mapInArrow(_similar(percent), "a long, b long")
 
 
+def _n(size: str):
+    return F.expr(f"shiftright({size}, 9)")
+
+
+def _k(size: str):
+    return F.expr(f"shiftright({size}, 1) % 256")
+
+
+def _unjoined(n, percent: int):
+    """How many of a set's most frequent shared shingles are not joined on: any partner has more matches than that."""
+    smallest = F.ceil(n * percent / F.lit(100))
+    # the square root is exact: whole numbers below 2^52
+    return F.greatest(F.floor(F.sqrt(smallest)), F.lit(1)) - 1
+
+
 def _enough(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) with enough matches, from one row (a, b, size_a, size_b) for each common prefix token.
+    """Pairs (a, b) with enough matches, from one row (a, b, size_a, size_b) for each common joined shingle.
 
     Two prefixes show every common shingle up to the earlier of their ends, and what follows in the set that ends
     earlier is its least overlap less the matches it asks for. So a pair that is similar has at least as many
-    matches as its own overlap exceeds that, and at least the smaller of both demands.
+    matches as its own overlap exceeds that, and at least the smaller of both demands; less those not joined on.
     """
-    n_a, n_b = F.expr("shiftright(size_a, 5)"), F.expr("shiftright(size_b, 5)")
-    k_a, k_b = F.expr("shiftright(size_a, 1) % 16"), F.expr("shiftright(size_b, 1) % 16")
     # a pair may come in either order, from one token this way and from another that way
     swap = F.col("a") > F.col("b")
     pairs = pairs.select(
@@ -206,14 +227,17 @@ def _enough(pairs: DataFrame, percent: int) -> DataFrame:
         F.when(swap, F.col("size_a")).otherwise(F.col("size_b")).alias("size_b"),
     )
     counted = pairs.groupBy("a", "b", "size_a", "size_b").agg(F.count(F.lit(1)).alias("matches"))
+    n_a, n_b, k_a, k_b = _n("size_a"), _n("size_b"), _k("size_a"), _k("size_b")
     overlap = F.ceil(percent * (n_a + n_b) / F.lit(100 + percent))
     rest = F.greatest(F.ceil(n_a * percent / F.lit(100)) - k_a, F.ceil(n_b * percent / F.lit(100)) - k_b)
-    return counted.filter((F.col("matches") >= F.least(k_a, k_b)) & (F.col("matches") >= overlap - rest)).select("a", "b")
+    unjoined = F.greatest(_unjoined(n_a, percent), _unjoined(n_b, percent))
+    needed = F.greatest(F.least(k_a, k_b), overlap - rest) - unjoined
+    return counted.filter(F.col("matches") >= needed).select("a", "b")
 
 
 def _fits(percent: int):
     """Whether sets of the two packed sizes can be similar at all."""
-    n_a, n_b = F.expr("shiftright(size_a, 5)"), F.expr("shiftright(size_b, 5)")
+    n_a, n_b = _n("size_a"), _n("size_b")
     return 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
 
 
@@ -253,16 +277,21 @@ def _labels(texts: DataFrame, rows: DataFrame, counted: DataFrame, percent: int)
     # a frequent token may be hot and is known to be shared; of the others, one sort finds the shared ones
     rare = postings.filter("size % 2 = 0")
     token = W.partitionBy("token")
-    rare = rare.withColumn("low", F.min("key").over(token)).withColumn("high", F.max("key").over(token))
+    rare = rare.select("*", F.min("key").over(token).alias("low"), F.max("key").over(token).alias("high"), F.count("key").over(token).alias("n"))
     rare = rare.filter("low <> high").drop("low", "high")
     size = F.expr("size - size % 2").alias("size")
-    shared = rare.unionByName(postings.filter("size % 2 = 1")).select("token", "key", size).distinct()
+    often = postings.filter("size % 2 = 1").withColumn("n", F.lit(1 << 62))
+    shared = rare.unionByName(often).select("token", "key", size, "n").distinct()
+    ranked = shared.withColumn("place", F.row_number().over(W.partitionBy("key").orderBy(F.desc("n"), "token"))).withColumn(
+        "shared", F.count("token").over(W.partitionBy("key"))
+    )
+    shared = ranked.filter(F.col("place") > _unjoined(_n("size"), percent)).select("token", "key", "size", "shared")
     shared = stage(shared, "jaccard-postings")
     active = stage(shared.select("key").distinct(), "jaccard-keys")
     label = active.select(F.col("key").alias("node"), F.col("key").alias("label"))
     links, round_ = None, 0
     while True:
-        last = round_ >= HUB_ROUNDS
+        last = round_ >= len(HUBS)
         open_ = stage(_open_lists(shared, label), "jaccard-open")
         pairs = _all_pairs(open_, percent) if last else _hub_pairs(open_, round_, percent)
         pairs = stage(_enough(pairs, percent), "jaccard-pairs")
@@ -279,7 +308,7 @@ def _labels(texts: DataFrame, rows: DataFrame, counted: DataFrame, percent: int)
             )
         if last:
             return label
-        round_ = round_ + 1 if found else HUB_ROUNDS
+        round_ = round_ + 1 if found else len(HUBS)
 
 
 def _sets(texts: DataFrame, rows: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -310,17 +339,24 @@ def _checked_sets(batches):
 
 def _open_lists(shared: DataFrame, label: DataFrame) -> DataFrame:
     """Postings of tokens that classes of different components share, with their components."""
-    named = shared.join(label, shared["key"] == label["node"]).select("token", "key", "size", "label")
+    named = shared.join(label, shared["key"] == label["node"]).select("token", "key", "size", "shared", "label")
     spread = named.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
     return named.join(spread.select("token"), "token")
 
 
 def _hub_pairs(open_: DataFrame, round_: int, percent: int) -> DataFrame:
-    """Every posting with the hub of its token: the class whose key has the least hash, another hash in each round."""
-    hubs = open_.groupBy("token").agg(
-        F.min_by(F.struct("key", "size", "label"), F.xxhash64(F.col("key"), F.lit(round_))).alias("hub")
-    )
-    pairs = open_.join(hubs, "token").filter("label <> hub.label")
+    """Every posting with the hubs of its token.
+
+    The first hub is the class that has most shingles in common with others, as the original of many copies has; the
+    later ones are those whose keys have the least hashes, by other hashes in each round.
+    """
+    what = F.struct("key", "size", "label")
+    if round_ == 0:
+        chosen = [F.max_by(what, F.struct("shared", "key"))]
+    else:
+        chosen = [F.min_by(what, F.xxhash64(F.col("key"), F.lit(100 * round_ + i))) for i in range(HUBS[round_])]
+    hubs = open_.groupBy("token").agg(F.array_distinct(F.array(*chosen)).alias("hubs"))
+    pairs = open_.join(hubs, "token").select("key", "size", "label", F.explode("hubs").alias("hub")).filter("label <> hub.label")
     return pairs.select(
         F.col("key").alias("a"), F.col("hub.key").alias("b"), F.col("size").alias("size_a"), F.col("hub.size").alias("size_b")
     ).filter(_fits(percent))

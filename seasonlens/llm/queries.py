@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from seasonlens.llm.decontaminate import leaks
 from seasonlens.llm.exact_dedup import exact_dedup
 from seasonlens.llm.jaccard import near_duplicates
+from seasonlens.llm.packing import packed_documents
 from seasonlens.llm.quality import fit, quality_scores
 from seasonlens.llm.secrets import secret_scan
 
@@ -16,6 +17,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def tokenizer(name: str) -> str:
+    """The place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     QUERIES[fn.__name__] = fn
     return fn
@@ -56,3 +64,8 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_scores(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_documents(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))

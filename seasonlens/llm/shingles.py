@@ -37,7 +37,10 @@ def shingle_set(text: str, size: int = SIZE) -> np.ndarray:
     total = np.full(len(words) - run + 1, run, dtype=np.uint64)
     for i in range(run):
         total += words[i:len(words) - run + 1 + i] * _PLACES[i]
-    return np.unique(mixed(total))
+    total = np.sort(mixed(total))
+    new = np.ones(len(total), dtype=bool)
+    np.not_equal(total[1:], total[:-1], out=new[1:])
+    return total[new]
 
 
 def set_key(hashes: np.ndarray) -> int | None:
