@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from seasonlens.llm import html_text
 from seasonlens.llm.decontaminate import leaks
 from seasonlens.llm.exact_dedup import exact_dedup
 from seasonlens.llm.jaccard import near_duplicates
@@ -69,3 +70,9 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+@query
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_text.main_text(pages, html_text.fit(pages), ["page_id", "url"])
