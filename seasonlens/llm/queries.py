@@ -13,6 +13,7 @@ from seasonlens.llm.jaccard import near_duplicates
 from seasonlens.llm.packing import packed_documents
 from seasonlens.llm.quality import fit, quality_scores
 from seasonlens.llm.secrets import secret_scan
+from seasonlens.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -49,6 +50,11 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
 @query
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
