@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,8 @@ DEFAULTS = {
 
 #: by application, what ``stage`` has persisted in sessions without a shared folder
 _persisted: dict[str, list[DataFrame]] = {}
+#: applications whose Python workers have this package
+_shared: set[str] = set()
 
 
 def with_defaults(builder: SparkSession.Builder) -> SparkSession.Builder:
@@ -34,6 +37,17 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let the Python workers of a local session import this package, from wherever the driver loaded it.
+
+    On a cluster the package is part of the executors' environment or shipped with the application.
+    """
+    context = spark.sparkContext
+    if context._jsc.sc().isLocal() and context.applicationId not in _shared:
+        _shared.add(context.applicationId)
+        context.addFile(str(Path(__file__).resolve().parent), recursive=True)
+
+
 def staging_dir(spark: SparkSession) -> str | None:
     """The shared folder named by ``spark.checkpoint.dir``; None if the session names none."""
     return spark.conf.get("spark.checkpoint.dir", None)
