@@ -314,13 +314,13 @@ def _labels(texts: DataFrame, rows: DataFrame, counted: DataFrame, percent: int)
 def _sets(texts: DataFrame, rows: DataFrame, pairs: DataFrame) -> DataFrame:
     """key and hashes of every class in the pairs, from the text of one row of each."""
     keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    chosen = _small(stage(rows.join(keys, "key").groupBy("key").agg(F.min("id").alias("chosen")), "jaccard-chosen"))
+    chosen = broadcast_if_small(stage(rows.join(keys, "key").groupBy("key").agg(F.min("id").alias("chosen")), "jaccard-chosen"))
     brought = texts.join(chosen, texts["id"].eqNullSafe(chosen["chosen"])).select("key", "text")
     sets = brought.mapInArrow(_checked_sets, "key long, hashes binary")
     return stage(sets.groupBy("key").agg(F.first("hashes").alias("hashes")), "jaccard-sets")
 
 
-def _small(df: DataFrame) -> DataFrame:
+def broadcast_if_small(df: DataFrame) -> DataFrame:
     """Broadcast if a count has shown that it fits."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 

@@ -160,7 +160,8 @@ def fit(
         ones, rows = tally.get(1.0, 0), sum(tally.values())
         share = (ones + 1) / (rows + 2)
         return RuleEnsemble(math.log(share / (1 - share)), ())
-    ordered = sample.repartition(4, id_col).sortWithinPartitions(id_col, *[f.name for f in MADE])
+    # the same rows in the same order on every run: bagging and sums depend on it
+    ordered = sample.orderBy(id_col, *[f.name for f in MADE]).coalesce(4)
     vectors = VectorAssembler(inputCols=[f.name for f in MADE], outputCol="x").transform(ordered).select("__label", "x")
     vectors = vectors.persist()
     forest = RandomForestClassifier(
@@ -176,7 +177,7 @@ def fit(
     fired = ordered.select("__label", *[rule.column().alias(name) for rule, name in zip(rules, names)])
     fired = VectorAssembler(inputCols=names, outputCol="x").transform(fired).select("__label", "x").persist()
     lasso = LogisticRegression(
-        labelCol="__label", featuresCol="x", elasticNetParam=1.0, regParam=LASSO, standardization=False, maxIter=100
+        labelCol="__label", featuresCol="x", elasticNetParam=1.0, regParam=LASSO, standardization=False, maxIter=60
     ).fit(fired)
     fired.unpersist()
     weights = tuple((rule, float(w)) for rule, w in zip(rules, lasso.coefficients.toArray()) if w)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,7 +14,10 @@ from seasonlens.llm.jaccard import near_duplicates
 from seasonlens.llm.packing import packed_documents
 from seasonlens.llm.quality import fit, quality_scores
 from seasonlens.llm.secrets import secret_scan
+from seasonlens.llm.substrings import remove_substrings
+from seasonlens.llm.suffixes import remove_repeats
 from seasonlens.llm.token_counts import token_counts
+from seasonlens.session import share_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -27,7 +31,12 @@ def tokenizer(name: str) -> str:
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[fn.__name__] = fn
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        share_package(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
     return fn
 
 
@@ -78,6 +87,16 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+@query
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_substrings(table(spark, sf_dir, "documents"), with_text=False)
+
+
+@query
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), with_bytes=False)
+
+
 @query
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
