@@ -5,6 +5,8 @@ Each stage reads what its predecessor kept, written as Parquet. All but the last
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,12 +43,23 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.packed_documents(docs, tokenizer("word_bpe_49k.json"))
 
 
+def _anywhere(step):
+    """The stage, also where the session's Python workers do not have the package yet."""
+
+    @wraps(step)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        share_package(spark)
+        return step(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("quality classifier", keep_quality),
-    ("exact dedup", drop_copies),
-    ("n-gram Jaccard join", drop_near_copies),
-    ("benchmark decontamination", drop_leaks),
-    ("packing", pack),
+    ("quality classifier", _anywhere(keep_quality)),
+    ("exact dedup", _anywhere(drop_copies)),
+    ("n-gram Jaccard join", _anywhere(drop_near_copies)),
+    ("benchmark decontamination", _anywhere(drop_leaks)),
+    ("packing", _anywhere(pack)),
 ]
 
 #: the classifier and the tokenizer cannot be written in SQL; tests hold run() against a brute-force version
@@ -55,7 +68,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, one after the other, from ``documents``; runs all but the last when it is called."""
-    share_package(spark)
     docs = table(spark, sf_dir, "documents")
     for i, (name, step) in enumerate(STAGES):
         docs = step(spark, docs, sf_dir)
