@@ -24,7 +24,7 @@ from seasonlens.llm.arrow import with_columns
 #: pages of the given table to train from at most; those with the smallest hash of their id
 SAMPLE_PAGES = 60
 #: weight of a page written for training against one of the sample
-WRITTEN_WEIGHT = 5.0
+WRITTEN_WEIGHT = 10.0
 LABEL = "data-content"
 
 _TOKEN = re.compile(
@@ -51,6 +51,7 @@ ENDS = {
 }
 BARRIERS = frozenset("ul ol dl table article section div body html aside nav main footer header form".split())
 
+FRAMES = frozenset("nav footer header aside form".split())
 KIND = {
     **{f"h{i}": "heading" for i in range(1, 7)}, "ul": "list", "ol": "list", "menu": "list", "li": "item", "dl": "list", "dt": "item", "dd": "item",
     "td": "cell", "th": "cell", "tr": "row", "table": "table", "pre": "quote", "blockquote": "quote", "figcaption": "quote",
@@ -190,7 +191,7 @@ def parse(source: str, labels: bool = False) -> Page:
 
 
 def features(page: Page) -> list[list[str]]:
-    """What each node looks like: element, names, length, share of links and sentence ends of all that is below it."""
+    """What each node looks like: element, names, what it is in, length, links and sentence ends of all that is below."""
     nodes = page.nodes
     chars, linked, stops = ([getattr(n, what) for n in nodes] for what in ("chars", "linked", "stops"))
     for i in range(len(nodes) - 1, 0, -1):
@@ -198,11 +199,14 @@ def features(page: Page) -> list[list[str]]:
         chars[up] += chars[i]
         linked[up] += linked[i]
         stops[up] += stops[i]
-    found = []
+    found, inside = [], []
     for i, node in enumerate(nodes):
         share = min(1.0, linked[i] / chars[i]) if chars[i] else 0.0
         row = ["bias", "tag:" + KIND.get(node.tag, node.tag), f"links:{int(share * 3)}", f"length:{min(4, len(str(chars[i])) if chars[i] else 0)}"]
         row += ["name:" + name for name in node.names]
+        above = node.parent
+        inside.append(inside[above] | nodes[above].names - {"body"} | ({nodes[above].tag} & FRAMES) if above >= 0 else frozenset())
+        row += ["in:" + name for name in inside[i]]
         row.append("stops" if stops[i] else "no stops")
         found.append(row)
     return found
@@ -270,7 +274,7 @@ def by_markup(page: Page) -> None:
             node.label = 0
 
 
-def train(pages: list[tuple[Page, float]], steps: int = 200, rate: float = 0.5, penalty: float = 0.3) -> ContentModel:
+def train(pages: list[tuple[Page, float]], steps: int = 300, rate: float = 0.5, penalty: float = 0.02) -> ContentModel:
     """Potentials of greatest likelihood for labelled pages with weights, by gradient steps over exact marginals."""
     trees = []
     for page, weight in pages:

@@ -38,4 +38,10 @@ PAGES = [
     _page(_NAV, f'<section data-content="1">{_BODY}<nav data-content="0">{_LINKS}</nav>{_LIST}</section>', f'<div class="newsletter"><p>{_LONG}</p></div>', _FOOTER),
     _page(_ADVERT, f'<article data-content="1"><h1>Short</h1><p>{_SHORT}</p></article>', _COMMENTS, _FOOTER),
     _page(_NAV, f'<article data-content="1"><header data-content="0"><p>{_SHORT}</p>{_LINKS}</header>{_BODY}<footer data-content="0"><p>{_MORE}</p></footer></article>', _BANNER),
+    _page(_NAV, f'<article data-content="1">{_BODY}<section class="comments" data-content="0"><h2>Readers say</h2><p>{_LONG}</p><p>{_SHORT}</p></section></article>', _FOOTER),
+    _page(_HEADER, f'<article data-content="1">{_LIST}<div id="comments" data-content="0"><h3>Comments</h3><ol><li><p>{_MORE}</p></li><li><p>{_LONG}</p></li></ol></div></article>', _FOOTER),
+    _page(_NAV, f'<main><article data-content="1">{_BODY}<ul class="replies" data-content="0"><li>{_LONG}</li><li>{_SHORT}</li></ul></article></main>', _SIDEBAR, _FOOTER),
+    _page(_HEADER, f'<article data-content="1"><div class="notice" data-content="0"><p>{_MORE}</p></div>{_BODY}<div class="related" data-content="0"><p>{_LONG}</p>{_LINKS}</div></article>', _FOOTER),
+    _page(_NAV, f'<article data-content="1">{_BODY}<div class="share" data-content="0"><p>{_SHORT}</p></div><div class="newsletter" data-content="0"><p>{_LONG}</p></div><p>{_LONG}</p></article>', _COMMENTS, _FOOTER),
+    _page(f'<div class="topbar">{_MORE}</div>', f'<div class="menu">{_LINKS}</div>', f'<article data-content="1">{_BODY}</article>', f'<div class="comments"><h2>Comments</h2><p>{_LONG}</p><p>{_MORE}</p></div>', f'<div class="popup"><p>{_LONG}</p></div>'),
 ]
