@@ -25,7 +25,7 @@ END = 2
 #: documents of a group on average, and pieces that are packed at a time at most
 GROUP_DOCS = 8192
 GROUP_PIECES = 65_536
-#: words whose ids a task remembers
+#: words of a generation whose ids a Python worker remembers; it holds two
 WORDS_KEPT = 400_000
 
 # texts whose words may not be encoded apart from each other: characters that normalisation could join, or whose
@@ -45,7 +45,9 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        #: words seen since the last change of generations, and those of the generation before
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def learn(self, words: list[str]) -> None:
         found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
@@ -60,10 +62,13 @@ class WordEncoder:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         words = text.lower().split()
         if len(self.known) > WORDS_KEPT:
-            self.known.clear()
-        new = list(set(words).difference(self.known))
+            self.known, self.older = {}, self.known
+        new = set(words).difference(self.known)
         if new:
-            self.learn(new)
+            again = new.intersection(self.older)
+            self.known.update((word, self.older[word]) for word in again)
+            if len(again) < len(new):
+                self.learn(list(new - again))
         return b"".join(map(self.known.__getitem__, words))
 
 

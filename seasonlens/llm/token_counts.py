@@ -23,7 +23,7 @@ from seasonlens.llm.arrow import with_columns
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-#: words that a Python worker remembers
+#: words of a generation that a Python worker remembers; it holds two
 WORDS_KEPT = 400_000
 
 _RUNS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
@@ -53,7 +53,9 @@ class UnigramCounter:
         self.unknown = min(pieces.values(), default=0.0) - UNKNOWN_PENALTY
         # whether words and lines are independent
         self.apart = not any("\n" in piece or SPACE in piece.lstrip(SPACE) for piece in pieces)
+        #: words seen since the last change of generations, and those of the generation before
         self.known: dict[str, tuple[int, float]] = {}
+        self.older: dict[str, tuple[int, float]] = {}
 
     def best(self, text: str) -> tuple[int, float]:
         """Pieces and score of ``text``, in which marks stand for spaces."""
@@ -89,12 +91,12 @@ class UnigramCounter:
         whole = SPACE + text.replace(" ", SPACE)
         if not self.apart:
             return self.best(whole)
-        known = self.known
-        if len(known) > WORDS_KEPT:
-            known.clear()
+        if len(self.known) > WORDS_KEPT:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
         words = _RUNS.findall(whole)
         for word in set(words).difference(known):
-            known[word] = self.best(word)
+            known[word] = older[word] if word in older else self.best(word)
         found = [known[word] for word in words]
         return sum([n for n, _ in found]), sum([s for _, s in found])
 
