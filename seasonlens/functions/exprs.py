@@ -55,12 +55,25 @@ def swap_where(df: DataFrame, condition: Column, a: str, b: str) -> DataFrame:
     )
 
 
+#: date formats besides ISO, with the shape of a text that is tried with each
+DATE_FORMATS = {
+    "M/d/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$",
+    "yyyyMMdd": r"^\d{8}$",
+    "MMM d, yyyy": r"^[A-Z][a-z]{2} \d{1,2}, \d{4}$",
+    "d MMM yyyy": r"^\d{1,2} [A-Z][a-z]{2} \d{4}$",
+}
+
+
 def to_date_or_null(column: Column | str) -> Column:
-    """Parse an ISO date or timestamp text; anything else gives null.
+    """Parse a date text; anything that is in none of the formats gives null.
 
-    A try_cast, as parse functions raise and catch an exception per bad value.
+    ISO dates and timestamps, and the ``DATE_FORMATS``. A year alone, or a year and a month, is no
+    date. ISO texts are a try_cast, as parse functions raise and catch an exception per bad value.
     """
-    return (F.col(column) if isinstance(column, str) else column).try_cast("date")
+    text = F.trim((F.col(column) if isinstance(column, str) else column).cast("string"))
+    iso = F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), text.try_cast("date"))
+    others = [F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(form)).cast("date")) for form, shape in DATE_FORMATS.items()]
+    return F.coalesce(iso, *others)
 
 
 def xp_distance(date: Column) -> Column:

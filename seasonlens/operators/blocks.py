@@ -1,30 +1,27 @@
 """Splitting hot groups of an ordered window into time-contiguous blocks.
 
 A window puts all rows of a group into one task. When one entity holds a large share of the
-table that task never ends. Here a hot group is cut, along the window's own order, into blocks
-of bounded size. Windows then run per (group, block), a small table of block totals is
-scanned per group, and what the earlier blocks add up to is joined back. The result is the
-same as that of one window over the whole group.
+table that task never ends. Here the rows of hot groups are partitioned by ranges of (group,
+order), so that a partition holds a stretch of one or several groups. Windows then run per
+(group, partition), a small table of block totals is scanned per group, and what the earlier
+blocks add up to is joined back.
 
-Only block boundaries come from a sample; any boundaries give the same result.
+Range bounds come from Spark's own sample and decide only where blocks end. Totals are exact
+(``operators/exact.py``), so results do not depend on that.
 """
 
 from __future__ import annotations
 
 import math
-from collections import defaultdict
-from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from seasonlens.session import stage
+
+#: rows of a group beyond which it is computed in blocks: a choice of plan, not of result
 ROWS_PER_BLOCK = 2_000_000
-MAX_HOT_GROUPS = 20_000
-MAX_CUTS = 200_000
-SAMPLES_PER_CUT = 16
-FANOUT = 64
 
 BLOCK = "__block"
 LANE = "__lane"
@@ -39,12 +36,11 @@ def lane(df: DataFrame, keys: list[str]) -> Column:
     return F.when(all_known(keys), F.lit(0).cast("long")).otherwise(F.xxhash64(*df.columns))
 
 
-def hot_groups(df: DataFrame, keys: list[str], rows_per_block: int = ROWS_PER_BLOCK) -> list[Row]:
-    """Keys and row counts of the groups above ``rows_per_block``, largest first.
+def hot_keys(df: DataFrame, keys: list[str], rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame | None:
+    """Keys and ``__rows`` of the groups above ``rows_per_block``, staged; None if there is none.
 
-    Reads the key columns only and counts before the shuffle. No more than
-    rows / rows_per_block groups can qualify; past ``MAX_HOT_GROUPS`` a group holds less than
-    1 / MAX_HOT_GROUPS of the table and is left whole.
+    Reads the key columns only and counts before the shuffle. There are at most
+    rows / rows_per_block such groups; none of them reach the driver.
     """
     sizes = (
         df.where(all_known(keys))
@@ -52,91 +48,20 @@ def hot_groups(df: DataFrame, keys: list[str], rows_per_block: int = ROWS_PER_BL
         .agg(F.count(F.lit(1)).alias("__rows"))
         .where(F.col("__rows") > rows_per_block)
     )
-    return sizes.orderBy(F.desc("__rows")).limit(MAX_HOT_GROUPS).collect()
+    found = stage(sizes, "hot-keys")
+    return None if found.isEmpty() else found
 
 
-@dataclass(frozen=True)
-class Blocks:
-    """Cut points of the hot groups, at most ``MAX_CUTS``, so safe to broadcast.
+def split(
+    df: DataFrame, keys: list[str], order: list[str], hot: DataFrame, rows_per_block: int = ROWS_PER_BLOCK
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of all other groups, those without a complete key included, and of the hot ones with ``BLOCK``.
 
-    ``levels`` is a search tree from the root down: each table has, per group and node, an array
-    of up to ``FANOUT`` cuts. A row passes one small array per level, however many cuts there are.
+    Blocks of a group are numbered in its order. The hot rows are written once with their block
+    before they are read several times, as a second evaluation could cut elsewhere.
     """
-
-    keys: list[str]
-    order: list[str]
-    levels: list[DataFrame]
-
-    def cold(self, df: DataFrame) -> DataFrame:
-        """Rows of all other groups, those without a complete key included."""
-        return df.join(F.broadcast(self.levels[0].select(*self.keys)), self.keys, "left_anti")
-
-    def hot(self, df: DataFrame) -> DataFrame:
-        """Rows of the hot groups with ``BLOCK``, the number of their group's cuts up to the row."""
-        here = F.struct(*self.order)
-        rows = df.withColumn(BLOCK, F.lit(0))
-        for level in self.levels:
-            passed = F.size(F.filter("__cuts", lambda cut: cut <= here))
-            # above the leaves an entry is the first cut of a child node
-            step = passed if level is self.levels[-1] else F.greatest(passed - 1, F.lit(0))
-            rows = rows.join(F.broadcast(level), [*self.keys, BLOCK])
-            rows = rows.withColumn(BLOCK, F.col(BLOCK) * FANOUT + step).drop("__cuts")
-        return rows
-
-
-def _tree(cuts: list, depth: int) -> list[list[list]]:
-    """``depth`` levels of nodes, root first, over sorted ``cuts``."""
-    levels, entries = [], cuts
-    for _ in range(depth):
-        nodes = [entries[at : at + FANOUT] for at in range(0, len(entries), FANOUT)] or [[]]
-        levels.append(nodes)
-        entries = [node[0] for node in nodes if node]
-    return levels[::-1]
-
-
-def cut_blocks(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    hot: list[Row],
-    rows_per_block: int = ROWS_PER_BLOCK,
-) -> Blocks:
-    """Sample the hot groups' order values and keep about one cut per ``rows_per_block`` rows."""
-    spark = df.sparkSession
-    per_block = max(rows_per_block, math.ceil(sum(row["__rows"] for row in hot) / MAX_CUTS))
-    rate = min(1.0, SAMPLES_PER_CUT / per_block)
-    every = max(1, round(rate * per_block))
-
-    key_fields = [df.schema[key] for key in keys]
-    hot_keys = spark.createDataFrame([tuple(row[key] for key in keys) for row in hot], T.StructType(key_fields))
-    ordered = Window.partitionBy(*keys).orderBy(*order)
-    sample = df.select(*dict.fromkeys([*keys, *order])).sample(rate, seed=7)
-    cuts = (
-        sample.join(F.broadcast(hot_keys), keys)
-        .withColumn("__nth", F.row_number().over(ordered))
-        .where(F.col("__nth") % every == 0)
-        .select(*keys, F.col("__nth"), F.struct(*order).alias("__cut"))
-        .collect()
-    )
-
-    by_group = defaultdict(list)
-    for row in sorted(cuts, key=lambda row: row["__nth"]):
-        by_group[tuple(row[key] for key in keys)].append(row["__cut"])
-    most = max(map(len, by_group.values()), default=0)
-    depth = 1
-    while FANOUT**depth < most:
-        depth += 1
-
-    tables: list[list[tuple]] = [[] for _ in range(depth)]
-    for hot_row in hot:
-        key = tuple(hot_row[k] for k in keys)
-        for table, nodes in zip(tables, _tree(by_group[key], depth)):
-            table += [(*key, node, entries) for node, entries in enumerate(nodes)]
-    schema = T.StructType(
-        [
-            *key_fields,
-            T.StructField(BLOCK, T.IntegerType()),
-            T.StructField("__cuts", T.ArrayType(T.StructType([df.schema[name] for name in order]))),
-        ]
-    )
-    return Blocks(keys, order, [spark.createDataFrame(table, schema) for table in tables])
+    n = math.ceil(hot.agg(F.sum("__rows")).first()[0] / rows_per_block)
+    named = hot.select(*keys)
+    rows = df.join(named, keys, "left_semi").repartitionByRange(max(1, n), *keys, *order)
+    blocks = stage(rows.withColumn(BLOCK, F.spark_partition_id()), "blocks")
+    return df.join(named, keys, "left_anti"), blocks

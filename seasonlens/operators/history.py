@@ -7,18 +7,11 @@ final mean of the last season played.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seasonlens.operators.blocks import (
-    BLOCK,
-    LANE,
-    ROWS_PER_BLOCK,
-    all_known,
-    cut_blocks,
-    hot_groups,
-    lane,
-)
+from seasonlens.operators.blocks import BLOCK, LANE, ROWS_PER_BLOCK, all_known, hot_keys, lane, split
+from seasonlens.operators.exact import Measures
 from seasonlens.session import stage
 
 LAST_ROWS = 5
@@ -56,32 +49,28 @@ def history_features(
     last: bool = True,
     career_counter: bool = True,
     rows_per_block: int = ROWS_PER_BLOCK,
-    sizes_from: DataFrame | None = None,
-    stage_hot: bool = False,
+    stage_first: bool = False,
 ) -> DataFrame:
     """Add ``n_games_career``, ``n_games_season`` and the features of ``feature_names`` to ``df``.
 
     ``(season, *order)`` must be unique within an entity and ``season`` not null. Rows without
-    an entity keep null features. Entities above ``rows_per_block`` rows are computed in blocks;
-    ``sizes_from`` names a cheaper table with the entity columns to count them on. The blocks read
-    ``df`` several times: with ``stage_hot`` it is then written once first, which pays when ``df``
-    is itself the result of joins.
+    an entity keep null features. Entities are counted when this is called; those above
+    ``rows_per_block`` rows are computed in blocks, with the same results to the last bit. With
+    ``stage_first`` ``df`` is written once first, which pays when it is itself the result of joins.
     """
     names = feature_names(fields, career, last)
     out = [F.col(name) for name in df.columns]
     counters = [*(["n_games_career"] if career_counter else []), "n_games_season"]
     keep = [*out, *[F.col(name) for name in [*counters, *names]]]
 
-    counted = df if sizes_from is None else sizes_from
-    hot = hot_groups(counted, entity, rows_per_block)
-    if not hot:
-        return _whole(df, entity, season, order, fields, base).select(*keep)
-    if stage_hot:
+    if stage_first:
         df = stage(df, "history")
-    blocks = cut_blocks(df, entity, [season, *order], hot, rows_per_block)
-    cold = _whole(blocks.cold(df), entity, season, order, fields, base).select(*keep)
-    split = _blocked(blocks.hot(df), entity, season, order, fields, base).select(*keep)
-    return cold.unionByName(split)
+    hot = hot_keys(df, entity, rows_per_block)
+    if hot is None:
+        return _whole(df, entity, season, order, fields, base).select(*keep)
+    cold, blocks = split(df, entity, [season, *order], hot, rows_per_block)
+    whole = _whole(cold, entity, season, order, fields, base).select(*keep)
+    return whole.unionByName(_blocked(blocks, entity, season, order, fields, base).select(*keep))
 
 
 def _whole(df: DataFrame, entity: list[str], season: str, order: list[str], fields: list[str], base: int) -> DataFrame:
@@ -93,21 +82,22 @@ def _whole(df: DataFrame, entity: list[str], season: str, order: list[str], fiel
     recent = in_career.rowsBetween(-LAST_ROWS, -1)
     known = all_known(entity)
 
-    value = {field: F.col(field).cast("double") for field in fields}
+    measures = Measures(df, fields)
     # hash(entity) also clusters (entity, season), and both windows share one sort
-    rows = df.withColumn(LANE, lane(df, entity)).repartition(*group)
+    rows = df.withColumns({LANE: lane(df, entity), **measures.columns}).repartition(*group)
     rows = rows.select(
         "*",
         F.row_number().over(in_season).alias("__season_row"),
-        *[F.avg(value[field]).over(to_date).alias(f"__to_date_{field}") for field in fields],
+        *[F.sum(name).over(to_date).alias(f"__to_date{name}") for name in measures.names],
     )
-    features = [
-        F.row_number().over(in_career).alias("__career_row"),
-        *[F.avg(value[field]).over(before).alias(f"{field}_mean_career") for field in fields],
-        *[F.lag(f"__to_date_{field}").over(in_career).alias(f"{field}_mean_season") for field in fields],
-        *[F.avg(value[field]).over(recent).alias(f"{field}_mean_last5") for field in fields],
-        *[F.lag(field).over(in_career).alias(f"{field}_last") for field in fields],
-    ]
+    features = [F.row_number().over(in_career).alias("__career_row")]
+    for at, field in enumerate(fields):
+        features += [
+            measures.mean(at, lambda name: F.sum(name).over(before)).alias(f"{field}_mean_career"),
+            measures.mean(at, lambda name: F.lag(f"__to_date{name}").over(in_career)).alias(f"{field}_mean_season"),
+            measures.mean(at, lambda name: F.sum(name).over(recent)).alias(f"{field}_mean_last5"),
+            F.lag(field).over(in_career).alias(f"{field}_last"),
+        ]
     rows = rows.select("*", *features)
     return rows.withColumns(
         {
@@ -118,15 +108,15 @@ def _whole(df: DataFrame, entity: list[str], season: str, order: list[str], fiel
     )
 
 
-def _ratio(total: Column, count: Column) -> Column:
-    return F.when(count > 0, total / count)
-
-
 def _blocked(df: DataFrame, entity: list[str], season: str, order: list[str], fields: list[str], base: int) -> DataFrame:
+    """The same for rows with a block: what a row sees in its block, and what earlier blocks add up to."""
     part = [*entity, BLOCK]
-    rows = _within_blocks(df, part, season, order, fields)
-    rows = rows.join(_carried(rows, entity, season, order, fields), part, "left")
+    measures = Measures(df, fields)
+    df = df.withColumns(measures.columns)
+    rows = _within_blocks(df, part, season, order, fields, measures)
+    rows = rows.join(_carried(df, entity, season, order, fields, measures), part, "left")
 
+    zero = F.lit(0).cast("long")
     first = F.col("__row") == 1
     # the season that was running when the block began, its rows and totals so far
     open_season = F.col("__end")["season"]
@@ -136,6 +126,17 @@ def _blocked(df: DataFrame, entity: list[str], season: str, order: list[str], fi
     tail = F.col("__tail_rows")
     lent = F.when(borrowed > 0, F.reverse(F.slice(F.reverse(tail), 1, borrowed)))
 
+    def career(name):
+        return F.coalesce(f"__sum{name}", zero) + F.coalesce(f"__prior{name}", zero)
+
+    def in_season(name):
+        carried = F.when(reaches_back, F.coalesce(F.col("__end")[name], zero)).otherwise(zero)
+        return F.coalesce(f"__prev_season{name}", zero) + carried
+
+    def recent(name):
+        values = lent.getField(name)
+        return F.coalesce(f"__recent{name}", zero) + F.coalesce(F.aggregate(values, zero, lambda a, b: a + b), zero)
+
     out = {
         "n_games_career": (F.col("__row") + F.coalesce("__prior_rows", F.lit(0)) + (base - 1)).cast("long"),
         "n_games_season": (
@@ -143,92 +144,75 @@ def _blocked(df: DataFrame, entity: list[str], season: str, order: list[str], fi
         ).cast("long"),
     }
     for at, field in enumerate(fields):
-        zero = F.lit(0.0)
-        out[f"{field}_mean_career"] = _ratio(
-            F.coalesce(f"__sum_{at}", zero) + F.coalesce(f"__prior_sum_{at}", zero),
-            F.col(f"__n_{at}") + F.coalesce(f"__prior_n_{at}", F.lit(0)),
-        )
-        out[f"{field}_mean_season"] = _ratio(
-            F.coalesce(f"__prev_season_sum_{at}", zero)
-            + F.when(reaches_back, F.coalesce(F.col("__end")[f"sum_{at}"], zero)).otherwise(zero),
-            F.coalesce(f"__prev_season_n_{at}", F.lit(0))
-            + F.when(reaches_back, F.coalesce(F.col("__end")[f"n_{at}"], F.lit(0))).otherwise(0),
-        )
-        values = F.filter(lent.getField(f"v_{at}"), lambda value: value.isNotNull())
-        out[f"{field}_mean_last5"] = _ratio(
-            F.coalesce(f"__recent_sum_{at}", zero)
-            + F.coalesce(F.aggregate(values, zero, lambda total, value: total + value.cast("double")), zero),
-            F.col(f"__recent_n_{at}") + F.coalesce(F.size(values), F.lit(0)),
-        )
+        out[f"{field}_mean_career"] = measures.mean(at, career)
+        out[f"{field}_mean_season"] = measures.mean(at, in_season)
+        out[f"{field}_mean_last5"] = measures.mean(at, recent)
         out[f"{field}_last"] = F.when(first, F.try_element_at(tail, F.lit(-1))[f"v_{at}"]).otherwise(F.col(f"__prev_{at}"))
     return rows.withColumns(out)
 
 
-def _within_blocks(df: DataFrame, part: list[str], season: str, order: list[str], fields: list[str]) -> DataFrame:
+def _within_blocks(
+    df: DataFrame, part: list[str], season: str, order: list[str], fields: list[str], measures: Measures
+) -> DataFrame:
     """Totals that each row sees inside its own block."""
     in_season = Window.partitionBy(*part, season).orderBy(*order)
     in_block = Window.partitionBy(*part).orderBy(season, *order)
     to_date = in_season.rowsBetween(Window.unboundedPreceding, 0)
     before = in_block.rowsBetween(Window.unboundedPreceding, -1)
     recent = in_block.rowsBetween(-LAST_ROWS, -1)
-    value = [F.col(field).cast("double") for field in fields]
 
     rows = df.repartition(*part).select(
         "*",
         F.row_number().over(in_season).alias("__season_row"),
-        *[F.sum(v).over(to_date).alias(f"__season_sum_{at}") for at, v in enumerate(value)],
-        *[F.count(v).over(to_date).alias(f"__season_n_{at}") for at, v in enumerate(value)],
+        *[F.sum(name).over(to_date).alias(f"__season{name}") for name in measures.names],
     )
-    columns = [
-        F.row_number().over(in_block).alias("__row"),
-        F.lag(season).over(in_block).alias("__prev_season"),
-        F.lead(F.lit(1), LAST_ROWS).over(in_block).isNull().alias("__in_tail"),
-    ]
-    for at, field in enumerate(fields):
+    columns = [F.row_number().over(in_block).alias("__row"), F.lag(season).over(in_block).alias("__prev_season")]
+    columns += [F.lag(field).over(in_block).alias(f"__prev_{at}") for at, field in enumerate(fields)]
+    for name in measures.names:
         columns += [
-            F.sum(value[at]).over(before).alias(f"__sum_{at}"),
-            F.count(value[at]).over(before).alias(f"__n_{at}"),
-            F.sum(value[at]).over(recent).alias(f"__recent_sum_{at}"),
-            F.count(value[at]).over(recent).alias(f"__recent_n_{at}"),
-            F.lag(field).over(in_block).alias(f"__prev_{at}"),
-            F.lag(f"__season_sum_{at}").over(in_block).alias(f"__prev_season_sum_{at}"),
-            F.lag(f"__season_n_{at}").over(in_block).alias(f"__prev_season_n_{at}"),
+            F.sum(name).over(before).alias(f"__sum{name}"),
+            F.sum(name).over(recent).alias(f"__recent{name}"),
+            F.lag(f"__season{name}").over(in_block).alias(f"__prev_season{name}"),
         ]
     return rows.select("*", *columns)
 
 
-def _carried(rows: DataFrame, entity: list[str], season: str, order: list[str], fields: list[str]) -> DataFrame:
+def _carried(
+    df: DataFrame, entity: list[str], season: str, order: list[str], fields: list[str], measures: Measures
+) -> DataFrame:
     """One row per block: what all earlier blocks of the entity add up to."""
-    part = [*entity, BLOCK]
-    span = range(len(fields))
+    part, names = [*entity, BLOCK], measures.names
+    seasons = df.groupBy(*part, F.col(season).alias("__season")).agg(
+        F.count(F.lit(1)).alias("rows"), *[F.sum(name).alias(name) for name in names]
+    )
+    totals = ["rows", *names]
+    to_date = Window.partitionBy(*entity, "__season").orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, 0)
+    seasons = seasons.select("*", *[F.sum(name).over(to_date).alias(f"__to_date{name}") for name in totals])
+    end = F.struct(F.col("__season").alias("season"), *[F.col(f"__to_date{name}").alias(name) for name in totals])
+    blocks = seasons.groupBy(*part).agg(
+        F.max_by(end, "__season").alias("end"), *[F.sum(name).alias(name) for name in totals]
+    )
+    # the last rows of each block, a limit that Spark applies before the window
+    latest = Window.partitionBy(*part).orderBy(*[F.desc(name) for name in (season, *order)])
     tail_row = F.struct(
         *[F.col(name).alias(f"o_{at}") for at, name in enumerate([season, *order])],
         *[F.col(field).alias(f"v_{at}") for at, field in enumerate(fields)],
+        *names,
     )
-    seasons = rows.groupBy(*part, F.col(season).alias("__season")).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.collect_list(F.when(F.col("__in_tail"), tail_row)).alias("tail"),
-        *[F.sum(F.col(fields[at]).cast("double")).alias(f"sum_{at}") for at in span],
-        *[F.count(fields[at]).alias(f"n_{at}") for at in span],
-    )
-    totals = ["rows", *[f"sum_{at}" for at in span], *[f"n_{at}" for at in span]]
-    to_date = Window.partitionBy(*entity, "__season").orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, 0)
-    seasons = seasons.select("*", *[F.sum(name).over(to_date).alias(f"__to_date_{name}") for name in totals])
-    end = F.struct(F.col("__season").alias("season"), *[F.col(f"__to_date_{name}").alias(name) for name in totals])
-    blocks = seasons.groupBy(*part).agg(
-        F.max_by(end, "__season").alias("end"),
-        F.flatten(F.collect_list("tail")).alias("tail"),
-        *[F.sum(name).alias(name) for name in totals],
+    tails = (
+        df.withColumn("__nth", F.row_number().over(latest))
+        .where(F.col("__nth") <= LAST_ROWS)
+        .groupBy(*part)
+        .agg(F.collect_list(tail_row).alias("tail"))
     )
     in_order = Window.partitionBy(*entity).orderBy(BLOCK)
     before = in_order.rowsBetween(Window.unboundedPreceding, -1)
     # a block has at least one row, so five blocks hold the last five
-    tails = F.sort_array(F.flatten(F.collect_list("tail").over(in_order.rowsBetween(-LAST_ROWS, -1))))
-    return blocks.select(
+    last = F.sort_array(F.flatten(F.collect_list("tail").over(in_order.rowsBetween(-LAST_ROWS, -1))))
+    return blocks.join(tails, part).select(
         *part,
         F.lag("end").over(in_order).alias("__end"),
-        F.reverse(F.slice(F.reverse(tails), 1, LAST_ROWS)).alias("__tail_rows"),
+        F.reverse(F.slice(F.reverse(last), 1, LAST_ROWS)).alias("__tail_rows"),
         F.sum("rows").over(before).alias("__prior_rows"),
-        *[F.sum(f"sum_{at}").over(before).alias(f"__prior_sum_{at}") for at in span],
-        *[F.sum(f"n_{at}").over(before).alias(f"__prior_n_{at}") for at in span],
+        *[F.sum(name).over(before).alias(f"__prior{name}") for name in names],
     )

@@ -21,10 +21,12 @@ def points_allowed(schedules: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) -
         home={"team": "home_team", "points_allowed": "away_score"},
         away={"team": "away_team", "points_allowed": "home_score"},
     ).withColumn("adj_week", F.col("week") + 1)
+    # each is read for the sizes of its groups and then again
+    sides = stage(sides, "sides")
     totals = running_total(sides, ["season", "team"], ["week", "game_id", "points_allowed"], "points_allowed",
                            "cumulative_points_allowed", rows_per_block)
-    ranked = rank_min(totals, ["season", "week"], "cumulative_points_allowed", "defensive_rank", rows_per_block,
-                      sizes_from=sides)
+    ranked = rank_min(stage(totals, "points-allowed"), ["season", "week"], "cumulative_points_allowed",
+                      "defensive_rank", rows_per_block)
     return ranked.withColumnRenamed("team", "opponent_team")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from seasonlens.functions.exprs import half_even
+from seasonlens.functions.feature_lists import KICKER_STATS
 from seasonlens.operators.metrics import bounds, long_metrics, metric_matrix, regression_metrics
 from seasonlens.operators.sets import choices, first_seen
 from seasonlens.plans.features import defence_games, kicker_games, kicks
@@ -13,9 +14,7 @@ from seasonlens.queries.joins import KICKING
 from seasonlens.queries.registry import query
 from seasonlens.queries.roles import GAMES, PREDICTIONS, games, plays, predictions, table, weekly, with_sql
 
-SUMS = ["fantasy_points_ppr", "total_fg_made", "total_fg_missed", "50+_fg_made", "40-49_fg_made", "0-39_fg_made",
-        "missed_fg_0-39", "missed_fg_40-49", "missed_fg_50+", "xp_attempt_19y", "xp_made_19y", "xp_attempt_33y",
-        "xp_made_33y"]
+SUMS = KICKER_STATS
 DEFENCE_SUMS = ", ".join(
     f'CAST(sum("{name}") AS {"DOUBLE" if name == "fantasy_points_ppr" else "BIGINT"}) AS "{name}"' for name in SUMS
 )

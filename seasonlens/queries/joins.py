@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from seasonlens.functions.feature_lists import KICK_TOTALS
 from seasonlens.operators.joins import null_safe_join, previous_period, replace_names, suffix_join
 from seasonlens.operators.sets import (
     add_to_selection,
@@ -157,8 +158,7 @@ def j_fanout(spark, sf_dir):
 
 KICK_SUMS = ", ".join(
     f'CAST(sum(CAST("{name}" AS INT)) AS BIGINT) AS "{name}"'
-    for name in ["total_fg_made", "total_fg_missed", "50+_fg_made", "40-49_fg_made", "0-39_fg_made", "missed_fg_0-39",
-                 "missed_fg_40-49", "missed_fg_50+", "xp_attempt_19y", "xp_made_19y", "xp_attempt_33y", "xp_made_33y"]
+    for name in KICK_TOTALS
 )
 KICKER_GAMES = f"""kick_totals AS (
   SELECT game_id, game_date, week, season, posteam, defteam AS opponent_team, kicker_player_name AS player_name,

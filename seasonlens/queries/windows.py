@@ -91,7 +91,7 @@ def w_running(spark, sf_dir):
 )
 def w_rank(spark, sf_dir):
     rows = staged_sides(spark, sf_dir)
-    return rank_min(totals(rows), ["season", "week"], "total", "place", sizes_from=rows)
+    return rank_min(stage(totals(rows), "totals"), ["season", "week"], "total", "place")
 
 
 # The same operators with a low limit, so that the whole tables take the way of hot groups.

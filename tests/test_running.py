@@ -42,6 +42,19 @@ def test_total_matches_pandas(spark, rows_per_block):
     assert_rows(out, [{k: None if pd.isna(v) else v for k, v in row.items()} for row in expected], ["id"])
 
 
+def test_blocks_change_no_bit_of_a_total(spark):
+    rnd = random.Random(12)
+    rows = [("hot", i, rnd.choice([1e-5, 1.0, 1e8]) * rnd.uniform(-1, 1)) for i in range(400)]
+    df = spark.createDataFrame(rows, "team string, id int, x double")
+
+    def totals(rows_per_block, parts):
+        out = running_total(df.repartition(parts), ["team"], ["id"], "x", "total", rows_per_block)
+        return {r.id: r.total.hex() for r in out.collect()}
+
+    whole = totals(1_000_000, 4)
+    assert all(totals(n, parts) == whole for n, parts in ((1, 4), (7, 3), (20, 5)))
+
+
 @pytest.mark.parametrize("rows_per_block", [1_000_000, 4, 20])
 def test_rank_matches_pandas(spark, rows_per_block):
     rows = data(seed=8)
