@@ -29,9 +29,14 @@ from seasonlens.llm.shingles import set_key, shingle_set
 from seasonlens.session import stage
 
 PERCENT = 75
-#: counters of the frequency estimate: a fixed 4 MB, whatever the corpus
-COUNTERS = 1 << 20
+#: counters of the frequency estimate and bits of a shingle's hash that choose one; the estimate that tasks get holds
+#: a byte for each, a fixed 16 MB, whatever the corpus
+COUNTER_BITS = 24
 BLOCKS = 16
+#: shingles that a task counts at a time; a counter that is met once among them is not passed on
+COUNTED_AT_ONCE = 1 << 22
+#: an estimate of f is kept as 4 log2(f)
+FREQUENCY = np.where(np.arange(256) > 0, 2.0 ** (np.arange(256) / 4), 0.0)
 #: common prefix shingles to ask for at most; a cost choice that loses no pair
 MOST_MATCHES = 255
 #: cost of comparing a candidate against reading one posting
@@ -39,7 +44,7 @@ COMPARE_COST = 4.0
 #: rows of 8 bytes up to which the keys of candidates are broadcast (some 30 MB in memory); beyond it they are shuffled
 BROADCAST_ROWS = 500_000
 #: hubs of a shingle in each round, before all candidate pairs that are left are compared
-HUBS = (1, 2, 4)
+HUBS = (1, 2)
 POSTINGS_AT_ONCE = 1 << 18
 
 
@@ -48,65 +53,95 @@ def least_overlap(n: int, percent: int = PERCENT) -> int:
     return -(-n * percent // 100)
 
 
-def _profiles(percent: int):
-    """Per row: id, n, key; per task, the counts of its shingles in blocks. Copies within a task count once."""
+def _counter(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - COUNTER_BITS)).astype(np.int32)
 
-    def run(batches):
-        counts = np.zeros(COUNTERS, dtype=np.uint32)
-        seen: set[int] = set()
-        for batch in pieces(batches):
-            sizes, keys = [], []
-            for text in batch.column(1).to_pylist():
-                hashes = shingle_set(text or "")
-                key = set_key(hashes)
-                sizes.append(len(hashes))
-                keys.append(key)
-                if key is not None and key not in seen:
-                    seen.add(key)
-                    np.add.at(counts, (hashes >> np.uint64(44)).astype(np.int64), np.uint32(1))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()),
-                 pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.binary())],
-                names=["id", "n", "key", "block", "counts"],
-            )
-        if seen:
-            parts = counts.reshape(BLOCKS, -1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(BLOCKS, batch.column(0).type), pa.nulls(BLOCKS, pa.int64()), pa.nulls(BLOCKS, pa.int64()),
-                 pa.array(range(BLOCKS), pa.int32()), pa.array([part.tobytes() for part in parts], pa.binary())],
-                names=["id", "n", "key", "block", "counts"],
-            )
 
-    return run
+def _profiles(batches):
+    """Per row: id, n, key; now and then, the counters met more than once, by block. Copies in a task count once."""
+    seen: set[int] = set()
+    met: list[np.ndarray] = []
+    held, id_type = 0, None
 
+    def counted():
+        counters, counts = np.unique(np.concatenate(met), return_counts=True)
+        met.clear()
+        counters, counts = counters[counts > 1], counts[counts > 1].astype(np.uint32)
+        ends = np.searchsorted(counters, np.arange(1, BLOCKS) << (COUNTER_BITS - 4))
+        parts = list(zip(np.split(counters, ends), np.split(counts, ends)))
+        return pa.RecordBatch.from_arrays(
+            [pa.nulls(BLOCKS, id_type), pa.nulls(BLOCKS, pa.int64()), pa.nulls(BLOCKS, pa.int64()), pa.array(range(BLOCKS), pa.int32()),
+             pa.array([c.tobytes() for c, _ in parts], pa.binary()), pa.array([n.tobytes() for _, n in parts], pa.binary())],
+            names=["id", "n", "key", "block", "counters", "counts"],
+        )
 
-def _add_blocks(batches):
-    """Sums of count blocks, one per block of the partition."""
+    for batch in pieces(batches):
+        sizes, keys, id_type = [], [], batch.column(0).type
+        for text in batch.column(1).to_pylist():
+            hashes = shingle_set(text or "")
+            key = set_key(hashes)
+            sizes.append(len(hashes))
+            keys.append(key)
+            if key is not None and key not in seen:
+                seen.add(key)
+                met.append(_counter(hashes))
+                held += len(hashes)
+        none = pa.nulls(len(sizes), pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.nulls(len(sizes), pa.int32()), none, none],
+            names=["id", "n", "key", "block", "counters", "counts"],
+        )
+        if held >= COUNTED_AT_ONCE:
+            yield counted()
+            held = 0
+    if held:
+        yield counted()
+
+
+def _sums(batches):
+    """block -> sums of its counters."""
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for i in range(batch.num_rows):
-            part = np.frombuffer(batch.column(1)[i].as_buffer(), dtype=np.uint32).astype(np.uint64)
             block = batch.column(0)[i].as_py()
-            total[block] = total[block] + part if block in total else part
-    if total:
-        clipped = [np.minimum(total[b], 0xFFFFFFFF).astype(np.uint32).tobytes() for b in total]
+            counters = np.frombuffer(batch.column(1)[i].as_buffer(), dtype=np.int32) - (block << (COUNTER_BITS - 4))
+            if block not in total:
+                total[block] = np.zeros(1 << (COUNTER_BITS - 4), dtype=np.uint64)
+            total[block][counters] += np.frombuffer(batch.column(2)[i].as_buffer(), dtype=np.uint32)
+    return total
+
+
+def _add_sparse(batches):
+    for block, total in _sums(batches).items():
+        counters = np.flatnonzero(total)
+        counts = np.minimum(total[counters], 0xFFFFFFFF).astype(np.uint32)
+        counters = (counters + (block << (COUNTER_BITS - 4))).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([block], pa.int32()), pa.array([counters.tobytes()], pa.binary()), pa.array([counts.tobytes()], pa.binary())],
+            names=["block", "counters", "counts"],
+        )
+
+
+def _add_levels(batches):
+    for block, total in _sums(batches).items():
+        # what chance puts into a counter is no sign of a frequent shingle
+        mean = float(total.mean())
+        noise = mean + 4 * math.sqrt(mean) + 2
+        levels = np.where(total > noise, np.minimum(255, 4 * np.log2(np.maximum(total, 1))), 0).astype(np.uint8)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(total), pa.int32()), pa.array(clipped, pa.binary())], names=["block", "counts"]
+            [pa.array([block], pa.int32()), pa.array([levels.tobytes()], pa.binary())], names=["block", "levels"]
         )
 
 
 def frequency_estimate(counted: DataFrame) -> np.ndarray:
-    """The merged counters, less what chance puts into every counter."""
-    spread = counted.withColumn("spread", F.spark_partition_id() % 64).repartition("block", "spread")
-    partly = spread.select("block", "counts").mapInArrow(_add_blocks, "block int, counts binary")
-    merged = partly.repartition(BLOCKS, "block").mapInArrow(_add_blocks, "block int, counts binary")
-    counts = np.zeros((BLOCKS, COUNTERS // BLOCKS), dtype=np.uint32)
+    """By counter, the level of the frequency of its shingles; 0 where nothing is known to be frequent."""
+    spread = counted.withColumn("spread", F.spark_partition_id() % 8).repartition("block", "spread")
+    partly = spread.select("block", "counters", "counts").mapInArrow(_add_sparse, "block int, counters binary, counts binary")
+    merged = partly.repartition(BLOCKS, "block").mapInArrow(_add_levels, "block int, levels binary")
+    levels = np.zeros((BLOCKS, (1 << COUNTER_BITS) // BLOCKS), dtype=np.uint8)
     for row in merged.collect():
-        counts[row["block"]] = np.frombuffer(row["counts"], dtype=np.uint32)
-    counts = counts.reshape(-1)
-    level = float(counts.mean())
-    noise = int(level + 4 * math.sqrt(level) + 1)
-    return np.maximum(counts, noise) - noise
+        levels[row["block"]] = np.frombuffer(row["levels"], dtype=np.uint8)
+    return levels.reshape(-1)
 
 
 def least_matches(n: int) -> int:
@@ -150,9 +185,9 @@ def _postings(frequency, percent: int):
                     continue
                 seen.add(key)
                 n = len(hashes)
-                often = estimate[(hashes >> np.uint64(44)).astype(np.int64)]
+                often = estimate[_counter(hashes)]
                 order = np.argsort(often, kind="stable")
-                asked = matches_to_ask(often[order], n, percent)
+                asked = matches_to_ask(FREQUENCY[often[order]], n, percent)
                 order = order[:n - least_overlap(n, percent) + asked]
                 tokens.append(hashes[order])
                 keys.append(np.full(len(order), key, dtype=np.int64))
@@ -254,10 +289,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     kind = dict(texts.dtypes)["id"]
     profiled = stage(
-        texts.mapInArrow(_profiles(percent), f"id {kind}, n long, key long, block int, counts binary"), "jaccard-profiles"
+        texts.mapInArrow(_profiles, f"id {kind}, n long, key long, block int, counters binary, counts binary"), "jaccard-profiles"
     )
     rows = profiled.filter("block is null").select("id", "n", "key")
-    labels = _labels(texts, rows, profiled.filter("block is not null").select("block", "counts"), percent)
+    labels = _labels(texts, rows, profiled.filter("block is not null").select("block", "counters", "counts"), percent)
     classes = rows.filter("key is not null").groupBy("key").agg(F.min("id").alias("least"))
     named = classes.join(labels, classes["key"] == labels["node"], "left").select(
         "key", "least", F.coalesce("label", "key").alias("label")
