@@ -81,11 +81,11 @@ FLAG_COLUMNS = [
 ]
 PLAY_KEY = {"l_orderkey": "a", "l_linenumber": "b", "l_partkey": "c", "l_suppkey": "d"}
 QUOTED_FLAGS = ", ".join(f'"{name}"' for name in FLAG_COLUMNS)
-SQL_KEY = ", ".join(f"play_no.{short} AS {name}" for name, short in PLAY_KEY.items())
+SQL_KEY = ", ".join(f"play_id.{short} AS {name}" for name, short in PLAY_KEY.items())
 
 
 def _play_key():
-    return [F.col(f"play_no.{name}").alias(name) for name in PLAY_KEY]
+    return [F.col(f"play_id.{name}").alias(name) for name in PLAY_KEY]
 
 
 @query("p_flags", with_sql(PLAYS, FLAGS, f"SELECT {SQL_KEY}, game_date, {QUOTED_FLAGS} FROM kicks"))

@@ -101,14 +101,14 @@ qb AS (
 
 CONTEXT = """team_context AS (
   SELECT game_id, week, season, spread_line, game_date, div_game, posteam AS team,
-         arg_min(wind, play_no) FILTER (WHERE wind IS NOT NULL) AS wind,
-         arg_min(roof, play_no) FILTER (WHERE roof IS NOT NULL) AS roof
+         arg_min(wind, play_id) FILTER (WHERE wind IS NOT NULL) AS wind,
+         arg_min(roof, play_id) FILTER (WHERE roof IS NOT NULL) AS roof
   FROM plays WHERE spread_line IS NOT NULL AND game_date IS NOT NULL AND posteam IS NOT NULL
   GROUP BY ALL),
 passer_context AS (
   SELECT passer_player_id, game_id, week, season, passer_player_name AS player_name, spread_line, game_date, div_game,
-         arg_min(wind, play_no) FILTER (WHERE wind IS NOT NULL) AS wind,
-         arg_min(roof, play_no) FILTER (WHERE roof IS NOT NULL) AS roof
+         arg_min(wind, play_id) FILTER (WHERE wind IS NOT NULL) AS wind,
+         arg_min(roof, play_id) FILTER (WHERE roof IS NOT NULL) AS roof
   FROM plays WHERE spread_line IS NOT NULL AND game_date IS NOT NULL AND passer_player_name IS NOT NULL
   GROUP BY ALL)"""
 
@@ -163,8 +163,8 @@ KICK_SUMS = ", ".join(
 KICKER_GAMES = f"""kick_totals AS (
   SELECT game_id, game_date, week, season, posteam, defteam AS opponent_team, kicker_player_name AS player_name,
          kicker_player_id AS player_id,
-         arg_min(home_team, play_no) FILTER (WHERE home_team IS NOT NULL) AS home_team,
-         arg_min(away_team, play_no) FILTER (WHERE away_team IS NOT NULL) AS away_team, {KICK_SUMS}
+         arg_min(home_team, play_id) FILTER (WHERE home_team IS NOT NULL) AS home_team,
+         arg_min(away_team, play_id) FILTER (WHERE away_team IS NOT NULL) AS away_team, {KICK_SUMS}
   FROM kicks WHERE game_date IS NOT NULL AND posteam IS NOT NULL AND defteam IS NOT NULL
   GROUP BY game_id, game_date, week, season, posteam, defteam, kicker_player_name, kicker_player_id),
 kicker_games AS (
@@ -173,10 +173,10 @@ kicker_games AS (
   USING (player_id, week, season))"""
 STADIUM = """stadium AS (
   SELECT game_id, game_date, week, season, stadium,
-         arg_min(home_team, play_no) FILTER (WHERE home_team IS NOT NULL) AS home_team,
-         arg_min(roof, play_no) FILTER (WHERE roof IS NOT NULL) AS roof,
-         arg_min(temp, play_no) FILTER (WHERE temp IS NOT NULL) AS temp,
-         arg_min(wind, play_no) FILTER (WHERE wind IS NOT NULL) AS wind
+         arg_min(home_team, play_id) FILTER (WHERE home_team IS NOT NULL) AS home_team,
+         arg_min(roof, play_id) FILTER (WHERE roof IS NOT NULL) AS roof,
+         arg_min(temp, play_id) FILTER (WHERE temp IS NOT NULL) AS temp,
+         arg_min(wind, play_id) FILTER (WHERE wind IS NOT NULL) AS wind
   FROM kicks WHERE game_date IS NOT NULL AND stadium IS NOT NULL GROUP BY ALL)"""
 KICKING = [GAMES, WEEKLY, PLAYS, FLAGS, KICKER_GAMES]
 
@@ -193,13 +193,14 @@ def j_inner_multi(spark, sf_dir):
         """SELECT a.player_id, a.season, a.week, a.position AS position_k, a.pts AS pts_k, b.n, b.pts AS pts_def
            FROM user_weeks a LEFT JOIN (
              SELECT player_id, season, week, CAST(sum(pts) AS BIGINT) AS pts, count(*) AS n
-             FROM user_weeks WHERE week < 20 GROUP BY ALL) b USING (player_id, season, week)""",
+             FROM user_weeks WHERE position = 'click' GROUP BY ALL) b USING (player_id, season, week)""",
     ),
 )
 def j_suffix(spark, sf_dir):
     rows = user_weeks(spark, sf_dir)
     on = ["player_id", "season", "week"]
-    days = rows.where(F.col("week") < 20).groupBy(*on).agg(F.sum("pts").alias("pts"), F.count(F.lit(1)).alias("n"))
+    # totals of one event type only, so that weeks of the others find nothing
+    days = rows.where(F.col("position") == "click").groupBy(*on).agg(F.sum("pts").alias("pts"), F.count(F.lit(1)).alias("n"))
     return suffix_join(rows, days, on, ("_k", "_def")).withColumnRenamed("position", "position_k")
 
 

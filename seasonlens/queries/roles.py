@@ -170,7 +170,7 @@ def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("play_type") == "extra_point",
                F.when(F.col("l_linestatus") == "O", "good").otherwise("failed")).alias("extra_point_result"),
         F.when(F.col("play_type") == "field_goal", outcome).alias("field_goal_result"),
-        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("play_no"),
+        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("play_id"),
     )
 
 
@@ -202,7 +202,7 @@ plays AS (
            AS extra_point_result,
          CASE WHEN play_type = 'field_goal' THEN (['made','made','missed','blocked'])[l_partkey % 4 + 1] END
            AS field_goal_result,
-         struct_pack(a := l_orderkey, b := l_linenumber, c := l_partkey, d := l_suppkey, e := l_extendedprice) AS play_no
+         struct_pack(a := l_orderkey, b := l_linenumber, c := l_partkey, d := l_suppkey, e := l_extendedprice) AS play_id
   FROM paired)"""
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seasonlens.functions.feature_lists import (
@@ -29,7 +30,9 @@ SCHEDULES = T.StructType(
     ]
 )
 
-# play_no is the row order within a game, which "first known value" goes by
+#: the column of plays that "first known value" goes by; readers rename another order column to it
+PLAY_ORDER = "play_id"
+
 PLAYS = T.StructType(
     [
         *_fields(T.StringType(), "game_id", "posteam", "defteam", "home_team", "away_team", "stadium", "roof"),
@@ -38,7 +41,7 @@ PLAYS = T.StructType(
         *_fields(T.DoubleType(), "spread_line", "wind", "temp", "kick_distance"),
         *_fields(T.StringType(), "passer_player_id", "passer_player_name", "kicker_player_id",
                  "kicker_player_name", "play_type", "extra_point_result", "field_goal_result"),
-        *_fields(T.LongType(), "play_no"),
+        *_fields(T.LongType(), PLAY_ORDER),
     ]
 )
 
@@ -61,3 +64,20 @@ def require_columns(df: DataFrame, *names: str) -> DataFrame:
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
     return df
+
+
+def conform(df: DataFrame, schema: T.StructType, source: str) -> DataFrame:
+    """The columns of ``schema`` in their types, or an error that names what ``df`` lacks or has in another type.
+
+    Numbers are cast to the declared kind of number; a text is never read as a number, nor a number as a text.
+    """
+    missing = [field.name for field in schema.fields if field.name not in df.columns]
+    if missing:
+        raise ValueError(f"{source}: missing columns: {', '.join(missing)}")
+    columns = []
+    for field in schema.fields:
+        kind = df.schema[field.name].dataType
+        if kind != field.dataType and not (isinstance(kind, T.NumericType) and isinstance(field.dataType, T.NumericType)):
+            raise ValueError(f"{source}: column {field.name} is {kind.simpleString()}, not {field.dataType.simpleString()}")
+        columns.append(F.col(field.name).cast(field.dataType).alias(field.name))
+    return df.select(*columns)

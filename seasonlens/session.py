@@ -75,12 +75,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path for files that a caller writes in its own format: in the shared folder, or else the warehouse."""
+    shared = staging_dir(spark) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{_folder(spark, shared)}/{name}-{uuid.uuid4().hex}"
+
+
 def release(spark: SparkSession) -> None:
     """Remove everything this application has staged; call it when results have been used."""
     for kept in _persisted.pop(spark.sparkContext.applicationId, []):
         kept.unpersist()
-    shared = staging_dir(spark)
-    if shared:
-        jvm = spark.sparkContext._jvm
+    jvm = spark.sparkContext._jvm
+    for shared in {staging_dir(spark), spark.conf.get("spark.sql.warehouse.dir")} - {None}:
         path = jvm.org.apache.hadoop.fs.Path(_folder(spark, shared))
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -15,7 +15,7 @@ def make_league(seasons=(2013, 2014, 2015), weeks=6, seed=3):
     players = {(team, pos): f"00-{i:03d}" for i, (team, pos) in enumerate((t, p) for t in TEAMS for p in SQUAD)}
     stats = list(dict.fromkeys([*RUSHER_RECEIVER_CARRIED, *RUSHER_RECEIVER_STATS, *QUARTERBACK_STATS]))
     rosters, schedules, weekly, plays = [], [], [], []
-    play_no = 0
+    play_id = 0
     for season in seasons:
         rosters += [{"player_id": pid, "player_name": f"{pos} {team}", "season": season}
                     for (team, pos), pid in players.items()]
@@ -32,8 +32,8 @@ def make_league(seasons=(2013, 2014, 2015), weeks=6, seed=3):
                             "roof": "dome" if indoors else "outdoors"}
                     kicker = players[team, "K"]
                     for n in range(8):
-                        play_no += 1
-                        play = dict(base, play_no=play_no, posteam=team, defteam=other, play_type="pass",
+                        play_id += 1
+                        play = dict(base, play_id=play_id, posteam=team, defteam=other, play_type="pass",
                                     wind=None if n == 0 or indoors else float(n), temp=None if n < 2 else 50.0 + n)
                         if n < 4:
                             play.update(passer_player_id=players[team, "QB"], passer_player_name=f"Q.{team}")

@@ -4,8 +4,9 @@ from league import league_frames, make_league
 from pyspark.sql import functions as F
 
 from seasonlens.schemas import SOURCES, require_columns
-from seasonlens.session import stage, staging_dir
-from seasonlens.sources.readers import load_seasons, read_csv
+from seasonlens.plans.features import team_context
+from seasonlens.session import release, stage, staging_dir
+from seasonlens.sources.readers import load_seasons, read_csv, read_season_table
 from seasonlens.sources.writers import export_csv, write_csv, write_seasons
 
 
@@ -48,12 +49,54 @@ def test_seasons_are_few_files_and_long_ones_are_cut(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/rows").count() == 200_000
 
 
+def test_a_missing_column_is_an_error(spark, folder, tmp_path):
+    plays = spark.read.parquet(f"{folder}/pbp")
+    write_seasons(plays.drop("play_id"), f"{tmp_path}/pbp")
+    with pytest.raises(ValueError, match="pbp: missing columns: play_id"):
+        read_season_table(spark, str(tmp_path), "pbp", 1999, 2024)
+    write_seasons(plays.drop("play_id", "wind"), f"{tmp_path}/two/pbp")
+    with pytest.raises(ValueError, match="missing columns: wind, play_id"):
+        read_season_table(spark, f"{tmp_path}/two", "pbp", 1999, 2024)
+
+
+def test_another_type_is_an_error(spark, folder, tmp_path):
+    plays = spark.read.parquet(f"{folder}/pbp")
+    write_seasons(plays.withColumn("wind", F.col("wind").cast("string")), f"{tmp_path}/pbp")
+    with pytest.raises(ValueError, match="pbp: column wind is string, not double"):
+        read_season_table(spark, str(tmp_path), "pbp", 1999, 2024)
+
+
+def test_another_order_column(spark, folder, tmp_path):
+    plays = spark.read.parquet(f"{folder}/pbp")
+    write_seasons(plays.withColumn("sequence", F.col("play_id").cast("double")).drop("play_id"), f"{tmp_path}/pbp")
+    table = read_season_table(spark, str(tmp_path), "pbp", 1999, 2024, play_order="sequence")
+    assert dict(table.dtypes)["play_id"] == "bigint"
+    same = team_context(read_season_table(spark, folder, "pbp", 1999, 2024))
+    assert_equal_tables(team_context(table), same, ["game_id", "team"])
+    assert same.where("wind is not null and roof is not null").count() > 0
+
+
+def test_a_play_without_order_is_an_error(spark, folder, tmp_path):
+    plays = spark.read.parquet(f"{folder}/pbp")
+    write_seasons(plays.withColumn("play_id", F.when(F.col("play_id") > 1, F.col("play_id"))), f"{tmp_path}/pbp")
+    table = read_season_table(spark, str(tmp_path), "pbp", 1999, 2024)
+    with pytest.raises(Exception, match="a play has no play_id"):
+        team_context(table).collect()
+
+
+def test_staged_tables_are_removed(spark):
+    from pathlib import Path
+
+    path = stage(spark.range(3), "gone").inputFiles()[0].removeprefix("file:")
+    assert Path(path).exists()
+    release(spark)
+    assert not Path(path).exists()
+
+
 def test_nan_is_read_as_null(spark, tmp_path):
     df = spark.createDataFrame([("g", 2024, 1, "a", "b", float("nan"), 3.0)], SOURCES["schedules"])
     write_seasons(df, f"{tmp_path}/schedules")
     rows = spark.read.parquet(f"{tmp_path}/schedules")
-    from seasonlens.sources.readers import read_season_table
-
     assert rows.where(F.isnan("home_score")).count() == 1
     assert read_season_table(spark, str(tmp_path), "schedules", 2024, 2024).first().home_score is None
 
