@@ -29,6 +29,9 @@ START = (1 << START_BITS) - 1
 #: occurrences of an anchor that are gathered in one group
 GROUP = 20_000
 ROWS_AT_ONCE = 1 << 16
+#: bits of the filter for repeated anchors: a fixed 32 MB, whatever the corpus
+FILTER_BITS = 28
+FILTER_BLOCKS = 16
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 
@@ -67,7 +70,7 @@ def run_hashes(symbols: np.ndarray, length: int) -> np.ndarray:
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
-    """Place of the first least value in every run of ``width``."""
+    """The least value in every run of ``width``."""
     n = len(values)
     blocks = -(-n // width)
     padded = np.full(blocks * width, np.iinfo(np.uint64).max, dtype=np.uint64)
@@ -75,30 +78,31 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     grid = padded.reshape(blocks, width)
     ahead = np.minimum.accumulate(grid, axis=1).reshape(-1)
     behind = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-    least = np.minimum(behind[:n - width + 1], ahead[width - 1:n])
-    # the next place at or after the start whose value is the least: places of equal values are in order
-    order = np.argsort(values, kind="stable")
-    ranked = values[order]
-    first = np.searchsorted(ranked, least)
-    place = order[first]
-    starts = np.arange(n - width + 1)
-    late = place < starts
-    while late.any():
-        first[late] += 1
-        place[late] = order[first[late]]
-        late = place < starts
-    return place
+    return np.minimum(behind[:n - width + 1], ahead[width - 1:n])
 
 
 def anchors(symbols: np.ndarray, windows: Windows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each run of windows with one anchor: the anchor's hash, the first window and how many there are."""
+    """For each run of windows with one anchor: the anchor's hash, the first window and how many there are.
+
+    The anchor of a window is its first gram with the least hash, so equal windows have it at the same place.
+    """
     n = len(symbols) - windows.length + 1
     if n <= 0:
         return (np.zeros(0, dtype=np.uint64), *[np.zeros(0, dtype=np.int64)] * 2)
-    grams = run_hashes(symbols, windows.gram)
-    place = sliding_least(grams, windows.length - windows.gram + 1)
-    first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-    return grams[place[first]], first, np.diff(np.append(first, n))
+    grams, width = run_hashes(symbols, windows.gram), windows.length - windows.gram + 1
+    least = sliding_least(grams, width)
+    view = np.lib.stride_tricks.sliding_window_view(grams, width)
+    first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+    done: list[np.ndarray] = []
+    ends = np.append(first[1:], n)
+    # a run of windows with one least value goes on beyond its place if the same gram comes again
+    while len(first):
+        done.append(first)
+        place = first + view[first].argmin(axis=1)
+        more = place + 1 < ends
+        first, ends = place[more] + 1, ends[more]
+    first = np.sort(np.concatenate(done))
+    return least[first], first, np.diff(np.append(first, n))
 
 
 def tag(data: bytes) -> int:
@@ -127,15 +131,51 @@ def _counted(windows: Windows):
     return run
 
 
-def _placed(windows: Windows):
+def _bits(batches):
+    """Which bits of the filter the anchors set, by block."""
+    for batch in batches:
+        at = np.unique(batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+        parts = np.split(at, np.searchsorted(at, np.arange(1, FILTER_BLOCKS) * ((1 << FILTER_BITS) // FILTER_BLOCKS)))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(FILTER_BLOCKS), pa.int32()), pa.array([part.astype(np.int32).tobytes() for part in parts], pa.binary())],
+            names=["block", "bits"],
+        )
+
+
+def _set_bits(batches):
+    size = (1 << FILTER_BITS) // FILTER_BLOCKS
+    found: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for block, bits in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            found.setdefault(block, np.zeros(size, dtype=bool))[np.frombuffer(bits, dtype=np.int32) - block * size] = True
+    for block, bits in found.items():
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([block], pa.int32()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], names=["block", "bits"]
+        )
+
+
+def repeat_filter(shared: DataFrame) -> np.ndarray:
+    """A bit for each leading part of a repeated anchor: others need not be sent to find out that they are unique."""
+    spread = shared.select("anchor").mapInArrow(_bits, "block int, bits binary").repartition(FILTER_BLOCKS, "block")
+    size = (1 << FILTER_BITS) // FILTER_BLOCKS // 8
+    found = np.zeros((FILTER_BLOCKS, size), dtype=np.uint8)
+    for row in spread.mapInArrow(_set_bits, "block int, bits binary").collect():
+        found[row["block"]] = np.frombuffer(row["bits"], dtype=np.uint8)
+    return found.reshape(-1)
+
+
+def _placed(windows: Windows, repeated):
     def run(batches):
+        bits = repeated.value
         for batch in pieces(batches):
             rows, parts = [], []
             for row, text in enumerate(batch.column(1).to_pylist()):
                 data = text.encode("utf-8", "surrogatepass")
                 found, first, number = anchors(windows.symbols(data), windows)
-                rows.append(np.full(len(found), row))
-                parts.append((found.view(np.int64), first + tag(data), number))
+                at = (found >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+                kept = np.flatnonzero(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+                rows.append(np.full(len(kept), row))
+                parts.append((found[kept].view(np.int64), first[kept] + tag(data), number[kept]))
             columns = [np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, dtype=np.int64) for i in range(3)]
             rows = np.concatenate(rows) if rows else np.zeros(0, dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -248,7 +288,8 @@ def repeated_windows(texts: DataFrame, windows: Windows, describe, judge) -> Dat
     kind = dict(texts.dtypes)["id"]
     counts = texts.select("text").mapInArrow(_counted(windows), "anchor long").groupBy("anchor").agg(F.count(F.lit(1)).alias("times"))
     shared = stage(counts.filter("times > 1"), "repeat-anchors")
-    placed = texts.mapInArrow(_placed(windows), f"anchor long, id {kind}, place long, windows long")
+    repeated = texts.sparkSession.sparkContext.broadcast(repeat_filter(shared))
+    placed = texts.mapInArrow(_placed(windows, repeated), f"anchor long, id {kind}, place long, windows long")
     hits = (
         placed.join(shared, "anchor")
         .withColumn("tag", F.col("place").bitwiseAND(F.lit(~START)))

@@ -20,7 +20,7 @@ from xxhash import xxh3_64_intdigest
 from seasonlens.llm.repeats import Windows, covered, repeated_windows, texts_of, with_starts
 
 WORDS = 20
-GRAM = 8
+GRAM = 5
 
 
 def _words(data: bytes) -> np.ndarray:
