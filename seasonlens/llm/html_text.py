@@ -315,14 +315,12 @@ def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sampl
     """Train from the pages written for it and a bounded sample of ``pages`` whose markup names an article."""
     from seasonlens.llm.labelled_pages import PAGES
 
-    sample = (
-        pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{html_col}`").cast("string").alias("html"))
-        .filter("html is not null")
-        .select(F.xxhash64("id").alias("order"), F.xxhash64("html").alias("key"), "html")
-        .orderBy("order", "key")
-        .limit(sample_pages)
-        .collect()
-    )
+    source = F.col(f"`{html_col}`").cast("string")
+    rows = pages.select(F.xxhash64(F.col(f"`{id_col}`")).alias("order"), F.xxhash64(source).alias("key"), source.alias("html"))
+    rows = rows.filter("html is not null")
+    # the choice by hashes alone, then the pages: every task of an ordered limit sends its rows to the driver
+    chosen = rows.select("order", "key").distinct().orderBy("order", "key").limit(sample_pages)
+    sample = rows.join(F.broadcast(chosen), ["order", "key"]).dropDuplicates(["order", "key"]).orderBy("order", "key").collect()
     found = [(parse(source, labels=True), WRITTEN_WEIGHT) for source in PAGES]
     for row in sample:
         page = parse(row["html"])
