@@ -37,7 +37,3 @@ def awkward(make):
 @pytest.fixture
 def empty(make):
     return make([])
-
-
-def by_id(df, name="doc_id"):
-    return {row[name]: row for row in df.collect()}

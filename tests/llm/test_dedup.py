@@ -6,8 +6,8 @@ import re
 from collections import Counter
 
 import pytest
-from conftest import by_id
 from pyspark.sql import functions as F
+from rows import by_id
 
 from seasonlens.llm import exact_dedup, jaccard, repeats, substrings, suffixes
 from seasonlens.llm.components import components

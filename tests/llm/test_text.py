@@ -9,8 +9,8 @@ import zlib
 
 import numpy as np
 import pytest
-from conftest import by_id
 from pyspark.sql import functions as F
+from rows import by_id
 
 from seasonlens.llm import decontaminate, html_text, packing, quality, secrets, token_counts
 from seasonlens.llm.queries import tokenizer
