@@ -91,16 +91,20 @@ def anchors(symbols: np.ndarray, windows: Windows) -> tuple[np.ndarray, np.ndarr
         return (np.zeros(0, dtype=np.uint64), *[np.zeros(0, dtype=np.int64)] * 2)
     grams, width = run_hashes(symbols, windows.gram), windows.length - windows.gram + 1
     least = sliding_least(grams, width)
-    view = np.lib.stride_tricks.sliding_window_view(grams, width)
+    across = np.arange(width)
     first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
     done: list[np.ndarray] = []
     ends = np.append(first[1:], n)
+    # where the least value falls, it is that of the gram that has just come in; else it has to be looked for
+    place = first + (width - 1)
+    look = np.flatnonzero(np.concatenate([[True], least[first[1:]] > least[first[1:] - 1]]))
+    place[look] = first[look] + grams[first[look][:, None] + across].argmin(axis=1)
     # a run of windows with one least value goes on beyond its place if the same gram comes again
     while len(first):
         done.append(first)
-        place = first + view[first].argmin(axis=1)
         more = place + 1 < ends
         first, ends = place[more] + 1, ends[more]
+        place = first + grams[first[:, None] + across].argmin(axis=1)
     first = np.sort(np.concatenate(done))
     return least[first], first, np.diff(np.append(first, n))
 

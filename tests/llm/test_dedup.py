@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from rows import by_id
@@ -226,6 +227,24 @@ def test_repeated_bytes(make, monkeypatch, group):
     assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in found.values())
 
 
+@pytest.mark.parametrize("length, gram", [(20, 5), (200, 64), (6, 2)])
+def test_anchors(length, gram):
+    rng = random.Random(length)
+    for _ in range(100):
+        kinds = rng.choice([1, 2, 3, 1000])
+        symbols = np.array([rng.randrange(kinds) for _ in range(rng.randint(0, 400))], dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        grams = repeats.run_hashes(symbols, gram)
+        want = []
+        for start in range(len(symbols) - length + 1):
+            place = start + int(grams[start:start + length - gram + 1].argmin())
+            if want and want[-1][1] == place:
+                want[-1][3] += 1
+            else:
+                want.append([int(grams[place]), place, start, 1])
+        found = repeats.anchors(symbols, repeats.Windows(length, gram, None))
+        assert [tuple(map(int, row)) for row in zip(*found)] == [(h, start, n) for h, _, start, n in want]
+
+
 def test_repeats_of_awkward_rows(awkward, empty):
     found = substrings.remove_substrings(awkward).collect()
     assert len(found) == awkward.count()
