@@ -210,15 +210,14 @@ def _gathered(windows: Windows, describe):
             rows, out = [], []
             for row in range(batch.num_rows):
                 data = unpress.decompress(batch.column(1)[row].as_py())
-                symbols = windows.symbols(data)
-                hashes = run_hashes(symbols, windows.length)
+                hashes = run_hashes(windows.symbols(data), windows.length)
                 for hit in batch.column(2)[row].as_py():
                     first, number = hit["place"] & START, hit["windows"]
                     found = hashes[first:first + number]
                     parts = -(-hit["times"] // GROUP)
                     if parts == 1:
                         rows.append(row)
-                        out.append((hit["anchor"], 0, hit["place"], None, describe(symbols, first, number, found)))
+                        out.append((hit["anchor"], 0, hit["place"], None, describe(data, first, number, found)))
                         continue
                     share = (found >> np.uint64(20)) % np.uint64(parts)
                     for part in np.unique(share).tolist():
@@ -235,7 +234,7 @@ def _gathered(windows: Windows, describe):
     return run
 
 
-def _groups(judge, kind: str):
+def _groups(judge):
     """Judge each group of rows with one anchor and part; partitions are sorted by them, id and place."""
 
     def run(batches):
@@ -285,7 +284,7 @@ def _found(pending, id_type) -> pa.RecordBatch:
 def repeated_windows(texts: DataFrame, windows: Windows, describe, judge) -> DataFrame:
     """id, tag and starts (binary, 64-bit, one or more pieces) of the windows that ``judge`` picks, staged.
 
-    ``describe(symbols, first, number, hashes)`` is what is sent of the windows of one anchor; ``judge(rows)`` gets
+    ``describe(data, first, number, hashes)`` is what is sent of the windows of one anchor; ``judge(rows)`` gets
     the rows (id, place, chosen, what) of one group in order and gives, for each, which windows are picked. Rows of a
     split anchor have ``chosen`` windows (16-bit numbers) and their hashes instead.
     """
@@ -307,7 +306,7 @@ def repeated_windows(texts: DataFrame, windows: Windows, describe, judge) -> Dat
         _gathered(windows, describe), f"anchor long, part long, id {kind}, place long, chosen binary, what binary"
     )
     sorted_ = rows.repartition("anchor", "part").sortWithinPartitions("anchor", "part", "id", "place")
-    return stage(sorted_.mapInArrow(_groups(judge, kind), f"id {kind}, tag long, starts binary"), "repeat-windows")
+    return stage(sorted_.mapInArrow(_groups(judge), f"id {kind}, tag long, starts binary"), "repeat-windows")
 
 
 def with_starts(texts: DataFrame, found: DataFrame, fn, made) -> DataFrame:

@@ -31,7 +31,7 @@ def _words(data: bytes) -> np.ndarray:
 WINDOWS = Windows(WORDS, GRAM, _words)
 
 
-def _describe(symbols, first, number, hashes) -> bytes:
+def _describe(data, first, number, hashes) -> bytes:
     return hashes.tobytes()
 
 

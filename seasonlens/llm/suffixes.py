@@ -26,42 +26,52 @@ def _bytes(data: bytes) -> np.ndarray:
 
 
 WINDOWS = Windows(BYTES, GRAM, _bytes)
-_UNDO = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
 
 
-def _describe(symbols, first, number, hashes) -> bytes:
+def _describe(data, first, number, hashes) -> bytes:
     """The bytes that the windows of one anchor cover."""
-    return (symbols[first:first + number + BYTES - 1] * _UNDO - np.uint64(1)).astype(np.uint8).tobytes()
+    return data[first:first + number + BYTES - 1]
 
 
 def _again(rows) -> list[np.ndarray]:
     """The windows of each row that any other window of the group equals."""
-    places = [row[1] for row in rows]
-    if rows[0][2] is not None:
-        return _again_by_hash(rows)
-    data = [np.frombuffer(row[3], dtype=np.uint8) for row in rows]
-    hashes = [run_hashes(_bytes(row[3]), BYTES) for row in rows]
-    sizes = [len(h) for h in hashes]
-    flat = np.concatenate(hashes)
-    of = np.repeat(np.arange(len(rows)), sizes)
-    at = np.concatenate([np.arange(n) for n in sizes])
-    order = np.argsort(flat, kind="stable")
-    same = np.flatnonzero(flat[order[1:]] == flat[order[:-1]])
-    picked = np.zeros(len(flat), dtype=bool)
-    for i in _distinct_places(rows, places, order, same, of, at):
-        a, b = order[i], order[i + 1]
-        if np.array_equal(data[of[a]][at[a]:at[a] + BYTES], data[of[b]][at[b]:at[b] + BYTES]):
-            picked[a] = picked[b] = True
-    ends = np.cumsum(sizes)
-    return [np.flatnonzero(picked[end - size:end]) for end, size in zip(ends.tolist(), sizes)]
-
-
-def _distinct_places(rows, places, order, same, of, at) -> list[int]:
-    """Without neighbours that are one window of one document, which a repeated row brings again."""
-    return [
-        i for i in same.tolist()
-        if (rows[of[order[i]]][0], places[of[order[i]]] + at[order[i]]) != (rows[of[order[i + 1]]][0], places[of[order[i + 1]]] + at[order[i + 1]])
-    ]
+    # a repeated row is the same document again: its windows do not repeat each other
+    first_of: dict[tuple, int] = {}
+    same_as = [first_of.setdefault((row[0], row[1]), len(first_of)) for row in rows]
+    once: list = [None] * len(first_of)
+    for row, at in zip(rows, same_as):
+        once[at] = row
+    picked = _again_by_hash(once) if rows[0][2] is not None else _again_by_bytes(once)
+    return [picked[at] for at in same_as]
+
+
+def _again_by_bytes(rows) -> list[np.ndarray]:
+    data = b"".join([row[3] for row in rows])
+    sizes = np.array([len(row[3]) for row in rows])
+    begins = np.cumsum(sizes) - sizes
+    numbers = sizes - (BYTES - 1)
+    of = np.repeat(np.arange(len(rows)), numbers)
+    at = np.arange(int(numbers.sum())) + np.repeat(begins - (np.cumsum(numbers) - numbers), numbers)
+    hashes = run_hashes(_bytes(data), BYTES)[at]
+    order = np.argsort(hashes, kind="stable")
+    sorted_ = hashes[order]
+    same = np.flatnonzero(sorted_[1:] == sorted_[:-1])
+    picked = np.zeros(len(data), dtype=bool)
+    if len(same):
+        # neighbours of one pair of rows that lie equally far apart are compared byte by byte in one go
+        a, b = at[order[same]], at[order[same + 1]]
+        pair = (of[order[same]] * len(rows) + of[order[same + 1]]) * (2 * len(data) + 1) + (b - a + len(data))
+        by_pair = np.lexsort((a, pair))
+        cuts = np.flatnonzero(np.diff(pair[by_pair])) + 1
+        plain = np.frombuffer(data, dtype=np.uint8)
+        for chosen in np.split(by_pair, cuts):
+            low, high, shift = a[chosen[0]], a[chosen[-1]] + BYTES, b[chosen[0]] - a[chosen[0]]
+            other = np.zeros(high - low + 1, dtype=np.int64)
+            np.cumsum(plain[low:high] != plain[low + shift:high + shift], out=other[1:])
+            starts = a[chosen] - low
+            equal = a[chosen][other[starts + BYTES] == other[starts]]
+            picked[equal] = picked[equal + shift] = True
+    return [np.flatnonzero(picked[begin:begin + number]) for begin, number in zip(begins.tolist(), numbers.tolist())]
 
 
 def _again_by_hash(rows) -> list[np.ndarray]:
