@@ -41,10 +41,22 @@ def _again(rows) -> list[np.ndarray]:
     once: list = [None] * len(first_of)
     for row, at in zip(rows, same_as):
         once[at] = row
-    picked = _again_by_hash(once) if rows[0][2] is not None else _again_by_bytes(once)
+    picked = _again_by_hash(once) if rows[0][2] is not None else _again_by_context(once)
     return [picked[at] for at in same_as]
 
 
+def _again_by_context(rows) -> list[np.ndarray]:
+    """Rows that send the same bytes repeat each other as a whole; different bytes are compared once each."""
+    index: dict[bytes, int] = {}
+    of = [index.setdefault(row[3], len(index)) for row in rows]
+    times = np.bincount(of)
+    picked = _again_by_bytes([(None, None, None, data) for data in index])
+    for at, data in enumerate(index):
+        if times[at] > 1:
+            picked[at] = np.arange(len(data) - BYTES + 1)
+    return [picked[at] for at in of]
+
+
 def _again_by_bytes(rows) -> list[np.ndarray]:
     data = b"".join([row[3] for row in rows])
     sizes = np.array([len(row[3]) for row in rows])
