@@ -65,10 +65,11 @@ class WordEncoder:
             self.known, self.older = {}, self.known
         new = set(words).difference(self.known)
         if new:
-            again = new.intersection(self.older)
-            self.known.update((word, self.older[word]) for word in again)
+            older = self.older
+            again = {word: older[word] for word in new if word in older}
+            self.known.update(again)
             if len(again) < len(new):
-                self.learn(list(new - again))
+                self.learn(list(new.difference(again)))
         return b"".join(map(self.known.__getitem__, words))
 
 
