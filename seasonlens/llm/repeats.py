@@ -270,19 +270,32 @@ def _groups(judge):
     return run
 
 
+def runs(starts: np.ndarray) -> bytes:
+    """Sorted numbers as runs: the first and how many, as little-endian 64-bit numbers."""
+    first = np.concatenate([[0], np.flatnonzero(np.diff(starts) != 1) + 1])
+    return np.stack([starts[first], np.diff(np.append(first, len(starts)))], axis=1).astype("<i8").tobytes()
+
+
+def numbers(data: bytes) -> np.ndarray:
+    """The distinct numbers of runs, sorted."""
+    first, count = np.frombuffer(data, dtype="<i8").reshape(-1, 2).T
+    within = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+    return np.unique(np.repeat(first, count) + within)
+
+
 def _found(pending, id_type) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array([row[0] for row, _ in pending], id_type),
             pa.array([row[1] & ~START for row, _ in pending], pa.int64()),
-            pa.array([(np.asarray(starts, dtype=np.int64) + (row[1] & START)).astype("<i8").tobytes() for row, starts in pending], pa.binary()),
+            pa.array([runs(np.asarray(starts, dtype=np.int64) + (row[1] & START)) for row, starts in pending], pa.binary()),
         ],
         names=["id", "tag", "starts"],
     )
 
 
 def repeated_windows(texts: DataFrame, windows: Windows, describe, judge) -> DataFrame:
-    """id, tag and starts (binary, 64-bit, one or more pieces) of the windows that ``judge`` picks, staged.
+    """id, tag and starts (binary ``runs``, one or more pieces) of the windows that ``judge`` picks, staged.
 
     ``describe(data, first, number, hashes)`` is what is sent of the windows of one anchor; ``judge(rows)`` gets
     the rows (id, place, chosen, what) of one group in order and gives, for each, which windows are picked. Rows of a
@@ -323,7 +336,7 @@ def with_starts(texts: DataFrame, found: DataFrame, fn, made) -> DataFrame:
             out = []
             for row in range(batch.num_rows):
                 parts = batch.column(2)[row].as_py() or []
-                at = np.unique(np.frombuffer(b"".join(parts), dtype="<i8")) if parts else np.zeros(0, dtype=np.int64)
+                at = numbers(b"".join(parts))
                 out.append(fn(unpress.decompress(batch.column(1)[row].as_py()), at))
             columns = [pa.array([o[i] for o in out], kind) for i, (_, kind, _) in enumerate(made)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["id", *[name for name, _, _ in made]])
