@@ -3,8 +3,9 @@
 A window of ``length`` symbols holds ``length - gram + 1`` grams; the one with the least hash is its anchor. Equal windows
 have equal anchors, so a window can only repeat if its anchor occurs more than once. Only anchors are counted over the
 corpus, one for some seven or seventy windows; windows are looked at only around anchors that occur again. Those are
-gathered by anchor, each group in (document, place) order. An anchor that occurs very often is split by the hashes of
-its windows: equal windows stay together, and no group grows with the corpus.
+gathered by anchor, each group in (document, place) order. The windows of an anchor that occurs more than ``GROUP`` times
+are not gathered: Spark aggregates them by their hashes, on the map side first, and what it finds is joined back. So no
+group that is held in Python grows with the corpus.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ START_BITS = 40
 START = (1 << START_BITS) - 1
 #: occurrences of an anchor that are gathered in one group
 GROUP = 20_000
+#: repeated window hashes of frequent anchors up to which they are broadcast (at most some 60 MB)
+BROADCAST_ROWS = 500_000
 ROWS_AT_ONCE = 1 << 16
 #: bits of the filter for repeated anchors: a fixed 32 MB, whatever the corpus
 FILTER_BITS = 28
@@ -213,29 +216,69 @@ def _gathered(windows: Windows, describe):
                 hashes = run_hashes(windows.symbols(data), windows.length)
                 for hit in batch.column(2)[row].as_py():
                     first, number = hit["place"] & START, hit["windows"]
-                    found = hashes[first:first + number]
-                    parts = -(-hit["times"] // GROUP)
-                    if parts == 1:
-                        rows.append(row)
-                        out.append((hit["anchor"], 0, hit["place"], None, describe(data, first, number, found)))
-                        continue
-                    share = (found >> np.uint64(20)) % np.uint64(parts)
-                    for part in np.unique(share).tolist():
-                        chosen = np.flatnonzero(share == part)
-                        rows.append(row)
-                        out.append((hit["anchor"], part, hit["place"], chosen.astype(np.uint16).tobytes(), found[chosen].tobytes()))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+                    rows.append(row)
+                    out.append((hit["anchor"], hit["place"], describe(data, first, number, hashes[first:first + number])))
+            kinds = (pa.int64(), pa.int64(), pa.binary())
             columns = [pa.array([o[i] for o in out], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(
-                [columns[0], columns[1], batch.column(0).take(pa.array(rows, pa.int64())), *columns[2:]],
-                names=["anchor", "part", "id", "place", "chosen", "what"],
+                [columns[0], batch.column(0).take(pa.array(rows, pa.int64())), *columns[1:]], names=["anchor", "id", "place", "what"]
             )
 
     return run
 
 
+def _hashed(windows: Windows):
+    """For each frequent anchor of a document, the hashes of its windows."""
+
+    def run(batches):
+        unpress = zstandard.ZstdDecompressor()
+        for batch in pieces(batches):
+            rows, places, found = [], [], []
+            for row in range(batch.num_rows):
+                data = unpress.decompress(batch.column(1)[row].as_py())
+                hashes = run_hashes(windows.symbols(data), windows.length).view(np.int64)
+                for hit in batch.column(2)[row].as_py():
+                    first = hit["place"] & START
+                    rows.append(row)
+                    places.append(hit["place"])
+                    found.append(hashes[first:first + hit["windows"]])
+            ends = np.cumsum([0] + [len(f) for f in found]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found) if found else np.zeros(0, dtype=np.int64)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(places, pa.int64()), lists], names=["id", "place", "hashes"]
+            )
+
+    return run
+
+
+def _as_runs(batches):
+    for batch in pieces(batches):
+        starts = [runs(np.sort(np.array(at, dtype=np.int64))) for at in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(starts, pa.binary())], names=["id", "tag", "starts"])
+
+
+def _frequent(hashed: DataFrame, picks, kind: str) -> DataFrame:
+    """id, tag and starts of the windows of frequent anchors that ``picks`` chooses.
+
+    Windows are told apart by their 64-bit hashes. A hash is aggregated on the map side before anything is sent, so one
+    that occurs in many documents is a few rows in each task; those that occur in one place only are not joined back.
+    """
+    windows = hashed.select("id", "place", F.posexplode("hashes").alias("at", "hash")).select(
+        "hash", F.struct("id", (F.col("place") + F.col("at")).alias("place")).alias("where")
+    )
+    again = stage(
+        windows.groupBy("hash").agg(F.min("where").alias("first"), F.max("where").alias("last")).filter(~F.col("first").eqNullSafe(F.col("last"))).select("hash", "first"),
+        "repeat-hashes",
+    )
+    # a hash that is hot is so on the side of the windows only; what is too large to broadcast is split by Spark
+    again = F.broadcast(again) if again.count() <= BROADCAST_ROWS else again
+    picked = windows.join(again, "hash").filter(picks(F.col("where"), F.col("first")))
+    places = picked.select("where.id", F.col("where.place").bitwiseAND(F.lit(~START)).alias("tag"), F.col("where.place").bitwiseAND(F.lit(START)).alias("start"))
+    return places.groupBy("id", "tag").agg(F.collect_set("start").alias("at")).mapInArrow(_as_runs, f"id {kind}, tag long, starts binary")
+
+
 def _groups(judge):
-    """Judge each group of rows with one anchor and part; partitions are sorted by them, id and place."""
+    """Judge each group of rows with one anchor; partitions are sorted by it, id and place."""
 
     def run(batches):
         held, current = [], None
@@ -248,8 +291,8 @@ def _groups(judge):
 
         pending = []
         for batch in pieces(batches):
-            of = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
-            rows = list(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4).to_pylist(), batch.column(5).to_pylist()))
+            of = batch.column(0).to_pylist()
+            rows = list(zip(*[batch.column(i).to_pylist() for i in (1, 2, 3)]))
             low = 0
             for high in range(1, len(of) + 1):
                 if high < len(of) and of[high] == of[low]:
@@ -260,12 +303,12 @@ def _groups(judge):
                 held.append(rows[low:high])
                 low = high
             if pending:
-                yield _found(pending, batch.schema.field(2).type)
+                yield _found(pending, batch.schema.field(1).type)
                 pending = []
         if held:
             pending = judged()
             if pending:
-                yield _found(pending, batch.schema.field(2).type)
+                yield _found(pending, batch.schema.field(1).type)
 
     return run
 
@@ -294,38 +337,49 @@ def _found(pending, id_type) -> pa.RecordBatch:
     )
 
 
-def repeated_windows(texts: DataFrame, windows: Windows, describe, judge) -> DataFrame:
-    """id, tag and starts (binary ``runs``, one or more pieces) of the windows that ``judge`` picks, staged.
+def repeated_windows(texts: DataFrame, windows: Windows, describe, judge, picks) -> DataFrame:
+    """id, tag and starts (binary ``runs``, one or more pieces) of the windows that are picked, staged.
 
     ``describe(data, first, number, hashes)`` is what is sent of the windows of one anchor; ``judge(rows)`` gets
-    the rows (id, place, chosen, what) of one group in order and gives, for each, which windows are picked. Rows of a
-    split anchor have ``chosen`` windows (16-bit numbers) and their hashes instead.
+    the rows (id, place, what) of one group in order and gives, for each, which windows are picked. Of an anchor with more
+    than ``GROUP`` occurrences, those windows whose hash comes in more than one place and for which ``picks`` (a condition
+    on the place of the window and the first place of its hash, in order) holds.
     """
     kind = dict(texts.dtypes)["id"]
     counts = texts.select("text").mapInArrow(_counted(windows), "anchor long").groupBy("anchor").agg(F.count(F.lit(1)).alias("times"))
     shared = stage(counts.filter("times > 1"), "repeat-anchors")
     repeated = texts.sparkSession.sparkContext.broadcast(repeat_filter(shared))
     placed = texts.mapInArrow(_placed(windows, repeated), f"anchor long, id {kind}, place long, windows long")
+    often = shared.filter(F.col("times") > GROUP).count() > 0
+    # a text that comes again with its id has the same hits: a set holds them once
     hits = (
         placed.join(shared, "anchor")
         .withColumn("tag", F.col("place").bitwiseAND(F.lit(~START)))
         .groupBy("id", "tag")
-        .agg(F.collect_list(F.struct("anchor", "place", "windows", "times")).alias("hits"))
+        .agg(F.collect_set(F.struct("anchor", "place", "windows", "times")).alias("hits"))
     )
     packed = texts.mapInArrow(compressed, f"id {kind}, tag long, data binary")
     same = packed["id"].eqNullSafe(hits["id"]) & (packed["tag"] == hits["tag"])
     brought = packed.join(hits, same).select(packed["id"], "data", "hits")
-    rows = brought.mapInArrow(
-        _gathered(windows, describe), f"anchor long, part long, id {kind}, place long, chosen binary, what binary"
-    )
-    sorted_ = rows.repartition("anchor", "part").sortWithinPartitions("anchor", "part", "id", "place")
-    return stage(sorted_.mapInArrow(_groups(judge), f"id {kind}, tag long, starts binary"), "repeat-windows")
+    if often:
+        brought = stage(brought, "repeat-texts")
+    few, many = [
+        brought.withColumn("hits", F.filter("hits", test)).filter(F.size("hits") > 0)
+        for test in (lambda hit: hit.times <= GROUP, lambda hit: hit.times > GROUP)
+    ]
+    rows = few.mapInArrow(_gathered(windows, describe), f"anchor long, id {kind}, place long, what binary")
+    sorted_ = rows.repartition("anchor").sortWithinPartitions("anchor", "id", "place")
+    found = sorted_.mapInArrow(_groups(judge), f"id {kind}, tag long, starts binary")
+    if often:
+        hashed = stage(many.mapInArrow(_hashed(windows), f"id {kind}, place long, hashes array<long>"), "repeat-frequent")
+        found = found.unionByName(_frequent(hashed, picks, kind))
+    return stage(found, "repeat-windows")
 
 
 def with_starts(texts: DataFrame, found: DataFrame, fn, made) -> DataFrame:
     """id and the columns ``made`` that ``fn(data, starts)`` gives for every text; starts are sorted."""
     kind = dict(texts.dtypes)["id"]
-    starts = found.groupBy("id", "tag").agg(F.collect_list("starts").alias("starts"))
+    starts = found.groupBy("id", "tag").agg(F.collect_set("starts").alias("starts"))
     packed = texts.mapInArrow(compressed, f"id {kind}, tag long, data binary")
     same = packed["id"].eqNullSafe(starts["id"]) & (packed["tag"] == starts["tag"])
     joined = packed.join(starts, same, "left").select(packed["id"], "data", "starts")

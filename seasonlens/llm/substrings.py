@@ -13,7 +13,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -40,16 +40,15 @@ def _later(rows) -> list[list[int]]:
     index: set[int] = set()
     found, before = [], None
     waiting: list[int] = []
-    for id_, place, chosen, what in rows:
+    for id_, place, what in rows:
         # rows of the same text, repeated, index their windows together: neither is before the other
         if (id_, place) != before:
             index.update(waiting)
             waiting, before = [], (id_, place)
         hashes = np.frombuffer(what, dtype=np.uint64).tolist()
-        numbers = range(len(hashes)) if chosen is None else np.frombuffer(chosen, dtype=np.uint16).tolist()
         own: set[int] = set()
         picked = []
-        for number, value in zip(numbers, hashes):
+        for number, value in enumerate(hashes):
             if value in index or value in own:
                 picked.append(number)
             own.add(value)
@@ -58,6 +57,10 @@ def _later(rows) -> list[list[int]]:
     return found
 
 
+def _not_first(where: Column, first: Column) -> Column:
+    return ~where.eqNullSafe(first)
+
+
 def factors(starts: np.ndarray, length: int = WORDS) -> list[tuple[int, int]]:
     """The duplicate spans: maximal runs of words that windows from ``starts`` on cover."""
     spans: list[tuple[int, int]] = []
@@ -92,7 +95,7 @@ def remove_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     runs when this is called; windows are compared by 64-bit hashes within a group of equal 64-bit anchors.
     """
     texts = texts_of(docs, id_col, text_col)
-    found = repeated_windows(texts, WINDOWS, _describe, _later)
+    found = repeated_windows(texts, WINDOWS, _describe, _later, _not_first)
     made = [("n_words", pa.int64(), "long"), ("n_removed", pa.int64(), "long"), ("kept_sha256", pa.string(), "string"), ("spans", pa.string(), "string")]
     if with_text:
         made.append(("kept", pa.string(), "string"))

@@ -11,7 +11,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seasonlens.llm.repeats import Windows, covered, repeated_windows, run_hashes, texts_of, with_starts
@@ -41,16 +41,16 @@ def _again(rows) -> list[np.ndarray]:
     once: list = [None] * len(first_of)
     for row, at in zip(rows, same_as):
         once[at] = row
-    picked = _again_by_hash(once) if rows[0][2] is not None else _again_by_context(once)
+    picked = _again_by_context(once)
     return [picked[at] for at in same_as]
 
 
 def _again_by_context(rows) -> list[np.ndarray]:
     """Rows that send the same bytes repeat each other as a whole; different bytes are compared once each."""
     index: dict[bytes, int] = {}
-    of = [index.setdefault(row[3], len(index)) for row in rows]
+    of = [index.setdefault(row[2], len(index)) for row in rows]
     times = np.bincount(of)
-    picked = _again_by_bytes([(None, None, None, data) for data in index])
+    picked = _again_by_bytes([(None, None, data) for data in index])
     for at, data in enumerate(index):
         if times[at] > 1:
             picked[at] = np.arange(len(data) - BYTES + 1)
@@ -58,8 +58,8 @@ def _again_by_context(rows) -> list[np.ndarray]:
 
 
 def _again_by_bytes(rows) -> list[np.ndarray]:
-    data = b"".join([row[3] for row in rows])
-    sizes = np.array([len(row[3]) for row in rows])
+    data = b"".join([row[2] for row in rows])
+    sizes = np.array([len(row[2]) for row in rows])
     begins = np.cumsum(sizes) - sizes
     numbers = sizes - (BYTES - 1)
     of = np.repeat(np.arange(len(rows)), numbers)
@@ -86,13 +86,8 @@ def _again_by_bytes(rows) -> list[np.ndarray]:
     return [np.flatnonzero(picked[begin:begin + number]) for begin, number in zip(begins.tolist(), numbers.tolist())]
 
 
-def _again_by_hash(rows) -> list[np.ndarray]:
-    numbers = [np.frombuffer(row[2], dtype=np.uint16).astype(np.int64) for row in rows]
-    flat = np.concatenate([np.frombuffer(row[3], dtype=np.uint64) for row in rows])
-    _, inverse, counts = np.unique(flat, return_inverse=True, return_counts=True)
-    picked = counts[inverse] > 1
-    ends = np.cumsum([len(n) for n in numbers])
-    return [n[picked[end - len(n):end]] for end, n in zip(ends.tolist(), numbers)]
+def _all(where: Column, first: Column) -> Column:
+    return F.lit(True)
 
 
 def _cleaned(with_bytes: bool):
@@ -116,7 +111,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     this is called.
     """
     texts = texts_of(docs, id_col, text_col)
-    found = repeated_windows(texts, WINDOWS, _describe, _again)
+    found = repeated_windows(texts, WINDOWS, _describe, _again, _all)
     made = [("n_bytes", pa.int64(), "long"), ("n_removed", pa.int64(), "long"), ("n_spans", pa.int64(), "long"), ("kept_sha256", pa.string(), "string")]
     if with_bytes:
         made.append(("kept", pa.binary(), "binary"))

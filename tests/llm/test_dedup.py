@@ -245,6 +245,33 @@ def test_anchors(length, gram):
         assert [tuple(map(int, row)) for row in zip(*found)] == [(h, start, n) for h, _, start, n in want]
 
 
+@pytest.mark.parametrize("remove", [substrings.remove_substrings, suffixes.remove_repeats])
+@pytest.mark.parametrize("broadcast", [0, 500_000])
+def test_no_group_of_a_hot_window_is_held_in_python(spark, make, monkeypatch, remove, broadcast):
+    """A passage in every row: with more than GROUP rows, none of its windows may be gathered."""
+    hot, largest = " ".join(f"w{i}" for i in range(60)), spark.sparkContext.accumulator(0)
+    passage = [(i, f"{i} {hot} {i}") for i in range(40)] + [(None, hot), (None, hot), (3, f"3 {hot} 3")]
+    monkeypatch.setattr(repeats, "GROUP", 10)
+    monkeypatch.setattr(repeats, "BROADCAST_ROWS", broadcast)
+    real = repeats._groups
+
+    def counting(judge):
+        def judged(rows):
+            if len(rows) > 10:
+                largest.add(1)
+            return judge(rows)
+
+        return real(judged)
+
+    monkeypatch.setattr(repeats, "_groups", counting)
+    found = {(r.doc_id, r.n_removed) for r in remove(make(passage)).collect()}
+    assert largest.value == 0
+    if remove is substrings.remove_substrings:
+        assert found == {(None, 0), *[(i, 60) for i in range(40)]}
+    else:
+        assert {i for i, _ in found} == {None, *range(40)} and all(n >= len(hot) for _, n in found)
+
+
 def test_repeats_of_awkward_rows(awkward, empty):
     found = substrings.remove_substrings(awkward).collect()
     assert len(found) == awkward.count()
