@@ -18,15 +18,12 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh3_64_intdigest
+from xxhash import xxh3_128_digest
 
 from seasonlens.llm.arrow import pieces
 from seasonlens.llm.shingles import mixed
 from seasonlens.session import stage
 
-#: bits of a place that hold the window's start; those above tell texts apart that share an id
-START_BITS = 40
-START = (1 << START_BITS) - 1
 #: occurrences of an anchor that are gathered in one group
 GROUP = 20_000
 #: repeated window hashes of frequent anchors up to which they are broadcast (at most some 60 MB)
@@ -112,8 +109,9 @@ def anchors(symbols: np.ndarray, windows: Windows) -> tuple[np.ndarray, np.ndarr
     return least[first], first, np.diff(np.append(first, n))
 
 
-def tag(data: bytes) -> int:
-    return xxh3_64_intdigest(data) >> (START_BITS + 1) << START_BITS
+def tag(data: bytes) -> bytes:
+    """128 bits that tell texts apart that share an id."""
+    return xxh3_128_digest(data)
 
 
 def texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -175,19 +173,20 @@ def _placed(windows: Windows, repeated):
     def run(batches):
         bits = repeated.value
         for batch in pieces(batches):
-            rows, parts = [], []
+            rows, tags, parts = [], [], []
             for row, text in enumerate(batch.column(1).to_pylist()):
                 data = text.encode("utf-8", "surrogatepass")
+                tags.append(tag(data))
                 found, first, number = anchors(windows.symbols(data), windows)
                 at = (found >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
                 kept = np.flatnonzero(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1)
                 rows.append(np.full(len(kept), row))
-                parts.append((found[kept].view(np.int64), first[kept] + tag(data), number[kept]))
+                parts.append((found[kept].view(np.int64), first[kept], number[kept]))
             columns = [np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, dtype=np.int64) for i in range(3)]
-            rows = np.concatenate(rows) if rows else np.zeros(0, dtype=np.int64)
+            rows = pa.array(np.concatenate(rows) if rows else np.zeros(0, dtype=np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0]), batch.column(0).take(pa.array(rows)), pa.array(columns[1]), pa.array(columns[2])],
-                names=["anchor", "id", "place", "windows"],
+                [pa.array(columns[0]), batch.column(0).take(rows), pa.array(tags, pa.binary()).take(rows), pa.array(columns[1]), pa.array(columns[2])],
+                names=["anchor", "id", "tag", "place", "windows"],
             )
 
     return run
@@ -199,7 +198,7 @@ def compressed(batches):
     for batch in pieces(batches):
         data = [text.encode("utf-8", "surrogatepass") for text in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([tag(d) for d in data], pa.int64()), pa.array([press.compress(d) for d in data], pa.binary())],
+            [batch.column(0), pa.array([tag(d) for d in data], pa.binary()), pa.array([press.compress(d) for d in data], pa.binary())],
             names=["id", "tag", "data"],
         )
 
@@ -212,16 +211,17 @@ def _gathered(windows: Windows, describe):
         for batch in pieces(batches):
             rows, out = [], []
             for row in range(batch.num_rows):
-                data = unpress.decompress(batch.column(1)[row].as_py())
+                data = unpress.decompress(batch.column(2)[row].as_py())
                 hashes = run_hashes(windows.symbols(data), windows.length)
-                for hit in batch.column(2)[row].as_py():
-                    first, number = hit["place"] & START, hit["windows"]
+                for hit in batch.column(3)[row].as_py():
+                    first, number = hit["place"], hit["windows"]
                     rows.append(row)
                     out.append((hit["anchor"], hit["place"], describe(data, first, number, hashes[first:first + number])))
             kinds = (pa.int64(), pa.int64(), pa.binary())
             columns = [pa.array([o[i] for o in out], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(
-                [columns[0], batch.column(0).take(pa.array(rows, pa.int64())), *columns[1:]], names=["anchor", "id", "place", "what"]
+                [columns[0], *[batch.column(i).take(pa.array(rows, pa.int64())) for i in (0, 1)], *columns[1:]],
+                names=["anchor", "id", "tag", "place", "what"],
             )
 
     return run
@@ -235,17 +235,18 @@ def _hashed(windows: Windows):
         for batch in pieces(batches):
             rows, places, found = [], [], []
             for row in range(batch.num_rows):
-                data = unpress.decompress(batch.column(1)[row].as_py())
+                data = unpress.decompress(batch.column(2)[row].as_py())
                 hashes = run_hashes(windows.symbols(data), windows.length).view(np.int64)
-                for hit in batch.column(2)[row].as_py():
-                    first = hit["place"] & START
+                for hit in batch.column(3)[row].as_py():
+                    first = hit["place"]
                     rows.append(row)
                     places.append(hit["place"])
                     found.append(hashes[first:first + hit["windows"]])
             ends = np.cumsum([0] + [len(f) for f in found]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found) if found else np.zeros(0, dtype=np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(places, pa.int64()), lists], names=["id", "place", "hashes"]
+                [*[batch.column(i).take(pa.array(rows, pa.int64())) for i in (0, 1)], pa.array(places, pa.int64()), lists],
+                names=["id", "tag", "place", "hashes"],
             )
 
     return run
@@ -263,8 +264,8 @@ def _frequent(hashed: DataFrame, picks, kind: str) -> DataFrame:
     Windows are told apart by their 64-bit hashes. A hash is aggregated on the map side before anything is sent, so one
     that occurs in many documents is a few rows in each task; those that occur in one place only are not joined back.
     """
-    windows = hashed.select("id", "place", F.posexplode("hashes").alias("at", "hash")).select(
-        "hash", F.struct("id", (F.col("place") + F.col("at")).alias("place")).alias("where")
+    windows = hashed.select("id", "tag", "place", F.posexplode("hashes").alias("at", "hash")).select(
+        "hash", F.struct("id", "tag", (F.col("place") + F.col("at")).alias("place")).alias("where")
     )
     again = stage(
         windows.groupBy("hash").agg(F.min("where").alias("first"), F.max("where").alias("last")).filter(~F.col("first").eqNullSafe(F.col("last"))).select("hash", "first"),
@@ -273,12 +274,12 @@ def _frequent(hashed: DataFrame, picks, kind: str) -> DataFrame:
     # a hash that is hot is so on the side of the windows only; what is too large to broadcast is split by Spark
     again = F.broadcast(again) if again.count() <= BROADCAST_ROWS else again
     picked = windows.join(again, "hash").filter(picks(F.col("where"), F.col("first")))
-    places = picked.select("where.id", F.col("where.place").bitwiseAND(F.lit(~START)).alias("tag"), F.col("where.place").bitwiseAND(F.lit(START)).alias("start"))
-    return places.groupBy("id", "tag").agg(F.collect_set("start").alias("at")).mapInArrow(_as_runs, f"id {kind}, tag long, starts binary")
+    places = picked.select("where.id", "where.tag", F.col("where.place").alias("start"))
+    return places.groupBy("id", "tag").agg(F.collect_set("start").alias("at")).mapInArrow(_as_runs, f"id {kind}, tag binary, starts binary")
 
 
 def _groups(judge):
-    """Judge each group of rows with one anchor; partitions are sorted by it, id and place."""
+    """Judge each group of rows with one anchor; partitions are sorted by it, id, tag and place."""
 
     def run(batches):
         held, current = [], None
@@ -292,7 +293,7 @@ def _groups(judge):
         pending = []
         for batch in pieces(batches):
             of = batch.column(0).to_pylist()
-            rows = list(zip(*[batch.column(i).to_pylist() for i in (1, 2, 3)]))
+            rows = list(zip(*[batch.column(i).to_pylist() for i in (1, 2, 3, 4)]))
             low = 0
             for high in range(1, len(of) + 1):
                 if high < len(of) and of[high] == of[low]:
@@ -330,8 +331,8 @@ def _found(pending, id_type) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array([row[0] for row, _ in pending], id_type),
-            pa.array([row[1] & ~START for row, _ in pending], pa.int64()),
-            pa.array([runs(np.asarray(starts, dtype=np.int64) + (row[1] & START)) for row, starts in pending], pa.binary()),
+            pa.array([row[1] for row, _ in pending], pa.binary()),
+            pa.array([runs(np.asarray(starts, dtype=np.int64) + row[2]) for row, starts in pending], pa.binary()),
         ],
         names=["id", "tag", "starts"],
     )
@@ -341,7 +342,7 @@ def repeated_windows(texts: DataFrame, windows: Windows, describe, judge, picks)
     """id, tag and starts (binary ``runs``, one or more pieces) of the windows that are picked, staged.
 
     ``describe(data, first, number, hashes)`` is what is sent of the windows of one anchor; ``judge(rows)`` gets
-    the rows (id, place, what) of one group in order and gives, for each, which windows are picked. Of an anchor with more
+    the rows (id, tag, place, what) of one group in order and gives, for each, which windows are picked. Of an anchor with more
     than ``GROUP`` occurrences, those windows whose hash comes in more than one place and for which ``picks`` (a condition
     on the place of the window and the first place of its hash, in order) holds.
     """
@@ -349,29 +350,28 @@ def repeated_windows(texts: DataFrame, windows: Windows, describe, judge, picks)
     counts = texts.select("text").mapInArrow(_counted(windows), "anchor long").groupBy("anchor").agg(F.count(F.lit(1)).alias("times"))
     shared = stage(counts.filter("times > 1"), "repeat-anchors")
     repeated = texts.sparkSession.sparkContext.broadcast(repeat_filter(shared))
-    placed = texts.mapInArrow(_placed(windows, repeated), f"anchor long, id {kind}, place long, windows long")
+    placed = texts.mapInArrow(_placed(windows, repeated), f"anchor long, id {kind}, tag binary, place long, windows long")
     often = shared.filter(F.col("times") > GROUP).count() > 0
     # a text that comes again with its id has the same hits: a set holds them once
     hits = (
         placed.join(shared, "anchor")
-        .withColumn("tag", F.col("place").bitwiseAND(F.lit(~START)))
         .groupBy("id", "tag")
         .agg(F.collect_set(F.struct("anchor", "place", "windows", "times")).alias("hits"))
     )
-    packed = texts.mapInArrow(compressed, f"id {kind}, tag long, data binary")
+    packed = texts.mapInArrow(compressed, f"id {kind}, tag binary, data binary")
     same = packed["id"].eqNullSafe(hits["id"]) & (packed["tag"] == hits["tag"])
-    brought = packed.join(hits, same).select(packed["id"], "data", "hits")
+    brought = packed.join(hits, same).select(packed["id"], packed["tag"], "data", "hits")
     if often:
         brought = stage(brought, "repeat-texts")
     few, many = [
         brought.withColumn("hits", F.filter("hits", test)).filter(F.size("hits") > 0)
         for test in (lambda hit: hit.times <= GROUP, lambda hit: hit.times > GROUP)
     ]
-    rows = few.mapInArrow(_gathered(windows, describe), f"anchor long, id {kind}, place long, what binary")
-    sorted_ = rows.repartition("anchor").sortWithinPartitions("anchor", "id", "place")
-    found = sorted_.mapInArrow(_groups(judge), f"id {kind}, tag long, starts binary")
+    rows = few.mapInArrow(_gathered(windows, describe), f"anchor long, id {kind}, tag binary, place long, what binary")
+    sorted_ = rows.repartition("anchor").sortWithinPartitions("anchor", "id", "tag", "place")
+    found = sorted_.mapInArrow(_groups(judge), f"id {kind}, tag binary, starts binary")
     if often:
-        hashed = stage(many.mapInArrow(_hashed(windows), f"id {kind}, place long, hashes array<long>"), "repeat-frequent")
+        hashed = stage(many.mapInArrow(_hashed(windows), f"id {kind}, tag binary, place long, hashes array<long>"), "repeat-frequent")
         found = found.unionByName(_frequent(hashed, picks, kind))
     return stage(found, "repeat-windows")
 
@@ -380,7 +380,7 @@ def with_starts(texts: DataFrame, found: DataFrame, fn, made) -> DataFrame:
     """id and the columns ``made`` that ``fn(data, starts)`` gives for every text; starts are sorted."""
     kind = dict(texts.dtypes)["id"]
     starts = found.groupBy("id", "tag").agg(F.collect_set("starts").alias("starts"))
-    packed = texts.mapInArrow(compressed, f"id {kind}, tag long, data binary")
+    packed = texts.mapInArrow(compressed, f"id {kind}, tag binary, data binary")
     same = packed["id"].eqNullSafe(starts["id"]) & (packed["tag"] == starts["tag"])
     joined = packed.join(starts, same, "left").select(packed["id"], "data", "starts")
 

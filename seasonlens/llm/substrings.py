@@ -40,11 +40,11 @@ def _later(rows) -> list[list[int]]:
     index: set[int] = set()
     found, before = [], None
     waiting: list[int] = []
-    for id_, place, what in rows:
+    for id_, tag, place, what in rows:
         # rows of the same text, repeated, index their windows together: neither is before the other
-        if (id_, place) != before:
+        if (id_, tag, place) != before:
             index.update(waiting)
-            waiting, before = [], (id_, place)
+            waiting, before = [], (id_, tag, place)
         hashes = np.frombuffer(what, dtype=np.uint64).tolist()
         own: set[int] = set()
         picked = []

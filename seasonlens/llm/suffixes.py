@@ -37,7 +37,7 @@ def _again(rows) -> list[np.ndarray]:
     """The windows of each row that any other window of the group equals."""
     # a repeated row is the same document again: its windows do not repeat each other
     first_of: dict[tuple, int] = {}
-    same_as = [first_of.setdefault((row[0], row[1]), len(first_of)) for row in rows]
+    same_as = [first_of.setdefault(row[:3], len(first_of)) for row in rows]
     once: list = [None] * len(first_of)
     for row, at in zip(rows, same_as):
         once[at] = row
@@ -48,9 +48,9 @@ def _again(rows) -> list[np.ndarray]:
 def _again_by_context(rows) -> list[np.ndarray]:
     """Rows that send the same bytes repeat each other as a whole; different bytes are compared once each."""
     index: dict[bytes, int] = {}
-    of = [index.setdefault(row[2], len(index)) for row in rows]
+    of = [index.setdefault(row[3], len(index)) for row in rows]
     times = np.bincount(of)
-    picked = _again_by_bytes([(None, None, data) for data in index])
+    picked = _again_by_bytes([(None, None, None, data) for data in index])
     for at, data in enumerate(index):
         if times[at] > 1:
             picked[at] = np.arange(len(data) - BYTES + 1)
@@ -58,8 +58,8 @@ def _again_by_context(rows) -> list[np.ndarray]:
 
 
 def _again_by_bytes(rows) -> list[np.ndarray]:
-    data = b"".join([row[2] for row in rows])
-    sizes = np.array([len(row[2]) for row in rows])
+    data = b"".join([row[3] for row in rows])
+    sizes = np.array([len(row[3]) for row in rows])
     begins = np.cumsum(sizes) - sizes
     numbers = sizes - (BYTES - 1)
     of = np.repeat(np.arange(len(rows)), numbers)

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from rows import by_id
+from xxhash import xxh3_64_intdigest
 
 from seasonlens.llm import exact_dedup, jaccard, repeats, substrings, suffixes
 from seasonlens.llm.components import components
@@ -272,6 +273,26 @@ def test_no_group_of_a_hot_window_is_held_in_python(spark, make, monkeypatch, re
         assert {i for i, _ in found} == {None, *range(40)} and all(n >= len(hot) for _, n in found)
 
 
+@pytest.mark.parametrize("group", [20_000, 3])
+def test_texts_of_one_id_whose_hashes_begin_alike(make, monkeypatch, group):
+    """Two texts without an id, equal in the first 23 bits of their hashes: only the one with the passage loses words."""
+    monkeypatch.setattr(repeats, "GROUP", group)
+    hot = " ".join(f"w{i:03}" for i in range(60))
+    kinds = (lambda i: f"{hot} {i}", lambda i: " ".join(f"{i}x{j}" for j in range(45)))
+    begin = {xxh3_64_intdigest(kinds[0](i).encode()) >> 41: kinds[0](i) for i in range(5000)}
+    clean = next(text for text in map(kinds[1], range(100_000)) if xxh3_64_intdigest(text.encode()) >> 41 in begin)
+    dirty = begin[xxh3_64_intdigest(clean.encode()) >> 41]
+    rows = [(None, dirty), (None, clean), *[(i, f"{i} {hot}") for i in range(5)]]
+    # equal windows of the rows without an id come first, so dirty keeps its words and clean has none to lose
+    words = {r.n_words: r.n_removed for r in substrings.remove_substrings(make(rows + [(-1, hot)])).collect() if r.doc_id is None}
+    assert words == {61: 0, 45: 0}
+    bytes_ = {r.n_bytes: r.n_removed for r in suffixes.remove_repeats(make(rows)).collect() if r.doc_id is None}
+    assert bytes_[len(clean)] == 0 and bytes_[len(dirty)] >= len(hot)
+    later = [(1, hot), (2, dirty), (2, clean)]
+    words = {(r.doc_id, r.n_words): r.n_removed for r in substrings.remove_substrings(make(later)).collect()}
+    assert words == {(1, 60): 0, (2, 61): 60, (2, 45): 0}
+
+
 def test_repeats_of_awkward_rows(awkward, empty):
     found = substrings.remove_substrings(awkward).collect()
     assert len(found) == awkward.count()
