@@ -5,7 +5,9 @@ item that it is held against. Windows worth a fingerprint are those where enough
 that size; any window that is similar enough has them, so nothing is lost. Windows and items get 64-bit SimHash
 fingerprints of their words. The fingerprints are cut into 8 blocks: two that differ in at most RADIUS = 15 bits differ
 in at most one bit of some block, so looking up every block, with every bit flipped on the items' side, finds all pairs
-within the radius. Those are verified by the exact similarity of their weighted five-word shingles.
+within the radius. Similar pairs can lie beyond any radius, so pairs that share one of their rarest shingles are looked up
+as well: of two sides with n shingles, m in common, the first n - m + 1 in any one order share at least one, which makes
+the lookup complete. All pairs are verified by the exact similarity of their weighted five-word shingles.
 """
 
 from __future__ import annotations
@@ -162,13 +164,14 @@ def _leaks(texts: DataFrame, items: DataFrame) -> DataFrame:
         .select("n_words", "content", weighted(F.col("shingles")).alias("weights"), simhash(F.col("words")).alias("print")),
         "leak-contents",
     )
-    verified = contents.join(_candidates(contents, items), ["n_words", "content"]).join(
-        items.select("item_id", F.col("n_words").alias("item_words"), "item_weights"),
+    pairs = _candidates(contents, items).drop("hamming").unionByName(_sharing(contents, items)).distinct()
+    verified = contents.join(pairs, ["n_words", "content"]).join(
+        items.select("item_id", F.col("n_words").alias("item_words"), "item_weights", "item_print"),
         ["item_id"],
     ).filter("item_words = n_words")
     common = F.size(F.array_intersect("weights", "item_weights"))
     scored = verified.select(
-        "n_words", "content", "item_id", "hamming",
+        "n_words", "content", "item_id", F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))).alias("hamming"),
         (2 * common / (F.size("weights") + F.size("item_weights"))).alias("similarity"),
     ).filter(F.col("similarity") >= SIMILARITY)
     return spread.select("id", "text_key", "n_words", "start", "content").join(scored, ["n_words", "content"])
@@ -192,6 +195,28 @@ def _candidates(contents: DataFrame, items: DataFrame) -> DataFrame:
     return near.filter(F.col("hamming") <= RADIUS).select("n_words", "content", "item_id", "hamming").distinct()
 
 
+def _sharing(contents: DataFrame, items: DataFrame) -> DataFrame:
+    """n_words, content and item_id of all pairs of one size that share one of the shingles that each must look up.
+
+    The order is that of the number of items with the shingle, the rarest first; it decides cost, never results.
+    """
+    held = items.withColumn("item_key", F.xxhash64("item_weights")).select("n_words", "item_id", "item_key", F.explode("item_weights").alias("shingle"))
+    often = stage(held.groupBy("n_words", "shingle").agg(F.count(F.lit(1)).alias("often")), "leak-often")
+    n = n_shingles(F.col("n_words"))
+    asked = n - F.ceil(F.lit(SIMILARITY) * n).cast("int") + 1
+
+    def first(shingled: DataFrame, keys: list[str]) -> DataFrame:
+        """The shingles to look up; those of no item come before all others and find nothing."""
+        ranked = shingled.join(often, ["n_words", "shingle"], "left").groupBy(*keys).agg(
+            F.sort_array(F.collect_list(F.struct(F.coalesce("often", F.lit(0)).alias("often"), "shingle"))).alias("ranked")
+        )
+        return ranked.select(*keys, F.explode(F.slice("ranked", F.lit(1), asked)).alias("at")).filter("at.often > 0").select(*keys, "at.shingle")
+
+    probes = first(contents.select("n_words", "content", F.explode("weights").alias("shingle")), ["n_words", "content"])
+    index = first(held, ["n_words", "item_id", "item_key"])
+    return probes.join(index, ["n_words", "shingle"]).select("n_words", "content", "item_id").distinct()
+
+
 def clean_rows(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
     item_text_col: str = "text",

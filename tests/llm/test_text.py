@@ -6,6 +6,7 @@ import json
 import re
 import struct
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -320,6 +321,34 @@ def test_leaks_of_awkward_rows(spark, awkward, empty):
     assert decontaminate.clean_rows(awkward, items.limit(0)).count() == awkward.count()
 
 
+def test_leaks_beyond_the_radius_are_found(spark, make):
+    """Items of which one end is replaced by other words, up to the least similarity: against brute force."""
+    rng = np.random.default_rng(11)
+    items, docs, want = [], [], set()
+    for i in range(80):
+        n = (15, 20, 50, 200)[i % 4]
+        words = [f"w{x}" for x in rng.integers(0, 40 if i % 3 else 5000, n)]
+        items.append((i, " ".join(words)))
+        for k in range(3):
+            cut = n // 4 - k
+            other = [f"o{x}" for x in rng.integers(0, 10_000, cut)]
+            docs.append((3 * i + k, " ".join(other + words[cut:] if i % 2 else words[:n - cut] + other)))
+
+    def weights(words):
+        runs = Counter(tuple(words[j:j + 5]) for j in range(max(1, len(words) - 4)))
+        return {(run, j) for run, times in runs.items() for j in range(times)}
+
+    held = {i: (len(text.split()), weights(text.split())) for i, text in items}
+    for d, text in docs:
+        words = text.split()
+        for i, (n, of) in held.items():
+            if any(len(weights(words[j:j + n]) & of) >= 0.75 * len(of) for j in range(len(words) - n + 1)):
+                want.add((d, i))
+    found = decontaminate.leaks(make(docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == want and len(want) > 100
+    assert any(r.hamming > decontaminate.RADIUS for r in found)
+
+
 def test_block_lookup_reaches_the_radius(spark):
     rng = np.random.default_rng(3)
     rows = []
