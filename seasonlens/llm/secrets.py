@@ -23,8 +23,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*)PRIVATE KEY-----([A-Za-z0-9+/=\s]+)-----END \1PRIVATE KEY-----")
-JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+#: in JSON and other quoted text, line ends are escaped, once or more often, and slashes may be
+PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*)PRIVATE KEY-----((?:[A-Za-z0-9+/=\s]|\\+[nr/])++)-----END \1PRIVATE KEY-----")
+ESCAPED = re.compile(r"\\+([nr/])")
+#: a header is base64url of a JSON object, which begins with a brace or white space, and names an algorithm
+JWT = re.compile(r"(?<![A-Za-z0-9_-])(?:e[w-z0-9_-]|[ICD])[A-Za-z0-9_-]{12,}+(?=(\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]*+))")
+JWT_LENGTH = 20
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
 ANY_HEX = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{40,}")
 OPENSSH = b"openssh-key-v1\x00"
@@ -154,6 +158,20 @@ def key_bytes(data: bytes | None) -> str | None:
     return "encrypted" if encrypted_key(data) else None
 
 
+def pem_key(body: str) -> str | None:
+    """Which key the text between the lines of a PEM is."""
+    data = decode64(ESCAPED.sub(lambda m: "/" if m[1] == "/" else " ", body))
+    return key_bytes(data) or (der_key(data) if data else None)
+
+
+def encoded_key(data: bytes | None) -> str | None:
+    """Which key the decoded bytes are: the key itself or a PEM that holds it."""
+    kind = key_bytes(data)
+    if kind or not data or b"PRIVATE KEY-----" not in data:
+        return kind
+    return next(filter(None, (pem_key(m[2]) for m in PEM.finditer(data.decode("latin-1")))), None)
+
+
 def signed_token(text: str) -> str | None:
     """The algorithm of a signed token whose header and payload are JSON objects."""
     header, payload, _ = text.split(".", 2)
@@ -184,21 +202,20 @@ def confirmed(text: str, longest: int) -> list[tuple[int, int, str, str]]:
     found = []
     if "PRIVATE KEY-----" in text:
         for m in PEM.finditer(text):
-            data = decode64(m[2])
-            kind = key_bytes(data) or (der_key(data) if data else None)
+            kind = pem_key(m[2])
             if kind:
                 found.append((m.start(), m.end(), "pem", kind))
-    if longest < 40 and "eyJ" not in text:
-        return found
-    if "eyJ" in text:
+    if longest >= JWT_LENGTH and "." in text:
+        end = 0
         for m in JWT.finditer(text):
-            kind = signed_token(m[0])
+            kind = signed_token(m[0] + m[1]) if m.start() >= end else None
             if kind:
-                found.append((m.start(), m.end(), "jwt", kind))
+                end = m.end(1)
+                found.append((m.start(), end, "jwt", kind))
     if longest >= 40:
         for pattern, name, decode in ((BASE64, "key64", decode64), (ANY_HEX, "keyhex", from_hex)):
             for m in pattern.finditer(text):
-                kind = key_bytes(decode(m[0]))
+                kind = encoded_key(decode(m[0]))
                 if kind and not any(a <= m.start() and m.end() <= b and k == "pem" for a, b, k, _ in found):
                     found.append((m.start(), m.end(), name, kind))
     return found
@@ -227,8 +244,9 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     id, n_assign, n_access, n_hex (spans of the three patterns), n_structured (spans confirmed by decoding), base
     and spans (``kind:start:end`` by start and then kind, code points, end exclusive; base has the three patterns
-    only), structures (confirmed spans with what they are) and base_sha256. Confirmed are private keys in PEM,
-    base64 or hex whose nested lengths fit, and signed tokens whose header and payload are JSON objects. A null
+    only), structures (confirmed spans with what they are) and base_sha256. Confirmed are private keys in PEM
+    (line ends may be escaped), base64 or hex, or PEM in base64 or hex, whose nested lengths fit, and signed tokens whose
+    header and payload are JSON objects. A null
     text is empty and has no spans; repeated rows are scanned each; other columns are ignored.
     """
     return with_columns(docs, text_col, MADE, lambda: scan, [id_col])

@@ -72,6 +72,25 @@ def test_structures(make):
     assert what == {8: ["pem:rsa"], 9: ["jwt:HS256"], 10: ["key64:openssh"], 11: ["keyhex:rsa"]}
 
 
+def spaced(value, before=""):
+    return base64.urlsafe_b64encode((before + json.dumps(value, indent=1)).encode()).decode().rstrip("=")
+
+
+@pytest.mark.parametrize("text, kind, what", [
+    (json.dumps({"private_key": PEM}), "pem", "rsa"),
+    (json.dumps(json.dumps({"private_key": PEM.replace("\n", "\r\n")})), "pem", "rsa"),
+    (json.dumps({"private_key": PEM}).replace("/", "\\/"), "pem", "rsa"),
+    ("tls.key: " + base64.b64encode(PEM.encode()).decode(), "key64", "rsa"),
+    ("tls.key: " + PEM.encode().hex(), "keyhex", "rsa"),
+    (f"see {spaced({'alg': 'HS256'})}.{part({'sub': '1'})}.c2ln", "jwt", "HS256"),
+    (f"x.{part({'alg': 'HS256'})}.{spaced({'sub': '1'})}.c2ln", "jwt", "HS256"),
+    (f"see {base64.urlsafe_b64encode(b'{ ' + json.dumps({'alg': 'none1'}).encode()[1:]).decode().rstrip('=')}.{part({})}. end", "jwt", "none1"),
+    (f"see {spaced({'alg': 'ES256'}, ' ')}.{part({'sub': '1'})}.c2ln", "jwt", "ES256"),
+])
+def test_encodings_of_structures(text, kind, what):
+    assert [(k, w) for _, _, k, w in secrets.confirmed(text, max(map(len, text.split())))] == [(kind, what)]
+
+
 def test_broken_structures_are_not_reported():
     assert secrets.der_key(RSA[:-1]) is None and secrets.der_key(RSA + b"\0") is None
     assert not secrets.openssh_key(OPENSSH[:-1]) and secrets.openssh_key(OPENSSH)
