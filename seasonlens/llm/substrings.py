@@ -1,10 +1,9 @@
-"""Substring deduplication by relative Lempel-Ziv parsing against the documents before.
+"""Substring deduplication by looking up windows among those of the documents before.
 
-The reference is the corpus in (doc_id, place) order, cut into blocks by anchor: a block holds the index of all windows
-around one anchor, from every document. A document is parsed greedily: at each place it takes the factor that goes on as
-long as the window there is indexed for an earlier place, and a new factor starts where that ends. Factors of a window's
-length or more are duplicate spans. A window that lies across the boundary of two factors is looked up like any other,
-so what is removed does not depend on where the greedy parse put its boundaries.
+The corpus in (doc_id, place) order is cut into blocks by anchor: a block holds the index of all windows around one anchor,
+from every document. Every window is looked up by its hash; those that an earlier place has indexed are duplicates, and
+the runs of words that they cover are the duplicate spans. There is no Lempel-Ziv parse: no longest match, no reference
+position and no factor boundary.
 """
 
 from __future__ import annotations
