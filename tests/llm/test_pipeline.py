@@ -63,7 +63,7 @@ def test_stages_keep_the_columns(spark, sf_dir):
 
 
 def test_registered(spark):
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries())
 
 
