@@ -49,12 +49,29 @@ class Merges:
             a, b = vocab[left], vocab[right]
             self.rank_of[a * self.size + b] = len(self.pairs)
             self.pairs.append((a, b, vocab[left + right]))
+        keys = np.fromiter(self.rank_of, dtype=np.int64, count=len(self.rank_of))
+        order = np.argsort(keys)
+        self.keys = keys[order]
+        self.key_ranks = np.fromiter(self.rank_of.values(), dtype=np.int64, count=len(keys))[order]
 
     def symbols(self, word: str) -> list[int]:
         """Ids of a word's characters, the last one with the mark of a word's end; unknown ones are left out."""
         found = map(self.vocab.get, [*word[:-1], word[-1] + self.suffix])
         return [i for i in found if i is not None]
 
+    def places(self, symbol: np.ndarray, after: np.ndarray) -> dict[int, list[int]]:
+        """By rank, the positions of each pair that has one, in ascending order."""
+        at = np.flatnonzero(after >= 0)
+        if not len(at) or not len(self.keys):
+            return {}
+        pair = symbol[at] * self.size + symbol[at + 1]
+        near = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
+        has = self.keys[near] == pair
+        at, rank = at[has], self.key_ranks[near[has]]
+        order = np.argsort(rank, kind="stable")
+        ranks, first = np.unique(rank[order], return_index=True)
+        return {r: part.tolist() for r, part in zip(ranks.tolist(), np.split(at[order], first[1:]))}
+
     def __call__(self, words: list[str]) -> list[list[int]]:
         """Ids of every word (none is empty)."""
         symbol: list[int] = []
@@ -67,45 +84,46 @@ class Merges:
         for low, high in zip(bounds, bounds[1:]):
             if low < high:
                 before[low] = after[high - 1] = -1
-        places: dict[int, list[int]] = {}
-        size, rank_of = self.size, self.rank_of
-        for at, following in enumerate(after):
-            if following >= 0:
-                rank = rank_of.get(symbol[at] * size + symbol[following])
-                if rank is not None:
-                    places.setdefault(rank, []).append(at)
+        places = self.places(np.array(symbol, dtype=np.int64), np.array(after, dtype=np.int64))
+        size, rank_of = self.size, self.rank_of.get
         active = list(places)
         heapify(active)
         while active:
             rank = heappop(active)
             left, right, joined = self.pairs[rank]
-            lower = False
-            waiting = sorted(places.pop(rank))
+            waiting = places.pop(rank)
+            waiting.sort()
+            lowest = rank
             for done, at in enumerate(waiting):
-                if lower:
+                if lowest < rank:
                     places.setdefault(rank, []).extend(waiting[done:])
                     heappush(active, rank)
                     break
                 gone = after[at]
                 if symbol[at] != left or gone < 0 or symbol[gone] != right:
                     continue  # an earlier merge has taken part of the pair
-                following = after[gone]
-                symbol[at], symbol[gone], after[at] = joined, -1, following
-                near = []
+                after[at] = following = after[gone]
+                symbol[at], symbol[gone] = joined, -1
                 if following >= 0:
                     before[following] = at
-                    near.append((at, joined * size + symbol[following]))
+                    found = rank_of(joined * size + symbol[following])
+                    if found is not None:
+                        if found in places:
+                            places[found].append(at)
+                        else:
+                            places[found] = [at]
+                            heappush(active, found)
+                            lowest = min(lowest, found)
                 previous = before[at]
                 if previous >= 0:
-                    near.append((previous, symbol[previous] * size + joined))
-                for place, pair in near:
-                    found = rank_of.get(pair)
+                    found = rank_of(symbol[previous] * size + joined)
                     if found is not None:
-                        if found not in places:
-                            places[found] = []
+                        if found in places:
+                            places[found].append(previous)
+                        else:
+                            places[found] = [previous]
                             heappush(active, found)
-                            lower = lower or found < rank
-                        places[found].append(place)
+                            lowest = min(lowest, found)
         return [[i for i in symbol[low:high] if i >= 0] for low, high in zip(bounds, bounds[1:])]
 
 
@@ -138,7 +156,7 @@ class Memory:
 
 
 class Bpe:
-    """Ids of texts as the tokenizers library gives them without special tokens added, and texts of ids."""
+    """Ids of texts as the tokenizers library gives them without special tokens added."""
 
     def __init__(self, path: str, limit: int = BYTES_KEPT):
         from tokenizers import Tokenizer
@@ -154,8 +172,6 @@ class Bpe:
         self.merge = Merges(model["vocab"], merges, model.get("end_of_word_suffix") or "")
         self.special = {token["content"]: token["id"] for token in added}
         self.splits = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or "(?!)")
-        names = {i: name for name, i in (model["vocab"] | self.special).items()}
-        self.names = pa.array([names.get(i) for i in range(max(names, default=-1) + 1)], pa.string())
         self.parts, self.words = Memory(limit), Memory(limit)
 
     def cut(self, text: str) -> list[tuple[str, tuple[int, int]]]:
@@ -206,17 +222,27 @@ class Bpe:
         known = self.parts.known
         return [self.whole(text) if parts is None else b"".join(map(known.__getitem__, parts)) for text, parts in zip(texts, cut)]
 
-    def decode(self, ids: pa.Array) -> pa.Array:
-        """The pieces of every list of ids, joined by spaces; ids without a piece are left out, a null list is null."""
-        ids = ids.cast(pa.list_(pa.int64()))
-        values = pc.if_else(pc.and_(pc.greater_equal(ids.flatten(), 0), pc.less(ids.flatten(), len(self.names))), ids.flatten(), None)
-        lengths = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
-        offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int64())
-        lists = pa.LargeListArray.from_arrays(offsets, self.names.take(values))
-        joined = pc.binary_join(pc.fill_null(lists, pa.scalar([], lists.type)) if lists.null_count else lists, " ")
-        if values.null_count or self.names.null_count:
-            joined = pa.array([" ".join(x for x in found if x is not None) for found in lists.to_pylist()], pa.string())
-        return pc.if_else(ids.is_valid(), joined, None)
+
+@lru_cache(maxsize=1)
+def names_of(path: str) -> pa.Array:
+    """The pieces and special strings of a tokenizer file by their ids."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    names = {i: name for name, i in spec["model"]["vocab"].items()} | {token["id"]: token["content"] for token in spec["added_tokens"]}
+    return pa.array([names.get(i) for i in range(max(names, default=-1) + 1)], pa.string())
+
+
+def decode(names: pa.Array, ids: pa.Array) -> pa.Array:
+    """The pieces (by their ids) of every list of ids, joined by spaces; ids without a piece are left out, a null list is null."""
+    ids = ids.cast(pa.list_(pa.int64()))
+    values = pc.if_else(pc.and_(pc.greater_equal(ids.flatten(), 0), pc.less(ids.flatten(), len(names))), ids.flatten(), None)
+    lengths = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+    offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int64())
+    lists = pa.LargeListArray.from_arrays(offsets, names.take(values))
+    joined = pc.binary_join(pc.fill_null(lists, pa.scalar([], lists.type)) if lists.null_count else lists, " ")
+    if values.null_count or names.null_count:
+        joined = pa.array([" ".join(x for x in found if x is not None) for found in lists.to_pylist()], pa.string())
+    return pc.if_else(ids.is_valid(), joined, None)
 
 
 @lru_cache(maxsize=1)
@@ -258,9 +284,9 @@ def decoded(rows: DataFrame, tokenizer_path: str, ids_col: str = "ids", out_col:
     at = kept.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]):
-        out, tokenizer = to_arrow_schema(schema), tokenizer_of(tokenizer_path)
+        out, names = to_arrow_schema(schema), names_of(tokenizer_path)
         for batch in small_batches(batches):
             columns = [batch.column(i).cast(out.field(i).type) for i in range(len(kept))]
-            yield pa.RecordBatch.from_arrays([*columns, tokenizer.decode(batch.column(at)).cast(out.field(len(kept)).type)], schema=out)
+            yield pa.RecordBatch.from_arrays([*columns, decode(names, batch.column(at)).cast(out.field(len(kept)).type)], schema=out)
 
     return rows.select(*(F.col(f"`{name}`") for name in kept)).mapInArrow(run, schema)
