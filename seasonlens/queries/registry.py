@@ -8,7 +8,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seasonlens.session import tune
+from seasonlens.session import share_package, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         @wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            share_package(spark)
             return fn(tune(spark), sf_dir)
 
         QUERIES[name] = run
