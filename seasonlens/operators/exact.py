@@ -57,3 +57,9 @@ class Measures:
         """Mean of the known values; null if there is none."""
         known = of(self.of[at][2])
         return F.when(known > 0, self.total(at, of) / known)
+
+    def mean_sql(self, at: int, of: Callable[[str], str]) -> str:
+        """The same as SQL text, which a plan of many fields builds much faster than columns."""
+        whole, rest, known = (name and of(name) for name in self.of[at])
+        total = f"CAST({whole} AS DOUBLE)" + (f" + CAST({rest} AS DOUBLE) / {UNIT!r}D" if rest else "")
+        return f"CASE WHEN {known} > 0 THEN ({total}) / {known} END"

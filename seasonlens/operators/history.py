@@ -7,10 +7,12 @@ final mean of the last season played.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seasonlens.operators.blocks import BLOCK, LANE, ROWS_PER_BLOCK, all_known, hot_keys, lane, split
+from seasonlens.operators.blocks import BLOCK, LANE, ROWS_PER_BLOCK, hot_keys, lane, split
 from seasonlens.operators.exact import Measures
 from seasonlens.session import stage
 
@@ -75,37 +77,50 @@ def history_features(
 
 def _whole(df: DataFrame, entity: list[str], season: str, order: list[str], fields: list[str], base: int) -> DataFrame:
     group = [*entity, LANE]
-    in_season = Window.partitionBy(*group, season).orderBy(*order)
-    in_career = Window.partitionBy(*group).orderBy(season, *order)
-    to_date = in_season.rowsBetween(Window.unboundedPreceding, 0)
-    before = in_career.rowsBetween(Window.unboundedPreceding, -1)
-    recent = in_career.rowsBetween(-LAST_ROWS, -1)
-    known = all_known(entity)
+    by, within = ", ".join(map(quoted, group)), ", ".join(map(quoted, order))
+    in_season = f"PARTITION BY {by}, {quoted(season)} ORDER BY {within}"
+    in_career = f"PARTITION BY {by} ORDER BY {quoted(season)}, {within}"
+    to_date = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 
     measures = Measures(df, fields)
-    # hash(entity) also clusters (entity, season), and both windows share one sort
+    place = {name: at for at, name in enumerate(measures.names)}
+    # hash(entity) also clusters (entity, season), and all windows share one sort
     rows = df.withColumns({LANE: lane(df, entity), **measures.columns}).repartition(*group)
-    rows = rows.select(
+    # the state of a row: all running totals in one array. Everything else is a difference of two states.
+    totals = ", ".join(f"sum({name}) OVER ({in_career} {to_date})" for name in measures.names)
+    rows = rows.selectExpr(
         "*",
-        F.row_number().over(in_season).alias("__season_row"),
-        *[F.sum(name).over(to_date).alias(f"__to_date{name}") for name in measures.names],
+        f"row_number() OVER ({in_career}) AS __career_row",
+        f"row_number() OVER ({in_season}) AS __season_row",
+        f"array({totals}) AS __totals",
+    ).drop(*measures.names)
+    rows = rows.selectExpr(
+        "*",
+        f"lag(__totals) OVER ({in_career}) AS __before",
+        f"lag(__totals, {LAST_ROWS + 1}) OVER ({in_career}) AS __older",
+        *[f"lag({quoted(field)}) OVER ({in_career}) AS {quoted(f'{field}_last')}" for field in fields],
     )
-    features = [F.row_number().over(in_career).alias("__career_row")]
+    # what came before the season of the row before
+    rows = rows.selectExpr("*", f"first(__before) OVER ({in_season} {to_date}) AS __opening")
+    rows = rows.selectExpr("*", f"lag(__opening) OVER ({in_career}) AS __start")
+
+    def since(earlier: str) -> Callable[[str], str]:
+        return lambda name: f"(__before[{place[name]}] - coalesce({earlier}[{place[name]}], 0L))"
+
+    # rows without an entity have no history
+    known = " AND ".join(f"{quoted(key)} IS NOT NULL" for key in entity)
+    made = {"n_games_career": f"CAST(__career_row + {base - 1} AS LONG)", "n_games_season": f"CAST(__season_row + {base - 1} AS LONG)"}
     for at, field in enumerate(fields):
-        features += [
-            measures.mean(at, lambda name: F.sum(name).over(before)).alias(f"{field}_mean_career"),
-            measures.mean(at, lambda name: F.lag(f"__to_date{name}").over(in_career)).alias(f"{field}_mean_season"),
-            measures.mean(at, lambda name: F.sum(name).over(recent)).alias(f"{field}_mean_last5"),
-            F.lag(field).over(in_career).alias(f"{field}_last"),
-        ]
-    rows = rows.select("*", *features)
-    return rows.withColumns(
-        {
-            "n_games_career": F.when(known, (F.col("__career_row") + (base - 1)).cast("long")),
-            "n_games_season": F.when(known, (F.col("__season_row") + (base - 1)).cast("long")),
-            **{name: F.when(known, F.col(name)) for name in feature_names(fields)},
-        }
-    )
+        made[f"{field}_mean_career"] = measures.mean_sql(at, lambda name: f"__before[{place[name]}]")
+        made[f"{field}_mean_season"] = measures.mean_sql(at, since("__start"))
+        made[f"{field}_mean_last5"] = measures.mean_sql(at, since("__older"))
+        made[f"{field}_last"] = quoted(f"{field}_last")
+    features = [f"CASE WHEN {known} THEN {sql} END AS {quoted(name)}" for name, sql in made.items()]
+    return rows.selectExpr(*[quoted(name) for name in df.columns if name not in made], *features)
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def _blocked(df: DataFrame, entity: list[str], season: str, order: list[str], fields: list[str], base: int) -> DataFrame:

@@ -85,8 +85,11 @@ def j_prev_week_pos(spark, sf_dir):
 
 
 STAT_NAMES = "carries, rushing_yards, receptions, fantasy_points_ppr"
-PLAYER_WEEKS = f"""players AS (
-  SELECT player_id, player_name, season, week, position, recent_team AS team, season_type, opponent_team, {STAT_NAMES}
+
+
+def player_weeks_sql(stats: str, not_of_quarterbacks: str = "carries") -> str:
+    return f"""players AS (
+  SELECT player_id, player_name, season, week, position, recent_team AS team, season_type, opponent_team, {stats}
   FROM weekly),
 rw AS (
   SELECT a.*, b.fantasy_points_ppr AS player_last_fp
@@ -94,11 +97,14 @@ rw AS (
   LEFT JOIN players b ON a.player_name = b.player_name AND a.season = b.season AND a.team = b.team
     AND a.position = b.position AND a.week = b.week + 1),
 qb AS (
-  SELECT a.* EXCLUDE (carries), b.fantasy_points_ppr AS player_last_fp
+  SELECT a.* EXCLUDE ({not_of_quarterbacks}), b.fantasy_points_ppr AS player_last_fp
   FROM (SELECT * FROM players WHERE position = 'QB') a
   LEFT JOIN (SELECT * FROM players WHERE position = 'QB') b
     ON a.player_name = b.player_name AND a.season = b.season AND a.team = b.team AND a.week = b.week + 1)"""
 
+
+PLAYER_WEEKS = player_weeks_sql(STAT_NAMES)
+
 CONTEXT = """team_context AS (
   SELECT game_id, week, season, spread_line, game_date, div_game, posteam AS team,
          arg_min(wind, play_id) FILTER (WHERE wind IS NOT NULL) AS wind,

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seasonlens.functions.feature_lists import QUARTERBACK_STATS, RUSHER_RECEIVER_CARRIED, RUSHER_RECEIVER_STATS
 from seasonlens.operators.history import player_history
 from seasonlens.sources.readers import SeasonTables
 
@@ -75,6 +76,9 @@ USER_WEEKS = """user_weeks AS (
 TEAMS, NAMES = 25, 1200
 STATS = ["rushing_yards", "receptions", "fantasy_points_ppr"]
 CARRIED = ["carries"]
+#: the other statistics that the groups use: remainders of an order's cents, null where they are zero
+MORE_STATS = [name for name in dict.fromkeys([*RUSHER_RECEIVER_STATS, *QUARTERBACK_STATS, *RUSHER_RECEIVER_CARRIED])
+              if name not in (*STATS, *CARRIED)]
 
 
 def _player(custkey: str = "o_custkey") -> list[Column]:
@@ -92,12 +96,13 @@ def _team(number: Column) -> Column:
     return F.concat(F.lit("T"), number.cast("string"))
 
 
-def weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+def weekly(spark: SparkSession, sf_dir: str, more: Sequence[str] = ()) -> DataFrame:
     totals = games(spark, sf_dir).groupBy("player_id", "season", "week").agg(
         F.sum("pts").cast("double").alias("fantasy_points_ppr"),
         F.sum("alt").cast("double").alias("rushing_yards"),
         F.sum(null_if(F.col("pts") % 7, 0)).cast("double").alias("receptions"),
         F.count(F.lit(1)).cast("double").alias("carries"),
+        *[F.sum(null_if((F.col("pts") + 31 * at) % (11 + at), 0)).cast("double").alias(name) for at, name in enumerate(more)],
     )
     key = F.col("player_id")
     return totals.select(
@@ -109,10 +114,13 @@ def weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
         _team(F.pmod(F.col("week") - key % TEAMS, F.lit(TEAMS))).alias("opponent_team"),
         *CARRIED,
         *STATS,
+        *more,
     )
 
 
-WEEKLY = f"""weekly AS (
+def weekly_sql(more: Sequence[str] = ()) -> str:
+    made = "".join(f", CAST(sum(nullif((pts + {31 * at}) % {11 + at}, 0)) AS DOUBLE) AS {name}" for at, name in enumerate(more))
+    return f"""weekly AS (
   SELECT CAST(player_id AS VARCHAR) AS player_id, 'P' || CAST(player_id % {NAMES} AS VARCHAR) AS player_name,
          (['QB','RB','WR','TE','FB','K'])[player_id % 6 + 1] AS position, season, week,
          'T' || CAST(player_id % {TEAMS} AS VARCHAR) AS recent_team, 'REG' AS season_type,
@@ -120,10 +128,13 @@ WEEKLY = f"""weekly AS (
          CAST(count(*) AS DOUBLE) AS carries,
          CAST(sum(alt) AS DOUBLE) AS rushing_yards,
          CAST(sum(nullif(pts % 7, 0)) AS DOUBLE) AS receptions,
-         CAST(sum(pts) AS DOUBLE) AS fantasy_points_ppr
+         CAST(sum(pts) AS DOUBLE) AS fantasy_points_ppr{made}
   FROM games GROUP BY games.player_id, season, week)"""
 
 
+WEEKLY = weekly_sql()
+
+
 def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as plays: teams meet in pairs each month, some dates and spreads are unknown."""
     orders = table(spark, sf_dir, "orders").select(
@@ -259,7 +270,7 @@ def rosters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def season_tables(spark: SparkSession, sf_dir: str) -> SeasonTables:
-    return SeasonTables(rosters(spark, sf_dir), plays(spark, sf_dir), schedules(spark, sf_dir), weekly(spark, sf_dir))
+    return SeasonTables(rosters(spark, sf_dir), plays(spark, sf_dir), schedules(spark, sf_dir), weekly(spark, sf_dir, MORE_STATS))
 
 
 # --- predictions: the mean of the last five games --------------------------------------------
