@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seasonlens.functions.exprs import contains_text, fill_nulls, position_filter, round_numbers, splice, week_label
@@ -34,6 +34,20 @@ def leader_board(df: DataFrame, season: int | str, week: int | str, position: st
     return top_rows(rows.select(*names, measure), measure, int(k), tie_break)
 
 
+def leader_boards(df: DataFrame, k: int | str = 32, order_by: str = "Predicted", by: Sequence[str] = ("season", "week", "position"),
+                  tie_break: Sequence[str] = ("player_name",)) -> DataFrame:
+    """The board of every group at once: its ``k`` best players with their place; nulls are last, ties go by ``tie_break``.
+
+    Each task keeps ``k`` rows of a group before the shuffle, so a group is never gathered whole.
+    """
+    measure = {"Predicted": PREDICTED, "Actual": ACTUAL}.get(order_by)
+    if measure is None:
+        raise ValueError(f"order_by must be 'Predicted' or 'Actual', not {order_by!r}")
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc_nulls_last(measure), *tie_break))
+    names = list(dict.fromkeys([*by, "player_name", *tie_break, measure]))
+    return df.select(*names).withColumn("place", place).where(F.col("place") <= int(k))
+
+
 def compare_players(df: DataFrame, season: int | str, week: int | str, players: Sequence[str]) -> DataFrame:
     """Per player a spliced series over all weeks and an actual series before ``week``."""
     week = int(week)

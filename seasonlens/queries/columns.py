@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from seasonlens.functions.encode import align, fit_indicators
+from seasonlens.functions.encode import align, fit_indicators, level_index
 from seasonlens.functions.exprs import (
     contains_text,
     fill_nulls,
@@ -18,7 +18,7 @@ from seasonlens.functions.exprs import (
 )
 from seasonlens.plans.features import kicks
 from seasonlens.queries.registry import query
-from seasonlens.queries.roles import GAMES, PLAYS, games, plays, with_sql
+from seasonlens.queries.roles import GAMES, PLAYS, games, plays, table, with_sql
 
 
 @query(
@@ -192,3 +192,15 @@ def p_encode(spark, sf_dir):
     rows = games(spark, sf_dir).select("game_id", "pts", F.when(F.col("week") != 12, F.col("priority")).alias("priority"))
     encoded = fit_indicators(rows, ["pts", "priority"]).transform(rows)
     return align(encoded, ["game_id", "pts", *[f"priority_{level}" for level in LEVELS], "priority_unseen"])
+
+
+@query(
+    "p_encode_wide",
+    """WITH levels AS (SELECT level, CAST(row_number() OVER (ORDER BY level) - 1 AS BIGINT) AS place
+                       FROM (SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS level FROM lineitem))
+       SELECT l_orderkey, l_linenumber, place FROM lineitem JOIN levels ON level = CAST(l_partkey AS VARCHAR)""",
+)
+def p_encode_wide(spark, sf_dir):
+    """The place of every part among all parts, which grow with the table."""
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("level"))
+    return rows.join(level_index(rows, "level"), "level").select("l_orderkey", "l_linenumber", F.col("at").alias("place"))

@@ -8,7 +8,7 @@ from seasonlens.queries.registry import query
 from seasonlens.queries.roles import GAMES, SCHEDULES, games, schedules, table, with_sql
 from seasonlens.session import scratch
 from seasonlens.sources.readers import read_csv, read_season_table
-from seasonlens.sources.writers import export_csv, write_csv, write_seasons
+from seasonlens.sources.writers import export_csv, replace_seasons, write_csv, write_seasons
 
 
 @query("s_load_seasons", with_sql(SCHEDULES, "SELECT * FROM schedules WHERE season BETWEEN 1994 AND 1996"))
@@ -27,6 +27,20 @@ def s_write_seasons(spark, sf_dir):
     return spark.read.parquet(folder).groupBy("season").agg(F.count("game_id").alias("n"), F.sum("pts").alias("pts"))
 
 
+@query(
+    "s_replace_season",
+    with_sql(GAMES, """SELECT season, count(*) AS n, CAST(sum(CASE WHEN season = 1996 THEN 2 * pts ELSE pts END) AS BIGINT) AS pts
+                       FROM games GROUP BY season"""),
+)
+def s_replace_season(spark, sf_dir):
+    """One season is written anew with other points; the rest of the table stays."""
+    folder = scratch(spark, "predictions")
+    rows = games(spark, sf_dir).select("game_id", "season", "week", "pts")
+    write_seasons(rows, folder, order=["week"])
+    replace_seasons(rows.where("season = 1996").withColumn("pts", 2 * F.col("pts")), folder, order=["week"])
+    return spark.read.parquet(folder).groupBy("season").agg(F.count("game_id").alias("n"), F.sum("pts").alias("pts"))
+
+
 CUSTOMERS = "SELECT c_custkey, c_name, c_mktsegment, c_acctbal FROM customer"
 
 

@@ -8,6 +8,7 @@ from seasonlens.operators.metrics import bounds
 from seasonlens.plans.views import (
     compare_players,
     leader_board,
+    leader_boards,
     players,
     players_in_order,
     selected_rows,
@@ -45,6 +46,21 @@ def q1_leaderboard_code(spark, sf_dir):
     return leader_board(predictions(spark, sf_dir), 1997, 10, "QB", 8, "Predicted", TIE)
 
 
+@query(
+    "q1_leaderboards",
+    with_sql(
+        GAMES, PREDICTIONS,
+        f"""SELECT season, week, position, player_name, {', '.join(t for t in TIE if t != 'player_name')}, predicted_fantasy,
+                   CAST(row_number() OVER (PARTITION BY season, week, position
+                                           ORDER BY predicted_fantasy DESC NULLS LAST, {', '.join(TIE)}) AS INT) AS place
+            FROM predictions QUALIFY place <= 8""",
+    ),
+)
+def q1_leaderboards(spark, sf_dir):
+    """The boards of all seasons, weeks and positions."""
+    return leader_boards(predictions(spark, sf_dir), 8, "Predicted", tie_break=TIE)
+
+
 COMPARED = ["Customer#000000007", "Customer#000000010", "Customer#000000013", "Customer#000000056"]
 COMPARED_SQL = ", ".join(f"'{name}'" for name in COMPARED)
 

@@ -2,7 +2,7 @@ import pytest
 from helpers import assert_rows
 from pyspark.sql import functions as F
 
-from seasonlens.functions.encode import align, fit_indicators
+from seasonlens.functions.encode import align, fit_indicators, level_index, sparse_indicators
 from seasonlens.functions.exprs import (
     contains_text,
     drop_range,
@@ -120,3 +120,19 @@ def test_indicators(spark):
     with pytest.raises(ValueError, match="levels"):
         fit_indicators(df, ["x"], max_levels=2)
     assert align(df.select("id"), ["x_b", "id"]).first() == (0, 1)
+
+
+def test_indicators_of_any_number_of_levels(spark):
+    rows = spark.range(100_000).selectExpr("id", "concat('v', lpad(id, 6, '0')) AS kind").repartition(5)
+    levels = level_index(rows, "kind")
+    assert levels.where("at <> CAST(substr(level, 2) AS INT)").isEmpty() and levels.count() == 100_000
+    new = spark.createDataFrame([(1, "v000000"), (2, "v000001"), (3, "v099999"), (4, "other"), (5, None)], "id int, kind string")
+    found = {r.id: r.made for r in sparse_indicators(new, "kind", levels, "made").collect()}
+    assert {i: (v.size, v.indices.tolist()) for i, v in found.items()} == {
+        1: (99_999, []), 2: (99_999, [0]), 3: (99_999, [99_998]), 4: (99_999, []), 5: (99_999, [])}
+
+
+def test_indicators_without_levels(spark):
+    rows = spark.createDataFrame([(1, None)], "id int, kind string")
+    found = sparse_indicators(rows, "kind", level_index(rows, "kind"), "made").first().made
+    assert found.size == 0

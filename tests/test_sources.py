@@ -7,7 +7,7 @@ from seasonlens.schemas import SOURCES, require_columns
 from seasonlens.plans.features import team_context
 from seasonlens.session import release, stage, staging_dir
 from seasonlens.sources.readers import load_seasons, read_csv, read_season_table
-from seasonlens.sources.writers import export_csv, write_csv, write_seasons
+from seasonlens.sources.writers import export_csv, replace_seasons, write_csv, write_seasons
 
 
 @pytest.fixture(scope="module")
@@ -131,3 +131,15 @@ def test_staged_tables_live_in_the_shared_folder(spark):
     shared = staging_dir(spark)
     assert shared == spark.conf.get("spark.checkpoint.dir")
     assert all(shared in path for path in staged.inputFiles())
+
+
+def test_replace_single_seasons(spark, tmp_path):
+    path = f"{tmp_path}/seasons"
+    rows = spark.range(300).selectExpr("id", "CAST(2000 + id % 3 AS INT) AS season", "id % 7 AS week", "0 AS v")
+    write_seasons(rows, path, order=["week"])
+    for _ in range(2):  # a rerun gives the same table
+        replace_seasons(rows.where("season = 2001 AND id < 100").unionByName(rows.limit(5).selectExpr("id", "2009 AS season", "week", "v")).selectExpr("id", "season", "week", "1 AS v"), path)
+        found = {(r.season, r.v): r["count"] for r in spark.read.parquet(path).groupBy("season", "v").count().collect()}
+        assert found == {(2000, 0): 100, (2001, 1): 33, (2002, 0): 100, (2009, 1): 5}
+    replace_seasons(rows.where("false"), path)
+    assert spark.read.parquet(path).count() == 238

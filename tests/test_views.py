@@ -6,6 +6,7 @@ from seasonlens.operators.metrics import bounds
 from seasonlens.plans.views import (
     compare_players,
     leader_board,
+    leader_boards,
     players,
     players_in_order,
     seasons,
@@ -74,3 +75,16 @@ def test_choices(table):
     assert [r[0] for r in weeks(table).collect()] == [1, 2, 3, 4]
     assert [r[0] for r in players(table, "K").collect()] == ["C. Kelce"]
     assert players(table).count() == 4
+
+
+def test_all_boards_are_limited_before_the_shuffle(spark):
+    rows = spark.range(200).selectExpr("2000 + id % 2 AS season", "id % 3 AS week", "'QB' AS position", "concat('p', id) AS player_name", "IF(id % 10 = 0, NULL, CAST(id % 50 AS DOUBLE)) AS predicted_fantasy")
+    found = leader_boards(rows, 4)
+    assert "WindowGroupLimit" in found._jdf.queryExecution().executedPlan().toString()
+    groups = {}
+    for r in rows.collect():
+        groups.setdefault((r.season, r.week), []).append((-(r.predicted_fantasy if r.predicted_fantasy is not None else -1), r.player_name))
+    want = {(*key, place, name) for key, players in groups.items() for place, (_, name) in enumerate(sorted(players)[:4], 1)}
+    assert {(r.season, r.week, r.place, r.player_name) for r in found.collect()} == want
+    with pytest.raises(ValueError):
+        leader_boards(rows, 4, "Best")
