@@ -25,7 +25,7 @@ HEADLINE = [
     "a_game_totals", "a_metrics", "o_topk", "u_home_away", "m_split", "m_scale", "m_ols1",
     "f1_features", "f2_features", "f3_features", "f4_defence_rank",
     "q1_leaderboard_all", "q2_compare", "q3_snapshot", "q5_choices",
-    "m_ols", "m_forest", "m_ensemble", "f5_predictions",
+    "m_ols", "m_forest", "f5_predictions", "m_ensemble",
 ]
 ONCE = {"m_forest", "m_ensemble", "f5_predictions"}
 
