@@ -7,6 +7,11 @@ so leaves fewer candidates. k is at least ``least_matches(n)``, which grows with
 out to be shared with another document at all, the most frequent ones, up to one less than the matches that any
 partner must have, need not be joined on: a similar pair still meets on its rarest common shingle.
 
+This runs twice. The first prefixes are chosen by an estimate of the counts, and a document that shares too few of them
+is linked with nothing. Of the others, whole sets are counted: who shares less than ceil(0.75 n) shingles with all of them
+together has no links either, so a passage that many documents have in common makes no candidates of them. The rest choose
+their prefixes anew by exact counts, and those are joined.
+
 Documents with equal sets are one class, compared once. Links are used for connected components only, so pairs that
 are known to be connected need no check: first every class is compared with a few hubs of each shingle it shares,
 then only candidate pairs from different components are, all of them. A group of n near copies of one text thus costs
@@ -37,7 +42,7 @@ BLOCKS = 16
 COUNTED_AT_ONCE = 1 << 22
 #: an estimate of f is kept as 4 log2(f)
 FREQUENCY = np.where(np.arange(256) > 0, 2.0 ** (np.arange(256) / 4), 0.0)
-#: common prefix shingles to ask for at most; a cost choice that loses no pair
+#: common shingles to ask for in the first prefixes at most, beyond the least; a cost choice that loses no pair
 MOST_MATCHES = 255
 #: cost of comparing a candidate against reading one posting
 COMPARE_COST = 4.0
@@ -58,7 +63,7 @@ def _counter(hashes: np.ndarray) -> np.ndarray:
 
 
 def _profiles(batches):
-    """Per row: id, n, key; now and then, the counters met more than once, by block. Copies in a task count once."""
+    """Per row: id, code, n, key; now and then, the counters met more than once, by block. Copies in a task count once."""
     seen: set[int] = set()
     met: list[np.ndarray] = []
     held, id_type = 0, None
@@ -70,14 +75,14 @@ def _profiles(batches):
         ends = np.searchsorted(counters, np.arange(1, BLOCKS) << (COUNTER_BITS - 4))
         parts = list(zip(np.split(counters, ends), np.split(counts, ends)))
         return pa.RecordBatch.from_arrays(
-            [pa.nulls(BLOCKS, id_type), pa.nulls(BLOCKS, pa.int64()), pa.nulls(BLOCKS, pa.int64()), pa.array(range(BLOCKS), pa.int32()),
+            [pa.nulls(BLOCKS, id_type), *[pa.nulls(BLOCKS, pa.int64())] * 3, pa.array(range(BLOCKS), pa.int32()),
              pa.array([c.tobytes() for c, _ in parts], pa.binary()), pa.array([n.tobytes() for _, n in parts], pa.binary())],
-            names=["id", "n", "key", "block", "counters", "counts"],
+            names=["id", "code", "n", "key", "block", "counters", "counts"],
         )
 
     for batch in pieces(batches):
         sizes, keys, id_type = [], [], batch.column(0).type
-        for text in batch.column(1).to_pylist():
+        for text in batch.column(2).to_pylist():
             hashes = shingle_set(text or "")
             key = set_key(hashes)
             sizes.append(len(hashes))
@@ -88,8 +93,8 @@ def _profiles(batches):
                 held += len(hashes)
         none = pa.nulls(len(sizes), pa.binary())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.nulls(len(sizes), pa.int32()), none, none],
-            names=["id", "n", "key", "block", "counters", "counts"],
+            [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.nulls(len(sizes), pa.int32()), none, none],
+            names=["id", "code", "n", "key", "block", "counters", "counts"],
         )
         if held >= COUNTED_AT_ONCE:
             yield counted()
@@ -170,7 +175,7 @@ def matches_to_ask(frequencies: np.ndarray, n: int, percent: int = PERCENT) -> i
 def _postings(frequency, percent: int):
     """Prefix shingles of each distinct set of the task: token, key and packed size.
 
-    The packed size holds n, the matches to ask for (8 bits) and whether the token is known to be frequent (1 bit).
+    The packed size holds n (32 bits), the matches to ask for (31 bits) and whether the token is known to be frequent (1 bit).
     """
 
     def run(batches):
@@ -191,7 +196,7 @@ def _postings(frequency, percent: int):
                 order = order[:n - least_overlap(n, percent) + asked]
                 tokens.append(hashes[order])
                 keys.append(np.full(len(order), key, dtype=np.int64))
-                sizes.append((n * 256 + asked) * 2 + (often[order] > 0).astype(np.int64))
+                sizes.append((n << 32) + asked * 2 + (often[order] > 0).astype(np.int64))
                 held += len(order)
                 if held >= POSTINGS_AT_ONCE:
                     yield _posting_batch(tokens, keys, sizes)
@@ -209,6 +214,28 @@ def _posting_batch(tokens, keys, sizes) -> pa.RecordBatch:
     )
 
 
+def _members(frequency):
+    """Every shingle of the sets: token, key and packed size (n, no matches, whether the token is known to be frequent)."""
+
+    def run(batches):
+        estimate = frequency.value
+        for batch in pieces(batches):
+            tokens, keys, sizes, held = [], [], [], 0
+            for key, hashes in zip(batch.column(0).to_pylist(), batch.column(1)):
+                hashes = np.frombuffer(hashes.as_buffer(), dtype=np.uint64)
+                tokens.append(hashes)
+                keys.append(np.full(len(hashes), key, dtype=np.int64))
+                sizes.append((len(hashes) << 32) + (estimate[_counter(hashes)] > 0).astype(np.int64))
+                held += len(hashes)
+                if held >= POSTINGS_AT_ONCE:
+                    yield _posting_batch(tokens, keys, sizes)
+                    tokens, keys, sizes, held = [], [], [], 0
+            if held:
+                yield _posting_batch(tokens, keys, sizes)
+
+    return run
+
+
 def _similar(percent: int):
     """The pairs whose exact similarity is high enough."""
 
@@ -227,22 +254,28 @@ def _similar(percent: int):
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+    sets = sets.join(keys, "key", "left_semi")
     one = sets.select(F.col("key").alias("a"), F.col("hashes").alias("one"))
     other = sets.select(F.col("key").alias("b"), F.col("hashes").alias("other"))
     return pairs.join(one, "a").join(other, "b").select("a", "b", "one", "other").mapInArrow(_similar(percent), "a long, b long")
 
 
 def _n(size: str):
-    return F.expr(f"shiftright({size}, 9)")
+    return F.expr(f"shiftright({size}, 32)")
 
 
 def _k(size: str):
-    return F.expr(f"shiftright({size}, 1) % 256")
+    return F.expr(f"shiftright({size}, 1) % 2147483648")
+
+
+def _least_overlap(n, percent: int):
+    return F.ceil(n * percent / F.lit(100))
 
 
 def _unjoined(n, percent: int):
     """How many of a set's most frequent shared shingles are not joined on: any partner has more matches than that."""
-    smallest = F.ceil(n * percent / F.lit(100))
+    smallest = _least_overlap(n, percent)
     # the square root is exact: whole numbers below 2^52
     return F.greatest(F.floor(F.sqrt(smallest)), F.lit(1)) - 1
 
@@ -264,7 +297,7 @@ def _enough(pairs: DataFrame, percent: int) -> DataFrame:
     counted = pairs.groupBy("a", "b", "size_a", "size_b").agg(F.count(F.lit(1)).alias("matches"))
     n_a, n_b, k_a, k_b = _n("size_a"), _n("size_b"), _k("size_a"), _k("size_b")
     overlap = F.ceil(percent * (n_a + n_b) / F.lit(100 + percent))
-    rest = F.greatest(F.ceil(n_a * percent / F.lit(100)) - k_a, F.ceil(n_b * percent / F.lit(100)) - k_b)
+    rest = F.greatest(_least_overlap(n_a, percent) - k_a, _least_overlap(n_b, percent) - k_b)
     unjoined = F.greatest(_unjoined(n_a, percent), _unjoined(n_b, percent))
     needed = F.greatest(F.least(k_a, k_b), overlap - rest) - unjoined
     return counted.filter(F.col("matches") >= needed).select("a", "b")
@@ -286,12 +319,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     their component is the smallest id that is not null, if there is one. Repeated rows have equal sets and so one
     component. Other columns are ignored. The join runs when this is called; sets are told apart by 64-bit keys.
     """
-    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    text = F.col(f"`{text_col}`").cast("string")
+    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("code"), text.alias("text"))
     kind = dict(texts.dtypes)["id"]
     profiled = stage(
-        texts.mapInArrow(_profiles, f"id {kind}, n long, key long, block int, counters binary, counts binary"), "jaccard-profiles"
+        texts.mapInArrow(_profiles, f"id {kind}, code long, n long, key long, block int, counters binary, counts binary"),
+        "jaccard-profiles",
     )
-    rows = profiled.filter("block is null").select("id", "n", "key")
+    rows = profiled.filter("block is null").select("id", "code", "n", "key")
     labels = _labels(texts, rows, profiled.filter("block is not null").select("block", "counters", "counts"), percent)
     classes = rows.filter("key is not null").groupBy("key").agg(F.min("id").alias("least"))
     named = classes.join(labels, classes["key"] == labels["node"], "left").select(
@@ -309,19 +344,12 @@ def _labels(texts: DataFrame, rows: DataFrame, counted: DataFrame, percent: int)
     spark = texts.sparkSession
     frequency = spark.sparkContext.broadcast(frequency_estimate(counted))
     postings = texts.select("text").mapInArrow(_postings(frequency, percent), "token long, key long, size long")
-    # a frequent token may be hot and is known to be shared; of the others, one sort finds the shared ones
-    rare = postings.filter("size % 2 = 0")
-    token = W.partitionBy("token")
-    rare = rare.select("*", F.min("key").over(token).alias("low"), F.max("key").over(token).alias("high"), F.count("key").over(token).alias("n"))
-    rare = rare.filter("low <> high").drop("low", "high")
-    size = F.expr("size - size % 2").alias("size")
-    often = postings.filter("size % 2 = 1").withColumn("n", F.lit(1 << 62))
-    shared = rare.unionByName(often).select("token", "key", size, "n").distinct()
-    ranked = shared.withColumn("place", F.row_number().over(W.partitionBy("key").orderBy(F.desc("n"), "token"))).withColumn(
-        "shared", F.count("token").over(W.partitionBy("key"))
-    )
-    shared = ranked.filter(F.col("place") > _unjoined(_n("size"), percent)).select("token", "key", "size", "shared")
-    shared = stage(shared, "jaccard-postings")
+    shared = _shared(postings).groupBy("key", "size").agg(F.count(F.lit(1)).alias("shared"))
+    kept = stage(shared.filter(F.col("shared") > _unjoined(_n("size"), percent)).select("key"), "jaccard-kept")
+    sets = _sets(texts, rows, kept)
+    members = sets.mapInArrow(_members(frequency), "token long, key long, size long")
+    shared = stage(_prefixes(_shared(members, exact=True), percent), "jaccard-postings")
+    frequency.unpersist()
     active = stage(shared.select("key").distinct(), "jaccard-keys")
     label = active.select(F.col("key").alias("node"), F.col("key").alias("label"))
     links, round_ = None, 0
@@ -330,7 +358,7 @@ def _labels(texts: DataFrame, rows: DataFrame, counted: DataFrame, percent: int)
         open_ = stage(_open_lists(shared, label), "jaccard-open")
         pairs = _all_pairs(open_, percent) if last else _hub_pairs(open_, round_, percent)
         pairs = stage(_enough(pairs, percent), "jaccard-pairs")
-        new = stage(_compared(pairs, _sets(texts, rows, pairs), percent), "jaccard-links")
+        new = stage(_compared(pairs, sets, percent), "jaccard-links")
         found = not new.isEmpty()
         if found:
             links = new if links is None else stage(links.unionByName(new), "jaccard-links")
@@ -346,11 +374,54 @@ def _labels(texts: DataFrame, rows: DataFrame, counted: DataFrame, percent: int)
         round_ = round_ + 1 if found else len(HUBS)
 
 
-def _sets(texts: DataFrame, rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """key and hashes of every class in the pairs, from the text of one row of each."""
-    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    chosen = broadcast_if_small(stage(rows.join(keys, "key").groupBy("key").agg(F.min("id").alias("chosen")), "jaccard-chosen"))
-    brought = texts.join(chosen, texts["id"].eqNullSafe(chosen["chosen"])).select("key", "text")
+def _shared(postings: DataFrame, exact: bool = False) -> DataFrame:
+    """token, key, size and n, the number of sets, of the tokens that more than one set has.
+
+    A frequent token may be hot and is known to be shared; its sets are only counted if ``exact``, on the map side first.
+    Of the others, one sort finds the shared ones.
+    """
+    rare = postings.filter("size % 2 = 0")
+    token = W.partitionBy("token")
+    rare = rare.select("*", F.min("key").over(token).alias("low"), F.max("key").over(token).alias("high"), F.count("key").over(token).alias("n"))
+    rare = rare.filter("low <> high").drop("low", "high")
+    often = postings.filter("size % 2 = 1")
+    if exact:
+        often = often.join(often.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "token")
+    else:
+        often = often.withColumn("n", F.lit(1 << 62))
+    both = rare.unionByName(often).select("token", "key", F.expr("size - size % 2").alias("size"), "n")
+    return both if exact else both.distinct()
+
+
+def _prefixes(shared: DataFrame, percent: int) -> DataFrame:
+    """Of sets that share enough of their shingles, those to join on: token, key, size and how many the set shares.
+
+    ``shared`` holds the shared tokens of whole sets with exact counts. What a set does not share comes first in its order,
+    so the place of a shared token decides for how many matches a prefix that ends there may ask. The costs are those of
+    ``matches_to_ask``.
+    """
+    n, overlap = _n("size"), _least_overlap(_n("size"), percent)
+    of_set = W.partitionBy("key")
+    in_order = of_set.orderBy("n", "token").rowsBetween(W.unboundedPreceding, 0)
+    placed = shared.select(
+        "token", "key", "size", F.row_number().over(of_set.orderBy("n", "token")).alias("place"),
+        F.count(F.lit(1)).over(of_set).alias("shared"), F.sum("n").over(in_order).alias("read"),
+    ).filter(F.col("shared") >= overlap)
+    asked = F.col("place") - F.col("shared") + overlap
+    cost = F.when(asked >= F.greatest(F.floor(F.sqrt(n)), F.lit(1)), F.col("read") * (1 + COMPARE_COST / asked))
+    chosen = placed.withColumn("asked", asked).withColumn("cost", cost).withColumn("chosen", F.min_by("asked", "cost").over(of_set))
+    joined = chosen.filter(F.col("asked") <= F.col("chosen") - _unjoined(n, percent))
+    return joined.select("token", "key", (F.col("size") + 2 * F.col("chosen")).alias("size"), "shared")
+
+
+def _sets(texts: DataFrame, rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """key and hashes of the classes, each from the text of one row; rows without an id are told apart by their texts."""
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "code")).alias("row")
+    chosen = rows.join(keys, "key", "left_semi").groupBy("key").agg(first)
+    chosen = broadcast_if_small(
+        stage(chosen.select("key", F.col("row.id").alias("chosen"), F.col("row.code").alias("of_text")), "jaccard-chosen")
+    )
+    brought = texts.join(chosen, texts["id"].eqNullSafe(chosen["chosen"]) & (texts["code"] == chosen["of_text"])).select("key", "text")
     sets = brought.mapInArrow(_checked_sets, "key long, hashes binary")
     return stage(sets.groupBy("key").agg(F.first("hashes").alias("hashes")), "jaccard-sets")
 
@@ -361,12 +432,16 @@ def broadcast_if_small(df: DataFrame) -> DataFrame:
 
 
 def _checked_sets(batches):
-    """key and set of rows (key, text); rows whose id is repeated with another text are left out."""
+    """key and set of rows (key, text), once for the copies in a task; a row whose text is another one is left out."""
+    seen: set[int] = set()
     for batch in pieces(batches):
         keys, sets = [], []
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if key in seen:
+                continue
             hashes = shingle_set(text or "")
             if set_key(hashes) == key:
+                seen.add(key)
                 keys.append(key)
                 sets.append(hashes.tobytes())
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, pa.binary())], names=["key", "hashes"])
