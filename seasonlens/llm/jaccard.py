@@ -10,7 +10,9 @@ partner must have, need not be joined on: a similar pair still meets on its rare
 This runs twice. The first prefixes are chosen by an estimate of the counts, and a document that shares too few of them
 is linked with nothing. Of the others, whole sets are counted: who shares less than ceil(0.75 n) shingles with all of them
 together has no links either, so a passage that many documents have in common makes no candidates of them. The rest choose
-their prefixes anew by exact counts, and those are joined.
+their prefixes anew by exact counts, and those are joined. How far a prefix counts depends on the pair: two sets of n need an overlap
+of 6/7 n, so a shingle beyond the first n / 7 and the matches asked for is no sign of them. The shingles that a large group of near
+copies shares come after those that tell a copy from the others, and so only copies close to one another meet on them.
 
 Documents with equal sets are one class, compared once. Links are used for connected components only, so pairs that
 are known to be connected need no check: first every class is compared with a few hubs of each shingle it shares,
@@ -280,12 +282,27 @@ def _unjoined(n, percent: int):
     return F.greatest(F.floor(F.sqrt(smallest)), F.lit(1)) - 1
 
 
+def _overlap(percent: int):
+    """Shingles that the sets of a similar pair of packed sizes have in common at least."""
+    return F.ceil(percent * (_n("size_a") + _n("size_b")) / F.lit(100 + percent))
+
+
+def _meets(percent: int):
+    """Whether sets of the two packed sizes can be similar at all, and the shingle stands in the prefix of both for this pair."""
+    n_a, n_b = _n("size_a"), _n("size_b")
+    beyond = F.least(_k("size_a"), _k("size_b")) - _overlap(percent)
+    return (
+        (100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b))
+        & (F.col("place_a") <= n_a + beyond) & (F.col("place_b") <= n_b + beyond)
+    )
+
+
 def _enough(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) with enough matches, from one row (a, b, size_a, size_b) for each common joined shingle.
+    """Pairs (a, b) with enough matches, from one row (a, b, size_a, size_b) for each common joined shingle that ``_meets``.
 
-    Two prefixes show every common shingle up to the earlier of their ends, and what follows in the set that ends
-    earlier is its least overlap less the matches it asks for. So a pair that is similar has at least as many
-    matches as its own overlap exceeds that, and at least the smaller of both demands; less those not joined on.
+    A similar pair has at least k of its overlap in the first n - overlap + k of both sets. With k the smaller of both
+    demands these prefixes end no later than those that the sets chose, so what is missing are at most those of the last
+    unjoined shingles that still stand in them.
     """
     # a pair may come in either order, from one token this way and from another that way
     swap = F.col("a") > F.col("b")
@@ -295,18 +312,12 @@ def _enough(pairs: DataFrame, percent: int) -> DataFrame:
         F.when(swap, F.col("size_a")).otherwise(F.col("size_b")).alias("size_b"),
     )
     counted = pairs.groupBy("a", "b", "size_a", "size_b").agg(F.count(F.lit(1)).alias("matches"))
-    n_a, n_b, k_a, k_b = _n("size_a"), _n("size_b"), _k("size_a"), _k("size_b")
-    overlap = F.ceil(percent * (n_a + n_b) / F.lit(100 + percent))
-    rest = F.greatest(_least_overlap(n_a, percent) - k_a, _least_overlap(n_b, percent) - k_b)
-    unjoined = F.greatest(_unjoined(n_a, percent), _unjoined(n_b, percent))
-    needed = F.greatest(F.least(k_a, k_b), overlap - rest) - unjoined
-    return counted.filter(F.col("matches") >= needed).select("a", "b")
-
-
-def _fits(percent: int):
-    """Whether sets of the two packed sizes can be similar at all."""
-    n_a, n_b = _n("size_a"), _n("size_b")
-    return 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
+    asked = F.least(_k("size_a"), _k("size_b"))
+    missing = [
+        _unjoined(_n(size), percent) - (_overlap(percent) - _least_overlap(_n(size), percent)) - (_k(size) - asked)
+        for size in ("size_a", "size_b")
+    ]
+    return counted.filter(F.col("matches") >= asked - F.greatest(*missing, F.lit(0))).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -411,7 +422,10 @@ def _prefixes(shared: DataFrame, percent: int) -> DataFrame:
     cost = F.when(asked >= F.greatest(F.floor(F.sqrt(n)), F.lit(1)), F.col("read") * (1 + COMPARE_COST / asked))
     chosen = placed.withColumn("asked", asked).withColumn("cost", cost).withColumn("chosen", F.min_by("asked", "cost").over(of_set))
     joined = chosen.filter(F.col("asked") <= F.col("chosen") - _unjoined(n, percent))
-    return joined.select("token", "key", (F.col("size") + 2 * F.col("chosen")).alias("size"), "shared")
+    return joined.select(
+        "token", "key", (F.col("size") + 2 * F.col("chosen")).alias("size"), "shared",
+        (F.col("asked") + n - overlap).cast("int").alias("place"),
+    )
 
 
 def _sets(texts: DataFrame, rows: DataFrame, keys: DataFrame) -> DataFrame:
@@ -449,7 +463,7 @@ def _checked_sets(batches):
 
 def _open_lists(shared: DataFrame, label: DataFrame) -> DataFrame:
     """Postings of tokens that classes of different components share, with their components."""
-    named = shared.join(label, shared["key"] == label["node"]).select("token", "key", "size", "shared", "label")
+    named = shared.join(label, shared["key"] == label["node"]).select("token", "key", "size", "shared", "place", "label")
     spread = named.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
     return named.join(spread.select("token"), "token")
 
@@ -460,16 +474,17 @@ def _hub_pairs(open_: DataFrame, round_: int, percent: int) -> DataFrame:
     The first hub is the class that has most shingles in common with others, as the original of many copies has; the
     later ones are those whose keys have the least hashes, by other hashes in each round.
     """
-    what = F.struct("key", "size", "label")
+    what = F.struct("key", "size", "place", "label")
     if round_ == 0:
         chosen = [F.max_by(what, F.struct("shared", "key"))]
     else:
         chosen = [F.min_by(what, F.xxhash64(F.col("key"), F.lit(100 * round_ + i))) for i in range(HUBS[round_])]
     hubs = open_.groupBy("token").agg(F.array_distinct(F.array(*chosen)).alias("hubs"))
-    pairs = open_.join(hubs, "token").select("key", "size", "label", F.explode("hubs").alias("hub")).filter("label <> hub.label")
+    pairs = open_.join(hubs, "token").select("key", "size", "place", "label", F.explode("hubs").alias("hub")).filter("label <> hub.label")
     return pairs.select(
-        F.col("key").alias("a"), F.col("hub.key").alias("b"), F.col("size").alias("size_a"), F.col("hub.size").alias("size_b")
-    ).filter(_fits(percent))
+        F.col("key").alias("a"), F.col("hub.key").alias("b"), F.col("size").alias("size_a"), F.col("hub.size").alias("size_b"),
+        F.col("place").alias("place_a"), F.col("hub.place").alias("place_b"),
+    ).filter(_meets(percent)).select("a", "b", "size_a", "size_b")
 
 
 def _all_pairs(open_: DataFrame, percent: int) -> DataFrame:
@@ -482,8 +497,8 @@ def _all_pairs(open_: DataFrame, percent: int) -> DataFrame:
     largest = counted.groupBy("token").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
     tagged = open_.join(largest, "token")
     one = tagged.filter("label <> main").select(
-        "token", F.col("key").alias("a"), F.col("size").alias("size_a"), F.col("label").alias("label_a")
+        "token", F.col("key").alias("a"), F.col("size").alias("size_a"), F.col("place").alias("place_a"), F.col("label").alias("label_a")
     )
-    other = tagged.select("token", F.col("key").alias("b"), F.col("size").alias("size_b"), "label", "main")
-    met = one.join(other, "token").filter("label_a <> label and (label = main or a < b)").filter(_fits(percent))
+    other = tagged.select("token", F.col("key").alias("b"), F.col("size").alias("size_b"), F.col("place").alias("place_b"), "label", "main")
+    met = one.join(other, "token").filter("label_a <> label and (label = main or a < b)").filter(_meets(percent))
     return met.select("a", "b", "size_a", "size_b")
