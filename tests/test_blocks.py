@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from seasonlens.operators import blocks
 from seasonlens.operators.exact import Measures
+from seasonlens.operators.running import running_total
+from helpers import assert_equal_tables
 
 
 @pytest.mark.parametrize("rows_per_block", [1, 4, 60])
@@ -24,6 +26,19 @@ def test_blocks_are_stretches_of_a_group(spark, rows_per_block):
         assert rows_per_block == 60 or len(set(numbers)) > 10
 
 
+def test_partitions_stay_few_when_there_are_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "MAX_PARTITIONS", 4)
+    df = spark.range(1000).selectExpr("if(id % 3 = 0, 'a', 'b') AS name", "id * 7919 % 1000 AS day", "CAST(id % 5 AS DOUBLE) AS x")
+    cold, cut = blocks.split(df, ["name"], ["day"], blocks.hot_keys(df, ["name"], 100), 10)
+    assert cold.isEmpty() and len(cut.inputFiles()) <= 4
+    rows = cut.orderBy("name", "day").collect()
+    numbers = [r[blocks.BLOCK] for r in rows]
+    assert numbers == sorted(numbers) and len(set(numbers)) >= 100
+    assert max(numbers.count(n) for n in set(numbers)) <= 10
+    total = running_total(df, ["name"], ["day"], "x", "up_to", rows_per_block=10)
+    assert_equal_tables(total, running_total(df, ["name"], ["day"], "x", "up_to"), ["name", "day"])
+
+
 def test_groups_at_the_limit_are_not_hot(spark):
     df = spark.createDataFrame([("a",)] * 5 + [("b",)] * 6 + [(None,)] * 50, "name string")
     assert [(r["name"], r["__rows"]) for r in blocks.hot_keys(df, ["name"], 5).collect()] == [("b", 6)]
