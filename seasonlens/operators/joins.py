@@ -6,6 +6,7 @@ splits skewed sort-merge partitions. Sides are aggregated or deduplicated before
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -23,6 +24,23 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str =
     return left.join(renamed, match, how).drop(*[f"__right_{key}" for key in on])
 
 
+#: rows that a task of ``spread_join`` makes, about, and its tasks at most: choices of plan, not of result
+PAIRS_PER_TASK = 20_000_000
+MAX_TASKS = 10_000
+
+
+def spread_join(left: DataFrame, right: DataFrame, on: list[str], pairs_per_task: int = PAIRS_PER_TASK) -> DataFrame:
+    """``null_safe_join`` (inner) of short tables whose keys repeat so often that the result is long.
+
+    Spark sizes tasks by what they read. The pairs are counted when this is called, on the key columns, and the rows
+    of ``left`` are dealt to enough tasks. That holds where Spark broadcasts ``right``; it splits skewed sides itself.
+    """
+    sizes = [df.groupBy(*on).agg(F.count(F.lit(1)).alias(name)) for df, name in ((left, "__left"), (right, "__right"))]
+    pairs = null_safe_join(*sizes, on).agg(F.sum(F.col("__left").cast("double") * F.col("__right"))).first()[0] or 0
+    tasks = min(MAX_TASKS, math.ceil(pairs / pairs_per_task))
+    return null_safe_join(left.repartition(tasks) if tasks > 1 else left, right, on)
+
+
 def has_hot_key(df: DataFrame, keys: list[str], rows: int = ROWS_PER_BLOCK) -> bool:
     """Whether any key, nulls included, has more than ``rows`` rows."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))

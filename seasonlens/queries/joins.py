@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from seasonlens.functions.feature_lists import KICK_TOTALS
-from seasonlens.operators.joins import null_safe_join, previous_period, replace_names, suffix_join
+from seasonlens.operators.joins import null_safe_join, previous_period, replace_names, spread_join, suffix_join
 from seasonlens.operators.sets import (
     add_to_selection,
     distinct_rows,
@@ -143,7 +143,7 @@ def j_context_name(spark, sf_dir):
 def j_nullsafe(spark, sf_dir):
     left = table(spark, sf_dir, "customer").select("c_custkey", null_if(F.col("c_custkey") % 97, 5).alias("grp"))
     right = table(spark, sf_dir, "supplier").select("s_suppkey", null_if(F.col("s_suppkey") % 97, 5).alias("grp"))
-    return null_safe_join(left, right, ["grp"])
+    return spread_join(left, right, ["grp"])
 
 
 @query(

@@ -2,7 +2,7 @@ from helpers import assert_rows
 from pyspark.sql import functions as F
 
 from seasonlens.operators.context import group_totals
-from seasonlens.operators.joins import has_hot_key, left_join, null_safe_join, previous_period, replace_names, suffix_join
+from seasonlens.operators.joins import has_hot_key, left_join, null_safe_join, previous_period, replace_names, spread_join, suffix_join
 from seasonlens.operators.sets import (
     add_to_selection,
     choices,
@@ -106,3 +106,13 @@ def test_sets(spark):
     assert [r.v for r in first_seen(seen, "v", F.col("n")).collect()] == ["b", "a"]
     assert once(seen, ["v"], F.col("n")).where("v = 'a'").first().n == 2
     assert once(seen, ["v"]).count() == 2
+
+
+def test_spread_join_deals_a_long_result_to_many_tasks(spark):
+    left = spark.range(60).selectExpr("id AS a", "IF(id % 3 = 0, NULL, id % 3) AS g").coalesce(1)
+    right = spark.range(30).selectExpr("id AS b", "IF(id % 3 = 0, NULL, id % 3) AS g").coalesce(1)
+    got = spread_join(left, right, ["g"], pairs_per_task=100)
+    want = [(a, b) for a in range(60) for b in range(30) if a % 3 == b % 3]
+    assert sorted((r.a, r.b) for r in got.collect()) == sorted(want)
+    assert got.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    assert spread_join(left.where("a < 0"), right, ["g"]).isEmpty()
