@@ -33,11 +33,13 @@ def points_allowed(schedules: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) -
 def points_given_up(allowed: DataFrame, players: DataFrame) -> DataFrame:
     """Each defence week with every opposing player's points; weeks without one keep a null.
 
-    ``players`` is the result of a join, so the five columns needed are staged before their keys
-    are counted.
+    ``players`` is the result of a join that repeats rows, so the five columns needed are counted, staged and only
+    repeated again after the last shuffle.
     """
-    given = stage(players.select("week", "season", "opponent_team", "position", TARGET), "given-up")
+    given = players.groupBy("week", "season", "opponent_team", "position", TARGET).agg(F.count(F.lit(1)).alias("__copies"))
+    given = stage(given, "given-up")
     rows = left_join(allowed, given, ["week", "season", "opponent_team"])
-    return rows.withColumnsRenamed({"week": "week_of_interest", TARGET: "prior_allowed_fp"}).withColumnRenamed(
+    rows = rows.withColumn("__copies", F.explode(F.sequence(F.lit(1), F.coalesce("__copies", F.lit(1)))))
+    return rows.drop("__copies").withColumnsRenamed({"week": "week_of_interest", TARGET: "prior_allowed_fp"}).withColumnRenamed(
         "adj_week", "week"
     )
