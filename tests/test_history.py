@@ -190,3 +190,10 @@ def test_one_shuffle_and_one_sort(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.count("Sort [") == 1
+
+
+def test_only_the_given_columns_are_shuffled_and_sorted(spark):
+    df = spark.createDataFrame([("a", 1, 1, 0.5)], "name string, season int, day int, x double")
+    plan = player_history(df, ["name"], "season", ["day"], ["x"])._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Sort ["):]
+    assert "RepartitionByExpression" in below and "__w_0" in plan and "__w_0" not in below
