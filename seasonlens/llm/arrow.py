@@ -14,10 +14,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 ROWS_AT_ONCE = 256
 
 
-def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-            yield batch.slice(at, ROWS_AT_ONCE)
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def with_columns(

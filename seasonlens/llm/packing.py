@@ -7,18 +7,19 @@ over the free room of the sequences finds the first that a piece fits into in lo
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seasonlens.llm.arrow import pieces as small_batches
+from seasonlens.llm.plain_words import ROWS_AT_ONCE, joined, marks_cut_off, numbered, of_letters, plain, without_mark
 
 LENGTH = 4096
 END = 2
@@ -27,50 +28,83 @@ GROUP_DOCS = 8192
 GROUP_PIECES = 65_536
 #: words of a generation whose ids a Python worker remembers; it holds two
 WORDS_KEPT = 400_000
-
-# texts whose words may not be encoded apart from each other: characters that normalisation could join, or whose
-# number it could change, and the strings of special tokens
-_WHOLE = re.compile("[\x00-\x08\x0e-\x1f\x7f-\xa0\u0130\u0300-\U0010ffff]|<\\|")
+#: what the strings of special tokens begin with
+SPECIAL = "<|"
 
 
 class WordEncoder:
-    """Ids of whole texts as little-endian 32-bit bytes, the same as the tokenizer gives for the text at once.
+    """Ids of whole texts as little-endian 32-bit numbers, the same as the tokenizer gives for the text at once.
 
-    The tokenizer lowers the case and never looks past white space, so words are remembered in lower case; those of a
-    text that are new are encoded together and told apart by their offsets. Texts with characters that normalisation
-    may change across words, or with the strings of special tokens, are encoded as a whole.
+    The tokenizer lowers the case and never looks past white space, so words are remembered in lower case. The distinct
+    words of plain texts are looked up once for a batch; a mark that the tokenizer cuts off is remembered apart from the word
+    before it. New words that are letters go to the tokenizer's model one by one, others are encoded together and told apart
+    by their offsets. Texts with characters that normalisation may change across words, or with the strings of special
+    tokens, are encoded as a whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.marks = marks_cut_off(self.cut)
+        #: whether the model gives for words of letters what the tokenizer does
+        self.direct = all(self.tokenizer.encode(word, add_special_tokens=False).ids == self.of_model(word) for word in ("a", "the", "qzxjkvw"))
         #: words seen since the last change of generations, and those of the generation before
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def learn(self, words: list[str]) -> None:
-        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+    def cut(self, text: str) -> list[str]:
+        cutter = self.tokenizer.pre_tokenizer
+        return [word for word, _ in cutter.pre_tokenize_str(text)] if cutter else [text]
+
+    def of_model(self, word: str) -> list[int]:
+        return [token.id for token in self.tokenizer.model.tokenize(word)]
+
+    def learn(self, words: Iterable[str]) -> None:
+        """Remember all the words, those of the older generation as they are."""
+        rest, older = [], self.older.get
+        for word in set(words).difference(self.known):
+            ids = older(word)
+            if ids is not None:
+                self.known[word] = ids
+            elif self.direct and of_letters(word):
+                self.known[word] = np.array(self.of_model(word), dtype="<u4").tobytes()
+            else:
+                rest.append(word)
+        if not rest:
+            return
+        found = self.tokenizer.encode(" ".join(rest), add_special_tokens=False)
         data = np.array(found.ids, dtype="<u4").tobytes()
-        starts = np.cumsum([0] + [len(word) + 1 for word in words[:-1]])
+        starts = np.cumsum([0] + [len(word) + 1 for word in rest[:-1]])
         first = np.searchsorted(np.array([at for at, _ in found.offsets]), starts) * 4
         ends = [*first[1:].tolist(), len(data)]
-        self.known.update(zip(words, map(data.__getitem__, map(slice, first.tolist(), ends))))
+        self.known.update(zip(rest, map(data.__getitem__, map(slice, first.tolist(), ends))))
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def __call__(self, text: str) -> bytes:
-        if _WHOLE.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        words = text.lower().split()
+    def renew(self) -> None:
         if len(self.known) > WORDS_KEPT:
             self.known, self.older = {}, self.known
-        new = set(words).difference(self.known)
-        if new:
-            older = self.older
-            again = {word: older[word] for word in new if word in older}
-            self.known.update(again)
-            if len(again) < len(new):
-                self.learn(list(new.difference(again)))
-        return b"".join(map(self.known.__getitem__, words))
+
+    def of_words(self, words: list[str]) -> list[bytes]:
+        """Ids of every word of plain texts."""
+        found = [*map(self.known.get, words)]
+        new = [at for at, ids in enumerate(found) if ids is None]
+        parts = [without_mark(words[at], self.marks) for at in new]
+        self.learn([*parts, *self.marks])
+        known = self.known
+        for at, part in zip(new, parts):
+            found[at] = known[part] if len(part) == len(words[at]) else known[part] + known[words[at][-1]]
+        return found
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of every text, none of them null."""
+        self.renew()
+        chosen = plain(texts, [SPECIAL])
+        words, numbers, bounds = numbered(texts.filter(pa.array(chosen)))
+        found = iter(joined(self.of_words(words), numbers, bounds))
+        return [next(found).tobytes() if easy else self.whole(texts[at].as_py()) for at, easy in enumerate(chosen.tolist())]
 
 
 @lru_cache(maxsize=1)
@@ -95,11 +129,10 @@ def tokenized(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text
     end = np.array([END], dtype="<u4").tobytes()
 
     def run(batches):
-        encode = encoder(tokenizer_path)
-        for batch in small_batches(batches):
+        for batch in small_batches(batches, ROWS_AT_ONCE):
             rows, starts, lengths, sums, totals, ids = [], [], [], [], [], []
-            for row, text in enumerate(batch.column(1).to_pylist()):
-                data = encode(text or "") + end
+            for row, found in enumerate(encoder(tokenizer_path).encode(pc.fill_null(batch.column(1), ""))):
+                data = found + end
                 for start, size in cuts(len(data) // 4, length):
                     part = data[4 * start:4 * (start + size)]
                     rows.append(row)

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from rows import by_id
@@ -242,6 +243,20 @@ def test_packing_of_odd_texts(make, word_model):
     check_packed(rows, packing.packed_documents(make(rows), word_model, with_ids=True), word_model)
 
 
+def test_words_are_learned_once_and_without_marks(word_model, monkeypatch):
+    texts = ["Ab cd, ab. \n\tCD! it's é, ab.' ab,, a1,", "x<|y", "", " ", "<|endoftext|> ab,", "a\x00b", "ab\u0301 İx", "ÀB, cd ẞ", *(f"w{i}x, q{i}" for i in range(40))]
+    asked = []
+    encode = packing.WordEncoder(word_model)
+    learn = encode.learn
+    monkeypatch.setattr(encode, "learn", lambda words: (asked.extend(words), learn(words)))
+    for _ in range(2):
+        got = [np.frombuffer(ids, "<u4").tolist() for at in range(0, len(texts), 9) for ids in encode.encode(pa.array(texts[at:at + 9]))]
+        assert got == [encode.tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    assert "cd" in asked and "cd," not in asked and "cd!" not in asked
+    monkeypatch.setattr(packing, "WORDS_KEPT", 3)
+    assert [len(ids) // 4 for ids in encode.encode(pa.array(texts))] == [len(ids) for ids in got]
+
+
 def test_packing_of_awkward_rows(awkward, empty, word_model):
     found = packing.packed_documents(awkward, word_model).collect()
     assert sum(r.start == 0 for r in found) == awkward.count()
