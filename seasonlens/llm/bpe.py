@@ -6,8 +6,9 @@ lists of the pairs that arise beside a merge are updated. A pair that arises wit
 first, so every word ends as it would alone.
 
 Special strings, normalisation and the cut into words are those of the file. Its cut drops white space, so parts of a
-text between white space are independent: they are encoded once and remembered, in lower case. Texts with characters
-that normalisation may change across parts, or with special strings, are normalised and cut as a whole.
+text between white space are independent: they are encoded once and remembered, in lower case. The distinct parts of plain
+texts are looked up once for a batch. Texts with characters that normalisation may change across parts, or with special
+strings, are normalised and cut as a whole.
 """
 
 from __future__ import annotations
@@ -27,15 +28,13 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from seasonlens.llm.arrow import pieces as small_batches
+from seasonlens.llm.plain_words import ROWS_AT_ONCE, joined, marks_cut_off, numbered, of_letters, plain, without_mark
 
 #: bytes of parts and their ids that a Python worker remembers, in two generations
 BYTES_KEPT = 48 << 20
 #: what an entry takes besides its characters and ids
 ENTRY = 150
 
-# characters that normalisation may join with others, change in number, or take for white space
-_WHOLE = re.compile("[\x00-\x08\x0e-\x1f\x7f-\xa0\u0130\u0300-\U0010ffff]")
-
 
 class Merges:
     """The merges of a vocabulary, as pairs of ids."""
@@ -172,7 +171,9 @@ class Bpe:
         self.merge = Merges(model["vocab"], merges, model.get("end_of_word_suffix") or "")
         self.special = {token["content"]: token["id"] for token in added}
         self.splits = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or "(?!)")
-        self.parts, self.words = Memory(limit), Memory(limit)
+        # words of letters are remembered as words only
+        self.parts, self.words = Memory(limit // 2), Memory(3 * limit // 2)
+        self.marks = marks_cut_off(lambda text: [word for word, _ in self.cut(text)])
 
     def cut(self, text: str) -> list[tuple[str, tuple[int, int]]]:
         return self.file.pre_tokenizer.pre_tokenize_str(text)
@@ -213,14 +214,28 @@ class Bpe:
             at = high
         return b"".join(out)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of every text as 32-bit little-endian bytes."""
+    def of_words(self, words: list[str]) -> list[bytes]:
+        """Ids of every word of plain texts; a mark that is cut off is remembered apart from the letters before it."""
+        letters = [without_mark(word, self.marks) for word in words]
+        alone = [bool(self.marks) and of_letters(part) for part in letters]
+        self.learn(part for part, is_word in zip(letters, alone) if is_word)
+        self.learn_parts([*self.marks, *(part for part, is_word in zip(letters, alone) if not is_word)])
+        known, parts = self.words.known, self.parts.known
+        return [
+            (known if is_word else parts)[part] + (parts[word[-1]] if len(part) < len(word) else b"")
+            for part, word, is_word in zip(letters, words, alone)
+        ]
+
+    def encode(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
+        """Ids of every text, none of them null, as 32-bit numbers."""
         self.parts.renew()
         self.words.renew()
-        cut = [None if _WHOLE.search(text) or self.splits.search(text) else text.lower().split() for text in texts]
-        self.learn_parts([part for parts in cut if parts for part in parts])
-        known = self.parts.known
-        return [self.whole(text) if parts is None else b"".join(map(known.__getitem__, parts)) for text, parts in zip(texts, cut)]
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        chosen = plain(texts, self.special)
+        words, numbers, bounds = numbered(texts.filter(pa.array(chosen)))
+        found = iter(joined(self.of_words(words), numbers, bounds))
+        rest = map(self.whole, texts.filter(pa.array(~chosen)).to_pylist())
+        return [next(found) if easy else np.frombuffer(next(rest), dtype="<u4") for easy in chosen.tolist()]
 
 
 @lru_cache(maxsize=1)
@@ -262,10 +277,10 @@ def encoded(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_c
 
     def run(batches: Iterator[pa.RecordBatch]):
         out, tokenizer = to_arrow_schema(schema), tokenizer_of(tokenizer_path)
-        for batch in small_batches(batches):
-            found = tokenizer.encode([text or "" for text in batch.column(1).to_pylist()])
-            offsets = np.concatenate([[0], np.cumsum([len(data) // 4 for data in found])])
-            ids = np.frombuffer(b"".join(found), dtype="<u4").astype(np.int32)
+        for batch in small_batches(batches, ROWS_AT_ONCE):
+            found = tokenizer.encode(pc.fill_null(batch.column(1), ""))
+            offsets = np.concatenate([[0], np.cumsum([len(ids) for ids in found])])
+            ids = np.concatenate([np.zeros(0, dtype=np.int32), *found]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(out.field(0).type), lists.cast(out.field(1).type)], schema=out)
 

@@ -164,6 +164,17 @@ def test_small_memory_gives_the_same(library):
     assert [np.frombuffer(x, "<u4").tolist() for x in found] == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_words_of_letters_are_merged_once_with_any_mark(library, monkeypatch):
+    whole = bpe.Bpe(tokenizer("word_bpe_49k.json"))
+    merged = []
+    merge = whole.merge
+    monkeypatch.setattr(whole, "merge", lambda words: (merged.extend(words), merge(words))[1])
+    texts = ["Bretel, bretel. bretel! it's é, bretel.' bretel", "bretel? <|endoftext|> a1,", " ", "a\x00b \u0130", "ÀB, 'll. x\xb5;"]
+    for _ in range(2):
+        assert [ids.tolist() for ids in whole.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert merged.count("bretel") == 1 and not any("bretel" in part for part in whole.parts.known if part != "bretel.'")
+
+
 def test_bpe_edges(awkward, empty):
     path = tokenizer("word_bpe_49k.json")
     found = bpe.decoded(bpe.encoded(awkward, path), path).collect()
