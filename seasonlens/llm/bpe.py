@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from seasonlens.llm.arrow import pieces as small_batches
-from seasonlens.llm.plain_words import ROWS_AT_ONCE, joined, marks_cut_off, numbered, of_letters, plain, without_mark
+from seasonlens.llm.plain_words import joined, marks_cut_off, numbered, of_letters, plain, without_mark
 
 #: bytes of parts and their ids that a Python worker remembers, in two generations
 BYTES_KEPT = 48 << 20
@@ -172,7 +172,7 @@ class Bpe:
         self.special = {token["content"]: token["id"] for token in added}
         self.splits = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or "(?!)")
         # words of letters are remembered as words only
-        self.parts, self.words = Memory(limit // 2), Memory(3 * limit // 2)
+        self.parts, self.words = Memory(limit // 4), Memory(limit)
         self.marks = marks_cut_off(lambda text: [word for word, _ in self.cut(text)])
 
     def cut(self, text: str) -> list[tuple[str, tuple[int, int]]]:
@@ -277,7 +277,7 @@ def encoded(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_c
 
     def run(batches: Iterator[pa.RecordBatch]):
         out, tokenizer = to_arrow_schema(schema), tokenizer_of(tokenizer_path)
-        for batch in small_batches(batches, ROWS_AT_ONCE):
+        for batch in small_batches(batches):
             found = tokenizer.encode(pc.fill_null(batch.column(1), ""))
             offsets = np.concatenate([[0], np.cumsum([len(ids) for ids in found])])
             ids = np.concatenate([np.zeros(0, dtype=np.int32), *found]).astype(np.int32)
