@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,13 +23,14 @@ from xxhash import xxh3_128_digest
 
 from seasonlens.llm.arrow import pieces
 from seasonlens.llm.shingles import mixed
-from seasonlens.session import stage
+from seasonlens.session import stage, unstage
 
 #: occurrences of an anchor that are gathered in one group
 GROUP = 20_000
 #: repeated window hashes of frequent anchors up to which they are broadcast (at most some 60 MB)
 BROADCAST_ROWS = 500_000
-ROWS_AT_ONCE = 1 << 16
+#: rows of small groups that are judged together
+ROWS_JUDGED = 1 << 12
 #: bits of the filter for repeated anchors: a fixed 32 MB, whatever the corpus
 FILTER_BITS = 28
 FILTER_BLOCKS = 16
@@ -71,14 +73,12 @@ def run_hashes(symbols: np.ndarray, length: int) -> np.ndarray:
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     """The least value in every run of ``width``."""
-    n = len(values)
-    blocks = -(-n // width)
-    padded = np.full(blocks * width, np.iinfo(np.uint64).max, dtype=np.uint64)
-    padded[:n] = values
-    grid = padded.reshape(blocks, width)
-    ahead = np.minimum.accumulate(grid, axis=1).reshape(-1)
-    behind = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-    return np.minimum(behind[:n - width + 1], ahead[width - 1:n])
+    run = 1
+    while run < width:
+        step = min(run, width - run)
+        values = np.minimum(values[:-step], values[step:])
+        run += step
+    return values
 
 
 def anchors(symbols: np.ndarray, windows: Windows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -119,19 +119,21 @@ def texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text"))
 
 
-def _counted(windows: Windows):
+def _anchored(windows: Windows):
+    """Per row: id, tag and, in lists, the anchors of the text and how many windows each has, from the first window on."""
+
     def run(batches):
-        held, size = [], 0
         for batch in pieces(batches):
-            for text in batch.column(0).to_pylist():
-                found = anchors(windows.symbols(text.encode("utf-8", "surrogatepass")), windows)[0]
-                held.append(found)
-                size += len(found)
-                if size >= ROWS_AT_ONCE:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(held).view(np.int64))], names=["anchor"])
-                    held, size = [], 0
-        if size:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(held).view(np.int64))], names=["anchor"])
+            tags, found = [], []
+            for text in batch.column(1).to_pylist():
+                data = text.encode("utf-8", "surrogatepass")
+                tags.append(tag(data))
+                found.append(anchors(windows.symbols(data), windows))
+            ends = pa.array(np.cumsum([0, *[len(f[0]) for f in found]]), pa.int32())
+            lists = [np.concatenate([f[i] for f in found]) if found else np.zeros(0, dtype=np.int64) for i in (0, 2)]
+            kinds = (pa.int64(), pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, pa.array(values.view(np.int64)).cast(kind)) for values, kind in zip(lists, kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tags, pa.binary()), *lists], names=["id", "tag", "anchors", "windows"])
 
     return run
 
@@ -169,23 +171,23 @@ def repeat_filter(shared: DataFrame) -> np.ndarray:
     return found.reshape(-1)
 
 
-def _placed(windows: Windows, repeated):
+def _placed(repeated):
+    """The anchors of each row that may come again, one a row."""
+
     def run(batches):
         bits = repeated.value
         for batch in pieces(batches):
-            rows, tags, parts = [], [], []
-            for row, text in enumerate(batch.column(1).to_pylist()):
-                data = text.encode("utf-8", "surrogatepass")
-                tags.append(tag(data))
-                found, first, number = anchors(windows.symbols(data), windows)
-                at = (found >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-                kept = np.flatnonzero(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1)
-                rows.append(np.full(len(kept), row))
-                parts.append((found[kept].view(np.int64), first[kept], number[kept]))
-            columns = [np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, dtype=np.int64) for i in range(3)]
-            rows = pa.array(np.concatenate(rows) if rows else np.zeros(0, dtype=np.int64))
+            found, number = [batch.column(i).flatten() for i in (2, 3)]
+            at = (found.to_numpy().view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+            kept = np.flatnonzero(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+            sizes = pc.list_value_length(batch.column(2)).to_numpy()
+            rows = np.repeat(np.arange(batch.num_rows), sizes)[kept]
+            # the windows of a text stand side by side
+            before = np.concatenate([[0], np.cumsum(number.to_numpy(), dtype=np.int64)])
+            first = before[kept] - before[np.cumsum(sizes) - sizes][rows]
+            rows, kept = pa.array(rows), pa.array(kept)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0]), batch.column(0).take(rows), pa.array(tags, pa.binary()).take(rows), pa.array(columns[1]), pa.array(columns[2])],
+                [found.take(kept), batch.column(0).take(rows), batch.column(1).take(rows), pa.array(first), number.take(kept).cast(pa.int64())],
                 names=["anchor", "id", "tag", "place", "windows"],
             )
 
@@ -203,24 +205,22 @@ def compressed(batches):
         )
 
 
-def _gathered(windows: Windows, describe):
+def _gathered(describe):
     """For each repeated anchor of a document, what the group needs to know of its windows."""
 
     def run(batches):
         unpress = zstandard.ZstdDecompressor()
         for batch in pieces(batches):
-            rows, out = [], []
-            for row in range(batch.num_rows):
-                data = unpress.decompress(batch.column(2)[row].as_py())
-                hashes = run_hashes(windows.symbols(data), windows.length)
-                for hit in batch.column(3)[row].as_py():
-                    first, number = hit["place"], hit["windows"]
-                    rows.append(row)
-                    out.append((hit["anchor"], hit["place"], describe(data, first, number, hashes[first:first + number])))
-            kinds = (pa.int64(), pa.int64(), pa.binary())
-            columns = [pa.array([o[i] for o in out], kind) for i, kind in enumerate(kinds)]
+            hits = batch.column(3)
+            sizes = pc.list_value_length(hits).to_numpy()
+            anchor, place, number, _ = hits.flatten().flatten()
+            first, count, ends = place.to_pylist(), number.to_pylist(), np.cumsum(sizes).tolist()
+            what = []
+            for row, (low, high) in enumerate(zip([0, *ends], ends)):
+                what += describe(unpress.decompress(batch.column(2)[row].as_py()), first[low:high], count[low:high])
+            rows = pa.array(np.repeat(np.arange(batch.num_rows), sizes))
             yield pa.RecordBatch.from_arrays(
-                [columns[0], *[batch.column(i).take(pa.array(rows, pa.int64())) for i in (0, 1)], *columns[1:]],
+                [anchor, *[batch.column(i).take(rows) for i in (0, 1)], place, pa.array(what, pa.binary())],
                 names=["anchor", "id", "tag", "place", "what"],
             )
 
@@ -278,40 +278,75 @@ def _frequent(hashed: DataFrame, picks, kind: str) -> DataFrame:
     return places.groupBy("id", "tag").agg(F.collect_set("start").alias("at")).mapInArrow(_as_runs, f"id {kind}, tag binary, starts binary")
 
 
+def _whole(batches, most: int):
+    """The rows anew, in batches of whole groups: as many groups as have ``most`` rows together, or one that has more."""
+    rest = None
+    for batch in batches:
+        rows = batch if rest is None else pa.concat_batches([rest, batch])
+        of = rows.column(0).to_numpy()
+        # the last group may go on in the next batch
+        begins = np.flatnonzero(of[1:] != of[:-1]) + 1
+        low = 0
+        while len(begins) and low < begins[-1]:
+            high = begins[max(np.searchsorted(begins, low + most, "right") - 1, np.searchsorted(begins, low, "right"))]
+            yield rows.slice(low, high - low)
+            low = high
+        rest = rows.slice(low)
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
 def _groups(judge):
-    """Judge each group of rows with one anchor; partitions are sorted by it, id, tag and place."""
+    """Judge the groups of rows with one anchor, some at a time; partitions are sorted by it, id, tag and place."""
+    most = min(GROUP, ROWS_JUDGED)
 
     def run(batches):
-        held, current = [], None
+        for batch in _whole(batches, most):
+            found = _found(batch, *judge(batch))
+            if found.num_rows:
+                yield found
+
+    return run
 
-        def judged():
-            rows = [row for part in held for row in part]
-            held.clear()
-            found = [(row, starts) for row, starts in zip(rows, judge(rows)) if len(starts)]
-            return found
 
-        pending = []
-        for batch in pieces(batches):
-            of = batch.column(0).to_pylist()
-            rows = list(zip(*[batch.column(i).to_pylist() for i in (1, 2, 3, 4)]))
-            low = 0
-            for high in range(1, len(of) + 1):
-                if high < len(of) and of[high] == of[low]:
-                    continue
-                if of[low] != current:
-                    pending += judged() if held else []
-                    current = of[low]
-                held.append(rows[low:high])
-                low = high
-            if pending:
-                yield _found(pending, batch.schema.field(1).type)
-                pending = []
-        if held:
-            pending = judged()
-            if pending:
-                yield _found(pending, batch.schema.field(1).type)
+def binary_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all values of a binary column, one after the other, and where each begins and the last ends."""
+    _, ends, data = column.buffers()
+    ends = np.frombuffer(ends, dtype=np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    data = np.frombuffer(data, dtype=np.uint8) if data else np.zeros(0, dtype=np.uint8)
+    return data[ends[0]:ends[-1]], ends - ends[0]
+
+
+def repeated_rows(batch: pa.RecordBatch) -> np.ndarray:
+    """Which rows are the row before them once more: the same anchor, id, text and place."""
+    again = np.zeros(batch.num_rows, dtype=bool)
+    anchor, id_, tag_, place = [batch.column(i) for i in range(4)]
+    tags = binary_parts(tag_)[0].view(np.uint64).reshape(-1, 2)
+    no_id = id_.is_null().to_numpy(zero_copy_only=False)
+    same_id = pc.fill_null(pc.equal(id_.slice(1), id_.slice(0, len(id_) - 1)), False).to_numpy(zero_copy_only=False)
+    same = [values[1:] == values[:-1] for values in (anchor.to_numpy(), place.to_numpy(), tags[:, 0], tags[:, 1])]
+    again[1:] = np.logical_and.reduce(same) & (same_id | (no_id[1:] & no_id[:-1]))
+    return again
+
+
+def in_order(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of hashes in the order of (hash, place), and which of them, but for the first, have the hash of the one before."""
+    # the place is put into the last bits, so that plain numbers are sorted; should hashes differ there only, they are sorted whole
+    last = np.uint64((1 << max(1, len(hashes)).bit_length()) - 1)
+    order = (np.sort((hashes & ~last) | np.arange(len(hashes), dtype=np.uint64)) & last).astype(np.int64)
+    sorted_ = hashes[order]
+    same = sorted_[1:] == sorted_[:-1]
+    if np.count_nonzero(((sorted_[1:] ^ sorted_[:-1]) & ~last) == 0) > np.count_nonzero(same):
+        order = np.argsort(hashes, kind="stable")
+        sorted_ = hashes[order]
+        same = sorted_[1:] == sorted_[:-1]
+    return order, same
 
-    return run
+
+def _edges(marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the runs of marked places begin, and where they end."""
+    steps = np.diff(np.concatenate([[False], marked, [False]]).view(np.int8))
+    return np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)
 
 
 def runs(starts: np.ndarray) -> bytes:
@@ -320,37 +355,47 @@ def runs(starts: np.ndarray) -> bytes:
     return np.stack([starts[first], np.diff(np.append(first, len(starts)))], axis=1).astype("<i8").tobytes()
 
 
-def numbers(data: bytes) -> np.ndarray:
-    """The distinct numbers of runs, sorted."""
-    first, count = np.frombuffer(data, dtype="<i8").reshape(-1, 2).T
-    within = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-    return np.unique(np.repeat(first, count) + within)
-
+def _found(batch: pa.RecordBatch, of: np.ndarray, numbers: np.ndarray, picked: np.ndarray) -> pa.RecordBatch:
+    """id, tag and ``runs`` of the rows with picked windows.
 
-def _found(pending, id_type) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([row[0] for row, _ in pending], id_type),
-            pa.array([row[1] for row, _ in pending], pa.binary()),
-            pa.array([runs(np.asarray(starts, dtype=np.int64) + row[2]) for row, starts in pending], pa.binary()),
-        ],
-        names=["id", "tag", "starts"],
-    )
+    Row i has the windows of kind ``of[i]``; the kinds have ``numbers`` windows each, and ``picked`` tells of those of all kinds,
+    one after the other, which are picked.
+    """
+    begins = np.cumsum(numbers) - numbers
+    # a place between any two kinds, so that no run goes on from one to the next
+    apart = np.zeros(len(picked) + len(numbers), dtype=bool)
+    apart[np.arange(len(picked)) + np.repeat(np.arange(len(numbers)), numbers)] = picked
+    first, end = _edges(apart)
+    begins += np.arange(len(numbers))
+    kind = np.searchsorted(begins, first, "right") - 1
+    many = np.bincount(kind, minlength=len(numbers))
+    of_kind = np.cumsum(many) - many
+    rows = np.flatnonzero(many[of])
+    sizes = many[of[rows]]
+    ends = np.cumsum(sizes)
+    taken = np.arange(int(sizes.sum())) + np.repeat(of_kind[of[rows]] - (ends - sizes), sizes)
+    place = np.repeat(batch.column(3).to_numpy()[rows], sizes)
+    data = np.stack([place + (first - begins[kind])[taken], (end - first)[taken]], axis=1).astype("<i8")
+    offsets = np.concatenate([[0], ends * 16]).astype(np.int32)
+    starts = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    rows = pa.array(rows)
+    return pa.RecordBatch.from_arrays([batch.column(1).take(rows), batch.column(2).take(rows), starts], names=["id", "tag", "starts"])
 
 
 def repeated_windows(texts: DataFrame, windows: Windows, describe, judge, picks) -> DataFrame:
     """id, tag and starts (binary ``runs``, one or more pieces) of the windows that are picked, staged.
 
-    ``describe(data, first, number, hashes)`` is what is sent of the windows of one anchor; ``judge(rows)`` gets
-    the rows (id, tag, place, what) of one group in order and gives, for each, which windows are picked. Of an anchor with more
+    ``describe(data, first, number)`` is what is sent of the windows of each anchor of a text; ``judge(rows)`` gets
+    the rows (anchor, id, tag, place, what) of whole groups in order and gives the last three arguments of ``_found``. Of an anchor with more
     than ``GROUP`` occurrences, those windows whose hash comes in more than one place and for which ``picks`` (a condition
     on the place of the window and the first place of its hash, in order) holds.
     """
     kind = dict(texts.dtypes)["id"]
-    counts = texts.select("text").mapInArrow(_counted(windows), "anchor long").groupBy("anchor").agg(F.count(F.lit(1)).alias("times"))
+    anchored = stage(texts.mapInArrow(_anchored(windows), f"id {kind}, tag binary, anchors array<long>, windows array<int>"), "repeat-places")
+    counts = anchored.select(F.explode("anchors").alias("anchor")).groupBy("anchor").agg(F.count(F.lit(1)).alias("times"))
     shared = stage(counts.filter("times > 1"), "repeat-anchors")
     repeated = texts.sparkSession.sparkContext.broadcast(repeat_filter(shared))
-    placed = texts.mapInArrow(_placed(windows, repeated), f"anchor long, id {kind}, tag binary, place long, windows long")
+    placed = anchored.mapInArrow(_placed(repeated), f"anchor long, id {kind}, tag binary, place long, windows long")
     often = shared.filter(F.col("times") > GROUP).count() > 0
     # a text that comes again with its id has the same hits: a set holds them once
     hits = (
@@ -367,17 +412,21 @@ def repeated_windows(texts: DataFrame, windows: Windows, describe, judge, picks)
         brought.withColumn("hits", F.filter("hits", test)).filter(F.size("hits") > 0)
         for test in (lambda hit: hit.times <= GROUP, lambda hit: hit.times > GROUP)
     ]
-    rows = few.mapInArrow(_gathered(windows, describe), f"anchor long, id {kind}, tag binary, place long, what binary")
+    rows = few.mapInArrow(_gathered(describe), f"anchor long, id {kind}, tag binary, place long, what binary")
     sorted_ = rows.repartition("anchor").sortWithinPartitions("anchor", "id", "tag", "place")
     found = sorted_.mapInArrow(_groups(judge), f"id {kind}, tag binary, starts binary")
+    hashed = None
     if often:
         hashed = stage(many.mapInArrow(_hashed(windows), f"id {kind}, tag binary, place long, hashes array<long>"), "repeat-frequent")
         found = found.unionByName(_frequent(hashed, picks, kind))
-    return stage(found, "repeat-windows")
+    found = stage(found, "repeat-windows")
+    for done in (anchored, brought, hashed):
+        unstage(done)
+    return found
 
 
 def with_starts(texts: DataFrame, found: DataFrame, fn, made) -> DataFrame:
-    """id and the columns ``made`` that ``fn(data, starts)`` gives for every text; starts are sorted."""
+    """id and the columns ``made`` that ``fn(data, first, count)`` gives for every text, from the runs of its starts."""
     kind = dict(texts.dtypes)["id"]
     starts = found.groupBy("id", "tag").agg(F.collect_set("starts").alias("starts"))
     packed = texts.mapInArrow(compressed, f"id {kind}, tag binary, data binary")
@@ -387,20 +436,27 @@ def with_starts(texts: DataFrame, found: DataFrame, fn, made) -> DataFrame:
     def run(batches):
         unpress = zstandard.ZstdDecompressor()
         for batch in pieces(batches):
+            sizes = pc.fill_null(pc.list_value_length(batch.column(2)), 0).to_numpy()
+            parts, ends = binary_parts(batch.column(2).flatten())
+            ends = ends[np.cumsum([0, *sizes])].tolist()
             out = []
-            for row in range(batch.num_rows):
-                parts = batch.column(2)[row].as_py() or []
-                at = numbers(b"".join(parts))
-                out.append(fn(unpress.decompress(batch.column(1)[row].as_py()), at))
+            for row, (low, high) in enumerate(zip(ends, ends[1:])):
+                first, count = parts[low:high].view("<i8").reshape(-1, 2).T
+                out.append(fn(unpress.decompress(batch.column(1)[row].as_py()), first, count))
             columns = [pa.array([o[i] for o in out], kind) for i, (_, kind, _) in enumerate(made)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["id", *[name for name, _, _ in made]])
 
     return joined.mapInArrow(run, f"id {kind}, " + ", ".join(f"{name} {sql}" for name, _, sql in made))
 
 
-def covered(starts: np.ndarray, length: int, size: int) -> np.ndarray:
-    """Which of ``size`` symbols windows of ``length`` from ``starts`` on cover."""
-    edges = np.zeros(size + 1, dtype=np.int64)
-    np.add.at(edges, starts, 1)
-    np.add.at(edges, starts + length, -1)
+def covered(first: np.ndarray, count: np.ndarray, length: int, size: int) -> np.ndarray:
+    """Which of ``size`` symbols windows of ``length`` cover that start at ``count`` places from each of ``first`` on."""
+    if not len(first):
+        return np.zeros(size, dtype=bool)
+    edges = np.bincount(first, minlength=size + 1) - np.bincount(first + count + (length - 1), minlength=size + 1)
     return np.cumsum(edges[:-1]) > 0
+
+
+def spans_of(gone: np.ndarray) -> list[tuple[int, int]]:
+    """The maximal runs of places that are gone, end exclusive."""
+    return list(zip(*[edge.tolist() for edge in _edges(gone)]))

@@ -9,6 +9,7 @@ position and no factor boundary.
 from __future__ import annotations
 
 import hashlib
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from seasonlens.llm.repeats import Windows, covered, repeated_windows, texts_of, with_starts
+from seasonlens.llm.repeats import (
+    Windows, binary_parts, covered, in_order, repeated_rows, repeated_windows, run_hashes, spans_of, texts_of, with_starts,
+)
 
 WORDS = 20
 GRAM = 5
@@ -30,53 +33,35 @@ def _words(data: bytes) -> np.ndarray:
 WINDOWS = Windows(WORDS, GRAM, _words)
 
 
-def _describe(data, first, number, hashes) -> bytes:
-    return hashes.tobytes()
-
-
-def _later(rows) -> list[list[int]]:
-    """The windows of each row that an earlier row, or an earlier window of the row, has indexed."""
-    index: set[int] = set()
-    found, before = [], None
-    waiting: list[int] = []
-    for id_, tag, place, what in rows:
-        # rows of the same text, repeated, index their windows together: neither is before the other
-        if (id_, tag, place) != before:
-            index.update(waiting)
-            waiting, before = [], (id_, tag, place)
-        hashes = np.frombuffer(what, dtype=np.uint64).tolist()
-        own: set[int] = set()
-        picked = []
-        for number, value in enumerate(hashes):
-            if value in index or value in own:
-                picked.append(number)
-            own.add(value)
-        waiting += own
-        found.append(picked)
-    return found
+def _describe(data: bytes, first: list[int], number: list[int]) -> list[bytes]:
+    """The hashes of the windows of each anchor."""
+    hashes = run_hashes(_words(data), WORDS).tobytes()
+    return [hashes[8 * at:8 * (at + n)] for at, n in zip(first, number)]
 
 
-def _not_first(where: Column, first: Column) -> Column:
-    return ~where.eqNullSafe(first)
+def _later(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The windows of each row that an earlier row of its group, or an earlier window of the row, has indexed."""
+    data, ends = binary_parts(batch.column(4))
+    numbers, anchor = np.diff(ends) // 8, batch.column(0).to_numpy()
+    group = np.repeat(np.cumsum(np.concatenate([[False], anchor[1:] != anchor[:-1]])), numbers)
+    order, same = in_order(data.view(np.uint64))
+    picked = np.zeros(len(group), dtype=bool)
+    picked[order[1:][same & (group[order[1:]] == group[order[:-1]])]] = True
+    # rows of the same text, repeated, index their windows together: neither is before the other
+    rows = np.where(repeated_rows(batch), 0, np.arange(batch.num_rows))
+    return np.maximum.accumulate(rows), numbers, picked
 
 
-def factors(starts: np.ndarray, length: int = WORDS) -> list[tuple[int, int]]:
-    """The duplicate spans: maximal runs of words that windows from ``starts`` on cover."""
-    spans: list[tuple[int, int]] = []
-    for start in starts.tolist():
-        if spans and start <= spans[-1][1]:
-            spans[-1] = (spans[-1][0], start + length)
-        else:
-            spans.append((start, start + length))
-    return spans
+def _not_first(where: Column, first: Column) -> Column:
+    return ~where.eqNullSafe(first)
 
 
 def _cleaned(with_text: bool):
-    def fn(data: bytes, starts: np.ndarray) -> tuple:
+    def fn(data: bytes, first: np.ndarray, count: np.ndarray) -> tuple:
         words = data.split()
-        gone = covered(starts, WORDS, len(words))
-        kept = b" ".join([word for word, drop in zip(words, gone.tolist()) if not drop])
-        spans = ",".join(f"{a}:{b}" for a, b in factors(starts))
+        gone = covered(first, count, WORDS, len(words))
+        kept = b" ".join(compress(words, (~gone).tolist()))
+        spans = ",".join(f"{a}:{b}" for a, b in spans_of(gone))
         found = (len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest(), spans)
         return (*found, kept.decode("utf-8", "replace")) if with_text else found
 

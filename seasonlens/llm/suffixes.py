@@ -14,7 +14,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seasonlens.llm.repeats import Windows, covered, repeated_windows, run_hashes, texts_of, with_starts
+from seasonlens.llm.repeats import (
+    Windows, binary_parts, covered, in_order, repeated_rows, repeated_windows, run_hashes, spans_of, texts_of, with_starts,
+)
 
 BYTES = 200
 GRAM = 64
@@ -28,62 +30,48 @@ def _bytes(data: bytes) -> np.ndarray:
 WINDOWS = Windows(BYTES, GRAM, _bytes)
 
 
-def _describe(data, first, number, hashes) -> bytes:
-    """The bytes that the windows of one anchor cover."""
-    return data[first:first + number + BYTES - 1]
+def _describe(data: bytes, first: list[int], number: list[int]) -> list[bytes]:
+    """The bytes that the windows of each anchor cover."""
+    return [data[at:at + n + BYTES - 1] for at, n in zip(first, number)]
 
 
-def _again(rows) -> list[np.ndarray]:
-    """The windows of each row that any other window of the group equals."""
+def _again(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The windows of each row that any other window of its group equals.
+
+    Rows that send the same bytes repeat each other as a whole; different bytes are compared once each. Equal windows have equal
+    anchors, so those of several groups are compared in one go.
+    """
+    kinds = batch.column(4).dictionary_encode()
+    of = kinds.indices.to_numpy().astype(np.int64)
+    data, ends = binary_parts(kinds.dictionary)
+    numbers = np.diff(ends) - (BYTES - 1)
+    picked = _again_by_bytes(data, ends[:-1], numbers)
     # a repeated row is the same document again: its windows do not repeat each other
-    first_of: dict[tuple, int] = {}
-    same_as = [first_of.setdefault(row[:3], len(first_of)) for row in rows]
-    once: list = [None] * len(first_of)
-    for row, at in zip(rows, same_as):
-        once[at] = row
-    picked = _again_by_context(once)
-    return [picked[at] for at in same_as]
-
-
-def _again_by_context(rows) -> list[np.ndarray]:
-    """Rows that send the same bytes repeat each other as a whole; different bytes are compared once each."""
-    index: dict[bytes, int] = {}
-    of = [index.setdefault(row[3], len(index)) for row in rows]
-    times = np.bincount(of)
-    picked = _again_by_bytes([(None, None, None, data) for data in index])
-    for at, data in enumerate(index):
-        if times[at] > 1:
-            picked[at] = np.arange(len(data) - BYTES + 1)
-    return [picked[at] for at in of]
-
-
-def _again_by_bytes(rows) -> list[np.ndarray]:
-    data = b"".join([row[3] for row in rows])
-    sizes = np.array([len(row[3]) for row in rows])
-    begins = np.cumsum(sizes) - sizes
-    numbers = sizes - (BYTES - 1)
-    of = np.repeat(np.arange(len(rows)), numbers)
+    times = np.bincount(of[~repeated_rows(batch)], minlength=len(numbers))
+    return of, numbers, picked | np.repeat(times > 1, numbers)
+
+
+def _again_by_bytes(data: np.ndarray, begins: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """Which windows equal another one; the ``numbers`` windows of each string begin at ``begins`` and the places after it."""
     at = np.arange(int(numbers.sum())) + np.repeat(begins - (np.cumsum(numbers) - numbers), numbers)
-    hashes = run_hashes(_bytes(data), BYTES)[at]
-    order = np.argsort(hashes, kind="stable")
-    sorted_ = hashes[order]
-    same = np.flatnonzero(sorted_[1:] == sorted_[:-1])
-    picked = np.zeros(len(data), dtype=bool)
-    if len(same):
-        # neighbours of one pair of rows that lie equally far apart are compared byte by byte in one go
-        a, b = at[order[same]], at[order[same + 1]]
-        pair = (of[order[same]] * len(rows) + of[order[same + 1]]) * (2 * len(data) + 1) + (b - a + len(data))
-        by_pair = np.lexsort((a, pair))
-        cuts = np.flatnonzero(np.diff(pair[by_pair])) + 1
-        plain = np.frombuffer(data, dtype=np.uint8)
-        for chosen in np.split(by_pair, cuts):
-            low, high, shift = a[chosen[0]], a[chosen[-1]] + BYTES, b[chosen[0]] - a[chosen[0]]
-            other = np.zeros(high - low + 1, dtype=np.int64)
-            np.cumsum(plain[low:high] != plain[low + shift:high + shift], out=other[1:])
-            starts = a[chosen] - low
-            equal = a[chosen][other[starts + BYTES] == other[starts]]
-            picked[equal] = picked[equal + shift] = True
-    return [np.flatnonzero(picked[begin:begin + number]) for begin, number in zip(begins.tolist(), numbers.tolist())]
+    order, same = in_order(run_hashes(_bytes(data), BYTES)[at])
+    picked, after = np.zeros(len(at), dtype=bool), np.zeros(len(at), dtype=np.int64)
+    after[order[:-1][same]] = order[1:][same]
+    one = np.flatnonzero(after)
+    if not len(one):
+        return picked
+    # windows side by side, whose neighbours in the order of hashes lie equally far away, are compared byte by byte in one go
+    other = after[one]
+    place, shift = at[one], at[other] - at[one]
+    first = np.flatnonzero(np.concatenate([[True], (np.diff(place) != 1) | (np.diff(shift) != 0)]))
+    lengths = np.diff(np.append(first, len(one))) + (BYTES - 1)
+    places = np.arange(int(lengths.sum())) + np.repeat(place[first] - (np.cumsum(lengths) - lengths), lengths)
+    differ = np.zeros(len(places) + 1, dtype=np.int64)
+    np.cumsum(data[places] != data[places + np.repeat(shift[first], lengths)], out=differ[1:])
+    starts = np.arange(len(one)) + np.repeat(np.arange(len(first)) * (BYTES - 1), lengths - (BYTES - 1))
+    equal = differ[starts + BYTES] == differ[starts]
+    picked[one[equal]] = picked[other[equal]] = True
+    return picked
 
 
 def _all(where: Column, first: Column) -> Column:
@@ -91,11 +79,10 @@ def _all(where: Column, first: Column) -> Column:
 
 
 def _cleaned(with_bytes: bool):
-    def fn(data: bytes, starts: np.ndarray) -> tuple:
-        gone = covered(starts, BYTES, len(data))
+    def fn(data: bytes, first: np.ndarray, count: np.ndarray) -> tuple:
+        gone = covered(first, count, BYTES, len(data))
         kept = np.frombuffer(data, dtype=np.uint8)[~gone].tobytes()
-        spans = int(np.count_nonzero(np.diff(np.concatenate([[0], gone.astype(np.int8)])) == 1))
-        found = (len(data), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest())
+        found = (len(data), int(gone.sum()), len(spans_of(gone)), hashlib.sha256(kept).hexdigest())
         return (*found, kept) if with_bytes else found
 
     return fn

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from pathlib import Path
+from weakref import WeakKeyDictionary
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,8 @@ DEFAULTS = {
 
 #: by application, what ``stage`` has persisted in sessions without a shared folder
 _persisted: dict[str, list[DataFrame]] = {}
+#: where ``stage`` has written a table in the shared folder
+_written: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 #: applications whose Python workers have this package
 _shared: set[str] = set()
 
@@ -73,7 +76,20 @@ def stage(df: DataFrame, name: str, rows_per_file: int = 0) -> DataFrame:
         return kept
     path = f"{_folder(spark, shared)}/{name}-{uuid.uuid4().hex}"
     df.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    _written[staged] = path
+    return staged
+
+
+def unstage(df: DataFrame | None) -> None:
+    """Remove what ``stage`` has written for ``df``, once all tables made of it are staged themselves.
+
+    Other tables, and those that are persisted, stay: without a shared folder nothing is computed before it is read.
+    """
+    path = _written.pop(df, None) if df is not None else None
+    if path:
+        at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def scratch(spark: SparkSession, name: str) -> str:

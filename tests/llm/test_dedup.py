@@ -4,13 +4,16 @@ import hashlib
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from rows import by_id
 from xxhash import xxh3_64_intdigest
 
+from seasonlens import session
 from seasonlens.llm import exact_dedup, jaccard, repeats, substrings, suffixes
 from seasonlens.llm.components import components
 from seasonlens.llm.shingles import shingle_set
@@ -302,3 +305,47 @@ def test_repeats_of_awkward_rows(awkward, empty):
     assert suffixes.remove_repeats(awkward).count() == awkward.count()
     assert substrings.remove_substrings(empty).count() == 0
     assert suffixes.remove_repeats(empty).count() == 0
+
+
+@pytest.mark.parametrize("size", [1, 7, 10_000])
+def test_groups_are_judged_together(size):
+    """Rows of many anchors, some repeated, judged in a few whole batches: what brute force picks of each row."""
+    rng, rows = random.Random(size), []
+    for anchor in range(30):
+        texts = [bytes(rng.choice(b"ab") for _ in range(230)) for _ in range(2)]
+        group = [(None if i == 5 else i, i.to_bytes(16, "big"), rng.randrange(2), rng.choice(texts)[:rng.randint(200, 230)]) for i in range(rng.randint(1, 6))]
+        rows += [(anchor, *row) for row in sorted(group + group[:1], key=lambda row: (row[0] is not None, row[0] or 0))]
+    kinds = {"anchor": pa.int64(), "id": pa.int64(), "tag": pa.binary(), "place": pa.int64(), "what": pa.binary()}
+    batch = pa.RecordBatch.from_arrays([pa.array(values, kind) for values, kind in zip(zip(*rows), kinds.values())], names=list(kinds))
+    whole = [part for part in repeats._whole((batch.slice(at, size) for at in range(0, len(rows), size)), 20)]
+    assert pa.concat_batches(whole).equals(batch) and (2 < len(whole) < 15 if size == 10_000 else len(whole) <= 30)
+    assert all(a["anchor"][-1] != b["anchor"][0] for a, b in zip(whole, whole[1:]))
+    found = Counter()
+    for part in repeats._groups(suffixes._again)(iter([batch])):
+        for i, tag, starts in zip(*[column.to_pylist() for column in part.columns]):
+            runs = np.frombuffer(starts, dtype="<i8").reshape(-1, 2).tolist()
+            found[i, tag, tuple(start for first, count in runs for start in range(first, first + count))] += 1
+    once = list(dict.fromkeys(rows))
+    times = Counter((row[0], row[4][at:at + 200]) for row in once for at in range(len(row[4]) - 199))
+    want = Counter()
+    for anchor, i, tag, place, what in rows:
+        starts = tuple(place + at for at in range(len(what) - 199) if times[anchor, what[at:at + 200]] > 1)
+        want[i, tag, starts] += bool(starts)
+    assert found == +want
+
+
+def test_order_of_hashes_that_differ_in_the_last_bits():
+    hashes = np.array([9, 8, 9, 1 << 60, 8, 9, (1 << 60) + 1, 1 << 60], dtype=np.uint64)
+    order, same = repeats.in_order(hashes)
+    assert order.tolist() == [1, 4, 0, 2, 5, 3, 7, 6] and same.tolist() == [True, False, True, True, False, True, False]
+    assert repeats.in_order(hashes[:0])[0].tolist() == []
+
+
+def test_staged_tables_are_removed_when_done_with(spark):
+    folder = Path(session.staging_dir(spark))
+    df = session.stage(spark.range(3), "numbers")
+    assert df.count() == 3 and list(folder.glob("*/numbers-*"))
+    session.unstage(df)
+    session.unstage(spark.range(3))
+    session.unstage(None)
+    assert not list(folder.glob("*/numbers-*"))
