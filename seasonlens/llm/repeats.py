@@ -120,20 +120,16 @@ def texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _anchored(windows: Windows):
-    """Per row: id, tag and, in lists, the anchors of the text and how many windows each has, from the first window on."""
+    """Per row: id, tag, compressed text and, in lists, its anchors and how many windows each has, from the first window on."""
 
     def run(batches):
-        for batch in pieces(batches):
-            tags, found = [], []
-            for text in batch.column(1).to_pylist():
-                data = text.encode("utf-8", "surrogatepass")
-                tags.append(tag(data))
-                found.append(anchors(windows.symbols(data), windows))
+        for batch in compressed_pieces(batches):
+            found = [anchors(windows.symbols(data), windows) for data in batch[0]]
             ends = pa.array(np.cumsum([0, *[len(f[0]) for f in found]]), pa.int32())
             lists = [np.concatenate([f[i] for f in found]) if found else np.zeros(0, dtype=np.int64) for i in (0, 2)]
             kinds = (pa.int64(), pa.int32())
             lists = [pa.ListArray.from_arrays(ends, pa.array(values.view(np.int64)).cast(kind)) for values, kind in zip(lists, kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tags, pa.binary()), *lists], names=["id", "tag", "anchors", "windows"])
+            yield pa.RecordBatch.from_arrays([*batch[1].columns, *lists], names=["id", "tag", "data", "anchors", "windows"])
 
     return run
 
@@ -171,82 +167,75 @@ def repeat_filter(shared: DataFrame) -> np.ndarray:
     return found.reshape(-1)
 
 
-def _placed(repeated):
-    """The anchors of each row that may come again, one a row."""
-
-    def run(batches):
-        bits = repeated.value
-        for batch in pieces(batches):
-            found, number = [batch.column(i).flatten() for i in (2, 3)]
-            at = (found.to_numpy().view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-            kept = np.flatnonzero(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1)
-            sizes = pc.list_value_length(batch.column(2)).to_numpy()
-            rows = np.repeat(np.arange(batch.num_rows), sizes)[kept]
-            # the windows of a text stand side by side
-            before = np.concatenate([[0], np.cumsum(number.to_numpy(), dtype=np.int64)])
-            first = before[kept] - before[np.cumsum(sizes) - sizes][rows]
-            rows, kept = pa.array(rows), pa.array(kept)
-            yield pa.RecordBatch.from_arrays(
-                [found.take(kept), batch.column(0).take(rows), batch.column(1).take(rows), pa.array(first), number.take(kept).cast(pa.int64())],
-                names=["anchor", "id", "tag", "place", "windows"],
-            )
-
-    return run
-
-
-def compressed(batches):
-    """id, tag and compressed text: texts cross shuffles as small as they get."""
+def compressed_pieces(batches):
+    """The bytes of the texts of some rows at a time, and the rows: id, tag and compressed text."""
     press = zstandard.ZstdCompressor(level=1)
     for batch in pieces(batches):
         data = [text.encode("utf-8", "surrogatepass") for text in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays(
+        yield data, pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array([tag(d) for d in data], pa.binary()), pa.array([press.compress(d) for d in data], pa.binary())],
             names=["id", "tag", "data"],
         )
 
 
-def _gathered(describe):
-    """For each repeated anchor of a document, what the group needs to know of its windows."""
+def compressed(batches):
+    """id, tag and compressed text: texts cross shuffles as small as they get."""
+    for _, rows in compressed_pieces(batches):
+        yield rows
+
+
+def _hits(batches, chosen):
+    """Some rows at a time, with the texts' bytes and, for the anchors that ``chosen`` marks: row, anchor, first window and how many."""
+    unpress = zstandard.ZstdDecompressor()
+    for batch in pieces(batches):
+        found, number = [batch.column(i).flatten().to_numpy().astype(np.int64) for i in (3, 4)]
+        sizes = pc.list_value_length(batch.column(3)).to_numpy()
+        kept = np.flatnonzero(chosen(found))
+        row = np.repeat(np.arange(batch.num_rows), sizes)[kept]
+        # the windows of a text stand side by side
+        before = np.concatenate([[0], np.cumsum(number)])
+        first = before[kept] - before[np.cumsum(sizes) - sizes][row]
+        ends = np.cumsum(np.bincount(row, minlength=batch.num_rows)).tolist()
+        texts = ((unpress.decompress(batch.column(2)[i].as_py()), low, high) for i, (low, high) in enumerate(zip([0, *ends], ends)) if high > low)
+        yield batch, texts, row, found[kept], first, number[kept]
+
+
+def _gathered(describe, repeated, frequent: np.ndarray):
+    """For each anchor of a document that may come again and is not ``frequent``, what the group needs to know of its windows."""
 
     def run(batches):
-        unpress = zstandard.ZstdDecompressor()
-        for batch in pieces(batches):
-            hits = batch.column(3)
-            sizes = pc.list_value_length(hits).to_numpy()
-            anchor, place, number, _ = hits.flatten().flatten()
-            first, count, ends = place.to_pylist(), number.to_pylist(), np.cumsum(sizes).tolist()
-            what = []
-            for row, (low, high) in enumerate(zip([0, *ends], ends)):
-                what += describe(unpress.decompress(batch.column(2)[row].as_py()), first[low:high], count[low:high])
-            rows = pa.array(np.repeat(np.arange(batch.num_rows), sizes))
+        bits = repeated.value
+
+        def chosen(found: np.ndarray) -> np.ndarray:
+            at = (found.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+            return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool) & ~np.isin(found, frequent)
+
+        for batch, texts, row, anchor, first, number in _hits(batches, chosen):
+            places, count, what = first.tolist(), number.tolist(), []
+            for data, low, high in texts:
+                what += describe(data, places[low:high], count[low:high])
+            rows = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [anchor, *[batch.column(i).take(rows) for i in (0, 1)], place, pa.array(what, pa.binary())],
+                [pa.array(anchor), *[batch.column(i).take(rows) for i in (0, 1)], pa.array(first), pa.array(what, pa.binary())],
                 names=["anchor", "id", "tag", "place", "what"],
             )
 
     return run
 
 
-def _hashed(windows: Windows):
-    """For each frequent anchor of a document, the hashes of its windows."""
+def _hashed(windows: Windows, frequent: np.ndarray):
+    """For each ``frequent`` anchor of a document, the hashes of its windows."""
 
     def run(batches):
-        unpress = zstandard.ZstdDecompressor()
-        for batch in pieces(batches):
-            rows, places, found = [], [], []
-            for row in range(batch.num_rows):
-                data = unpress.decompress(batch.column(2)[row].as_py())
+        for batch, texts, row, _, first, number in _hits(batches, lambda found: np.isin(found, frequent)):
+            places, count, found = first.tolist(), number.tolist(), [np.zeros(0, dtype=np.int64)]
+            for data, low, high in texts:
                 hashes = run_hashes(windows.symbols(data), windows.length).view(np.int64)
-                for hit in batch.column(3)[row].as_py():
-                    first = hit["place"]
-                    rows.append(row)
-                    places.append(hit["place"])
-                    found.append(hashes[first:first + hit["windows"]])
-            ends = np.cumsum([0] + [len(f) for f in found]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found) if found else np.zeros(0, dtype=np.int64)))
+                found += [hashes[at:at + n] for at, n in zip(places[low:high], count[low:high])]
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(number)]), pa.int32()), pa.array(np.concatenate(found)))
+            rows = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(i).take(pa.array(rows, pa.int64())) for i in (0, 1)], pa.array(places, pa.int64()), lists],
-                names=["id", "tag", "place", "hashes"],
+                [*[batch.column(i).take(rows) for i in (0, 1)], pa.array(first), lists], names=["id", "tag", "place", "hashes"]
             )
 
     return run
@@ -391,36 +380,23 @@ def repeated_windows(texts: DataFrame, windows: Windows, describe, judge, picks)
     on the place of the window and the first place of its hash, in order) holds.
     """
     kind = dict(texts.dtypes)["id"]
-    anchored = stage(texts.mapInArrow(_anchored(windows), f"id {kind}, tag binary, anchors array<long>, windows array<int>"), "repeat-places")
+    anchored = stage(
+        texts.mapInArrow(_anchored(windows), f"id {kind}, tag binary, data binary, anchors array<long>, windows array<int>"), "repeat-places"
+    )
     counts = anchored.select(F.explode("anchors").alias("anchor")).groupBy("anchor").agg(F.count(F.lit(1)).alias("times"))
     shared = stage(counts.filter("times > 1"), "repeat-anchors")
     repeated = texts.sparkSession.sparkContext.broadcast(repeat_filter(shared))
-    placed = anchored.mapInArrow(_placed(repeated), f"anchor long, id {kind}, tag binary, place long, windows long")
-    often = shared.filter(F.col("times") > GROUP).count() > 0
-    # a text that comes again with its id has the same hits: a set holds them once
-    hits = (
-        placed.join(shared, "anchor")
-        .groupBy("id", "tag")
-        .agg(F.collect_set(F.struct("anchor", "place", "windows", "times")).alias("hits"))
-    )
-    packed = texts.mapInArrow(compressed, f"id {kind}, tag binary, data binary")
-    same = packed["id"].eqNullSafe(hits["id"]) & (packed["tag"] == hits["tag"])
-    brought = packed.join(hits, same).select(packed["id"], packed["tag"], "data", "hits")
-    if often:
-        brought = stage(brought, "repeat-texts")
-    few, many = [
-        brought.withColumn("hits", F.filter("hits", test)).filter(F.size("hits") > 0)
-        for test in (lambda hit: hit.times <= GROUP, lambda hit: hit.times > GROUP)
-    ]
-    rows = few.mapInArrow(_gathered(describe), f"anchor long, id {kind}, tag binary, place long, what binary")
+    # there is at most one for GROUP anchors of the corpus
+    frequent = np.array([row["anchor"] for row in shared.filter(F.col("times") > GROUP).select("anchor").collect()], dtype=np.int64)
+    rows = anchored.mapInArrow(_gathered(describe, repeated, frequent), f"anchor long, id {kind}, tag binary, place long, what binary")
     sorted_ = rows.repartition("anchor").sortWithinPartitions("anchor", "id", "tag", "place")
     found = sorted_.mapInArrow(_groups(judge), f"id {kind}, tag binary, starts binary")
     hashed = None
-    if often:
-        hashed = stage(many.mapInArrow(_hashed(windows), f"id {kind}, tag binary, place long, hashes array<long>"), "repeat-frequent")
+    if len(frequent):
+        hashed = stage(anchored.mapInArrow(_hashed(windows, frequent), f"id {kind}, tag binary, place long, hashes array<long>"), "repeat-frequent")
         found = found.unionByName(_frequent(hashed, picks, kind))
     found = stage(found, "repeat-windows")
-    for done in (anchored, brought, hashed):
+    for done in (anchored, shared, hashed):
         unstage(done)
     return found
 
