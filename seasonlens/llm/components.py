@@ -11,21 +11,27 @@ from seasonlens.session import stage
 def components(links: DataFrame) -> DataFrame:
     """node and label (the smallest node it reaches) for every node of the links (a, b).
 
-    Alternates two steps until nothing changes: every larger neighbour is linked to a node's smallest neighbour,
-    then every smaller one. Stars are the fixed point. Each round is staged, so lineage stays short.
+    Alternates two steps: every larger neighbour is linked to a node's smallest neighbour,
+    then every smaller one, until all that is left are stars. Each round is staged, so lineage stays short.
     """
     edges = stage(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    before = None
     while True:
         edges = stage(_small_star(_large_star(edges)), "links")
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before:
+        if _are_stars(edges):
             break
-        before = state
     labels = edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
     return labels.unionByName(labels.select(F.col("label").alias("node"), "label").distinct())
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every edge (a > b) is the only one of its a and ends in a node that has none: both steps would change nothing."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("below"), F.lit(0).alias("above")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("below"), F.lit(1).alias("above"))
+    )
+    nodes = ends.groupBy("node").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+    return nodes.agg(F.count_if(F.expr("below > 1 or below > 0 and above > 0"))).first()[0] == 0
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Edges (a > b): every neighbour above a node moves to the least of the node and its neighbours."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))

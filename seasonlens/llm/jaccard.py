@@ -50,8 +50,12 @@ MOST_MATCHES = 255
 COMPARE_COST = 4.0
 #: rows of 8 bytes up to which the keys of candidates are broadcast (some 30 MB in memory); beyond it they are shuffled
 BROADCAST_ROWS = 500_000
+#: the same for keys with their sketches, rows of 40 bytes
+BROADCAST_SKETCHES = 100_000
 #: hubs of a shingle in each round, before all candidate pairs that are left are compared
 HUBS = (1, 2)
+#: 64-bit words of a set's sketch, which tells pairs apart that meet on what a large group has in common
+SKETCH = tuple(f"sketch_{i}" for i in range(4))
 POSTINGS_AT_ONCE = 1 << 18
 
 
@@ -361,13 +365,14 @@ def _labels(texts: DataFrame, rows: DataFrame, counted: DataFrame, percent: int)
     members = sets.mapInArrow(_members(frequency), "token long, key long, size long")
     shared = stage(_prefixes(_shared(members, exact=True), percent), "jaccard-postings")
     frequency.unpersist()
-    active = stage(shared.select("key").distinct(), "jaccard-keys")
+    active = stage(shared.filter(F.col(SKETCH[0]).isNotNull()).select("key", *SKETCH), "jaccard-keys")
+    shared = shared.drop(*SKETCH)
     label = active.select(F.col("key").alias("node"), F.col("key").alias("label"))
     links, round_ = None, 0
     while True:
         last = round_ >= len(HUBS)
         open_ = stage(_open_lists(shared, label), "jaccard-open")
-        pairs = _all_pairs(open_, percent) if last else _hub_pairs(open_, round_, percent)
+        pairs = _all_pairs(open_, active, percent) if last else _hub_pairs(open_, round_, percent)
         pairs = stage(_enough(pairs, percent), "jaccard-pairs")
         new = stage(_compared(pairs, sets, percent), "jaccard-links")
         found = not new.isEmpty()
@@ -404,12 +409,20 @@ def _shared(postings: DataFrame, exact: bool = False) -> DataFrame:
     return both if exact else both.distinct()
 
 
+def _sketch(over) -> list:
+    """The words of a set's sketch: every bit is the parity of the shared tokens that fall on it."""
+    bit = F.expr("shiftleft(1L, cast(token & 63 as int))")
+    word = F.expr(f"pmod(shiftright(token, 6), {len(SKETCH)})")
+    return [F.bit_xor(F.when(word == i, bit).otherwise(F.lit(0))).over(over).alias(name) for i, name in enumerate(SKETCH)]
+
+
 def _prefixes(shared: DataFrame, percent: int) -> DataFrame:
     """Of sets that share enough of their shingles, those to join on: token, key, size and how many the set shares.
 
     ``shared`` holds the shared tokens of whole sets with exact counts. What a set does not share comes first in its order,
     so the place of a shared token decides for how many matches a prefix that ends there may ask. The costs are those of
-    ``matches_to_ask``.
+    ``matches_to_ask``. The row of a set's first shared token, which is always joined on if any is, also holds the sketch
+    of all that the set shares.
     """
     n, overlap = _n("size"), _least_overlap(_n("size"), percent)
     of_set = W.partitionBy("key")
@@ -420,11 +433,13 @@ def _prefixes(shared: DataFrame, percent: int) -> DataFrame:
     ).filter(F.col("shared") >= overlap)
     asked = F.col("place") - F.col("shared") + overlap
     cost = F.when(asked >= F.greatest(F.floor(F.sqrt(n)), F.lit(1)), F.col("read") * (1 + COMPARE_COST / asked))
-    chosen = placed.withColumn("asked", asked).withColumn("cost", cost).withColumn("chosen", F.min_by("asked", "cost").over(of_set))
+    costed = placed.withColumn("asked", asked).withColumn("cost", cost)
+    chosen = costed.select("*", F.min_by("asked", "cost").over(of_set).alias("chosen"), *_sketch(of_set))
     joined = chosen.filter(F.col("asked") <= F.col("chosen") - _unjoined(n, percent))
     return joined.select(
         "token", "key", (F.col("size") + 2 * F.col("chosen")).alias("size"), "shared",
         (F.col("asked") + n - overlap).cast("int").alias("place"),
+        *(F.when(F.col("place") == 1, F.col(name)).alias(name) for name in SKETCH),
     )
 
 
@@ -440,9 +455,9 @@ def _sets(texts: DataFrame, rows: DataFrame, keys: DataFrame) -> DataFrame:
     return stage(sets.groupBy("key").agg(F.first("hashes").alias("hashes")), "jaccard-sets")
 
 
-def broadcast_if_small(df: DataFrame) -> DataFrame:
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast if a count has shown that it fits."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def _checked_sets(batches):
@@ -487,18 +502,32 @@ def _hub_pairs(open_: DataFrame, round_: int, percent: int) -> DataFrame:
     ).filter(_meets(percent)).select("a", "b", "size_a", "size_b")
 
 
-def _all_pairs(open_: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a token's postings from different components.
+def _may_overlap(percent: int):
+    """Whether two sets can have enough in common by their sketches.
+
+    A bit in which the sketches differ stands for one token at least that only one of the sets has. The rest of what both
+    share with others, two of each common token, is therefore no less than twice the overlap of a similar pair.
+    """
+    apart = sum((F.bit_count(F.col(f"{name}_a").bitwiseXOR(F.col(name))) for name in SKETCH), F.lit(0))
+    return apart <= F.col("shared_a") + F.col("shared") - 2 * _overlap(percent)
+
+
+def _all_pairs(open_: DataFrame, active: DataFrame, percent: int) -> DataFrame:
+    """All pairs of a token's postings from different components that can be similar by the sketches of ``active``.
 
     One side is what is outside a token's largest component, so that a large component costs its size times the few
-    others, not its square.
+    others, not its square. Copies that differ from each other in other places meet on most of what their group has in
+    common; their sketches tell them apart, so they make no rows.
     """
     counted = open_.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"))
     largest = counted.groupBy("token").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
-    tagged = open_.join(largest, "token")
+    tagged = open_.join(largest, "token").join(broadcast_if_small(active, BROADCAST_SKETCHES), "key")
     one = tagged.filter("label <> main").select(
-        "token", F.col("key").alias("a"), F.col("size").alias("size_a"), F.col("place").alias("place_a"), F.col("label").alias("label_a")
+        "token", F.col("key").alias("a"), F.col("size").alias("size_a"), F.col("place").alias("place_a"), F.col("label").alias("label_a"),
+        *(F.col(name).alias(f"{name}_a") for name in ("shared", *SKETCH)),
+    )
+    other = tagged.select(
+        "token", F.col("key").alias("b"), F.col("size").alias("size_b"), F.col("place").alias("place_b"), "label", "main", "shared", *SKETCH
     )
-    other = tagged.select("token", F.col("key").alias("b"), F.col("size").alias("size_b"), F.col("place").alias("place_b"), "label", "main")
     met = one.join(other, "token").filter("label_a <> label and (label = main or a < b)").filter(_meets(percent))
-    return met.select("a", "b", "size_a", "size_b")
+    return met.filter(_may_overlap(percent)).select("a", "b", "size_a", "size_b")

@@ -135,6 +135,42 @@ def test_group_of_near_copies_in_chains(make):
     check_near(rows, jaccard.near_duplicates(make(rows)))
 
 
+def test_copies_that_differ_in_other_places_make_no_pairs(make, monkeypatch):
+    rng = random.Random(6)
+    rows, words = [], []
+    for i in range(40):
+        if i % 10 < 8:
+            words = [f"w{j}" for j in range(120)]
+            places = rng.sample(range(5, 115), 3)
+        else:
+            places = [rng.randrange(5, 115)]
+        for at in places:
+            words[at] = rng.choice("xy")
+        rows.append((i, " ".join(words)))
+    rounds, all_pairs = [], jaccard._all_pairs
+    monkeypatch.setattr(jaccard, "_all_pairs", lambda *args: rounds.append(all_pairs(*args)) or rounds[-1])
+    check_near(rows, jaccard.near_duplicates(make(rows)))
+    assert [pairs.distinct().count() <= 100 for pairs in rounds] == [True]
+
+
+def test_sketches_keep_every_pair(spark):
+    rng = random.Random(8)
+    pool = [rng.getrandbits(64) - (1 << 63) for _ in range(160)]
+    sets = {key: set(rng.sample(pool, rng.randint(105, 155))) for key in range(1, 60)}
+    rows = [(token, key, len(tokens) << 32, 2) for key, tokens in sets.items() for token in tokens]
+    posted = jaccard._prefixes(spark.createDataFrame(rows, "token long, key long, size long, n long"), 75)
+    sizes = by_id(posted.filter("sketch_0 is not null"), "key")
+    assert sorted(sizes) == sorted(sets)
+    one = spark.createDataFrame(
+        [(k, r["size"], r.shared, *(r[name] for name in jaccard.SKETCH)) for k, r in sizes.items()], ["key", "size", "shared", *jaccard.SKETCH]
+    )
+    other = one.select(*(F.col(name).alias({"key": "a", "size": "size_a"}.get(name, f"{name}_a")) for name in one.columns))
+    pairs = other.join(one.withColumnsRenamed({"key": "b", "size": "size_b"}), F.col("a") < F.col("b"))
+    kept = {(r.a, r.b) for r in pairs.filter(jaccard._may_overlap(75)).collect()}
+    similar = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert similar <= kept and similar and len(kept) < 59 * 29
+
+
 def test_near_copies_of_awkward_rows(awkward, empty):
     found = jaccard.near_duplicates(awkward).collect()
     assert len(found) == awkward.count()
