@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -12,12 +13,38 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 #: rows of a batch that Python holds as objects at a time, so that very long texts stay few
 ROWS_AT_ONCE = 256
+#: rows after which unused memory of Arrow is given back
+RELEASED_AFTER = 1024
 
 
-def pieces(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Iterator[pa.RecordBatch]:
+#: functions whose results Python workers keep between tasks
+_keeping: list[Callable] = []
+
+
+def kept_by_worker(make: Callable) -> Callable:
+    """``make`` with its last result kept in a Python worker, until the worker reads for something else."""
+    cached = lru_cache(maxsize=1)(make)
+    _keeping.append(cached)
+    return cached
+
+
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE, keep: Callable | None = None) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of ``rows``. Of what the worker keeps, only the result of ``keep`` stays.
+
+    Arrow holds on to memory that is free again; it is given back now and then, as other tasks share the machine.
+    """
+    for cached in _keeping:
+        if cached is not keep:
+            cached.cache_clear()
+    since = 0
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+            since += rows
+            if since >= RELEASED_AFTER:
+                pa.default_memory_pool().release_unused()
+                since = 0
+    pa.default_memory_pool().release_unused()
 
 
 def with_columns(

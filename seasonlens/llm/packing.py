@@ -10,7 +10,6 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seasonlens.llm.arrow import kept_by_worker
 from seasonlens.llm.arrow import pieces as small_batches
 from seasonlens.llm.plain_words import ROWS_AT_ONCE, joined, marks_cut_off, numbered, of_letters, plain, without_mark
 
@@ -27,7 +27,9 @@ END = 2
 GROUP_DOCS = 8192
 GROUP_PIECES = 65_536
 #: words of a generation whose ids a Python worker remembers; it holds two
-WORDS_KEPT = 400_000
+WORDS_KEPT = 250_000
+#: places for the hashes of words that were met once, which are remembered when they are met again; a power of two
+PLACES = 1 << 22
 #: what the strings of special tokens begin with
 SPECIAL = "<|"
 
@@ -37,7 +39,7 @@ class WordEncoder:
 
     The tokenizer lowers the case and never looks past white space, so words are remembered in lower case. The distinct
     words of plain texts are looked up once for a batch; a mark that the tokenizer cuts off is remembered apart from the word
-    before it. New words that are letters go to the tokenizer's model one by one, others are encoded together and told apart
+    before it. A word is remembered from the second batch on that it is met in, as most are met once. New words that are letters go to the tokenizer's model one by one, others are encoded together and told apart
     by their offsets. Texts with characters that normalisation may change across words, or with the strings of special
     tokens, are encoded as a whole.
     """
@@ -52,6 +54,9 @@ class WordEncoder:
         #: words seen since the last change of generations, and those of the generation before
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        #: new words of the batch in hand
+        self.learnt: dict[str, bytes] = {}
+        self.met, self.places = bytearray(PLACES), 0
 
     def cut(self, text: str) -> list[str]:
         cutter = self.tokenizer.pre_tokenizer
@@ -61,24 +66,35 @@ class WordEncoder:
         return [token.id for token in self.tokenizer.model.tokenize(word)]
 
     def learn(self, words: Iterable[str]) -> None:
-        """Remember all the words, those of the older generation as they are."""
+        """Look up all the words, those of the older generation as they are; those met before are remembered for later batches."""
         rest, older = [], self.older.get
+        self.learnt = learnt = {}
         for word in set(words).difference(self.known):
             ids = older(word)
             if ids is not None:
                 self.known[word] = ids
             elif self.direct and of_letters(word):
-                self.known[word] = np.array(self.of_model(word), dtype="<u4").tobytes()
+                learnt[word] = np.array(self.of_model(word), dtype="<u4").tobytes()
             else:
                 rest.append(word)
-        if not rest:
-            return
+        if rest:
+            learnt.update(self.told_apart(rest))
+        for word, ids in learnt.items():
+            at = hash(word) % PLACES
+            if self.met[at]:
+                self.known[word] = ids
+            else:
+                self.met[at] = 1
+                self.places += 1
+
+    def told_apart(self, rest: list[str]) -> Iterable[tuple[str, bytes]]:
+        """Words and their ids, from one text of all of them."""
         found = self.tokenizer.encode(" ".join(rest), add_special_tokens=False)
         data = np.array(found.ids, dtype="<u4").tobytes()
         starts = np.cumsum([0] + [len(word) + 1 for word in rest[:-1]])
         first = np.searchsorted(np.array([at for at, _ in found.offsets]), starts) * 4
         ends = [*first[1:].tolist(), len(data)]
-        self.known.update(zip(rest, map(data.__getitem__, map(slice, first.tolist(), ends))))
+        return zip(rest, map(data.__getitem__, map(slice, first.tolist(), ends)))
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -86,6 +102,8 @@ class WordEncoder:
     def renew(self) -> None:
         if len(self.known) > WORDS_KEPT:
             self.known, self.older = {}, self.known
+        if self.places > PLACES // 2:
+            self.met, self.places = bytearray(PLACES), 0
 
     def of_words(self, words: list[str]) -> list[bytes]:
         """Ids of every word of plain texts."""
@@ -93,9 +111,12 @@ class WordEncoder:
         new = [at for at, ids in enumerate(found) if ids is None]
         parts = [without_mark(words[at], self.marks) for at in new]
         self.learn([*parts, *self.marks])
-        known = self.known
+        known, learnt = self.known, self.learnt
+        marks = {mark: learnt[mark] if mark in learnt else known[mark] for mark in self.marks}
         for at, part in zip(new, parts):
-            found[at] = known[part] if len(part) == len(words[at]) else known[part] + known[words[at][-1]]
+            ids = learnt[part] if part in learnt else known[part]
+            found[at] = ids if len(part) == len(words[at]) else ids + marks[words[at][-1]]
+        self.learnt = {}
         return found
 
     def encode(self, texts: pa.Array) -> list[bytes]:
@@ -107,7 +128,7 @@ class WordEncoder:
         return [next(found).tobytes() if easy else self.whole(texts[at].as_py()) for at, easy in enumerate(chosen.tolist())]
 
 
-@lru_cache(maxsize=1)
+@kept_by_worker
 def encoder(path: str) -> WordEncoder:
     """The encoder of a Python worker, which later tasks of the worker find with its words."""
     return WordEncoder(path)
@@ -129,7 +150,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text
     end = np.array([END], dtype="<u4").tobytes()
 
     def run(batches):
-        for batch in small_batches(batches, ROWS_AT_ONCE):
+        for batch in small_batches(batches, ROWS_AT_ONCE, keep=encoder):
             rows, starts, lengths, sums, totals, ids = [], [], [], [], [], []
             for row, found in enumerate(encoder(tokenizer_path).encode(pc.fill_null(batch.column(1), ""))):
                 data = found + end

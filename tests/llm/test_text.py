@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 from rows import by_id
 
-from seasonlens.llm import decontaminate, html_text, packing, quality, secrets, token_counts
+from seasonlens.llm import arrow, decontaminate, html_text, packing, quality, secrets, token_counts
 from seasonlens.llm.queries import tokenizer
 
 # secrets
@@ -257,6 +257,23 @@ def test_words_are_learned_once_and_without_marks(word_model, monkeypatch):
     assert [len(ids) // 4 for ids in encode.encode(pa.array(texts))] == [len(ids) for ids in got]
 
 
+def test_words_met_once_are_not_remembered(word_model):
+    encode = packing.WordEncoder(word_model)
+    for batch in range(5):
+        texts = [f"often {' '.join(f'w{batch}q{i} x{batch}{chr(97 + i % 26)}z{i}' for i in range(200))}"]
+        want = [encode.tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in encode.encode(pa.array(texts))] == want
+    assert "often" in encode.known and len(encode.known) < 20
+
+
+def test_encoder_goes_when_its_worker_reads_for_something_else(word_model):
+    packing.encoder(word_model)
+    list(arrow.pieces(iter([]), keep=packing.encoder))
+    assert packing.encoder.cache_info().currsize == 1
+    list(arrow.pieces(iter([])))
+    assert packing.encoder.cache_info().currsize == 0
+
+
 def test_packing_of_awkward_rows(awkward, empty, word_model):
     found = packing.packed_documents(awkward, word_model).collect()
     assert sum(r.start == 0 for r in found) == awkward.count()
